@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from starmill.llm import quality
+from starmill.llm import chat, decontam, packing, quality, sharding, token_io
 
 QUERIES = {
+    "op5_best_fit_packing": packing.op5,
+    "op6_rendezvous_sharding": sharding.op6,
+    "op7_token_id_output": token_io.op7,
+    "op8_chat_formatting": chat.op8,
+    "op9_benchmark_decontamination": decontam.op9,
     "op10_quality_rules": quality.op10,
 }
 
