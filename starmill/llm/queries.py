@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from starmill.llm import chat, decontam, packing, quality, sharding, token_io
+from starmill.llm import chat, decontam, ngram_join, packing, pii, quality, sharding, token_io
 
 QUERIES = {
+    "op3_ngram_jaccard_join": ngram_join.op3,
+    "op4_pii_surrogates": pii.op4,
     "op5_best_fit_packing": packing.op5,
     "op6_rendezvous_sharding": sharding.op6,
     "op7_token_id_output": token_io.op7,
