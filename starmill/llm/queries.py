@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from starmill.llm import chat, decontam, ngram_join, packing, pii, quality, sharding, suffix_dedup, token_io
+from starmill.llm import chat, decontam, ngram_join, packing, pii, quality, sharding, suffix_dedup, token_io, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2,
     "op1_suffix_array_dedup": suffix_dedup.op1,
     "op3_ngram_jaccard_join": ngram_join.op3,
     "op4_pii_surrogates": pii.op4,
