@@ -195,8 +195,12 @@ def _window_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 WINDOWS = "w long, doc long, at int, n int, done boolean"
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows that also start earlier, anchor by anchor; of anchors with very many surroundings, all windows, to be dealt by hash (done = false)."""
+def _compare(most: int):
+    return lambda batches: _compared(batches, most)
+
+
+def _compared(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The windows that also start earlier, anchor by anchor; of anchors with over ``most`` surroundings, all windows, to be dealt by hash (done = false)."""
     for g in _whole_groups(batches, ["v", "u", "doc", "at", "bytes"]):
         v, u = g["v"], g["u"]
         first = np.ones(len(v), bool)
@@ -208,11 +212,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = np.cumsum(start) - 1
         size = np.bincount(run)[run]
         for many in (False, True):
-            pick = np.flatnonzero((size > 1) & ((size > MOST) == many))
-            for a in range(0, len(pick), MOST):  # a slice never splits an anchor: see below
-                part = pick[a : a + MOST] if many else pick
-                if not len(part) or (not many and a):
-                    break
+            pick = np.flatnonzero((size > 1) & ((size > most) == many))
+            # windows that are dealt anew need no whole anchors: in slices
+            slices = [pick[a : a + MOST] for a in range(0, len(pick), MOST)] if many else [pick] * bool(len(pick))
+            for part in slices:
                 which, w = _window_hashes(list(g["bytes"][part]))
                 key = w + mix(v[part][which].view(np.uint64))
                 doc, at = g["doc"][part][which], g["at"][part][which].astype(np.int64)
@@ -254,6 +257,7 @@ class SuffixIndex:
 
     levels: list[tuple[int, DataFrame]] = field(default_factory=list)
     documents: DataFrame | None = None
+    most: int = MOST
 
     def add(self, batch: DataFrame, keep: bool = True) -> DataFrame:
         """Windows of ``batch`` (_ord, text; all later than earlier batches) that also start earlier: (doc, at, n). ``keep``: the batch becomes a level."""
@@ -273,7 +277,7 @@ class SuffixIndex:
             bits = spark.sparkContext.broadcast(hash_bits(met, "v", min(29, max(20, (16 * count + 1).bit_length()))))
             near = self.documents.mapInArrow(_contexts(bits), "v long, u long, doc long, at int, bytes binary")
             near = near.repartition(partitions(spark), "v").sortWithinPartitions("v", "u", "doc", "at")
-            windows = spill(near.mapInArrow(_compare, WINDOWS), "windows")
+            windows = spill(near.mapInArrow(_compare(self.most), WINDOWS), "windows")
             wide = windows.where("NOT done").repartition(partitions(spark), "w").sortWithinPartitions("w", "doc", "at")
             out = out.union(windows.where("done").select("doc", "at", "n")).union(wide.mapInArrow(_later, "doc long, at int, n int"))
         if keep:
@@ -325,7 +329,7 @@ def _spans(at: np.ndarray | None, n: np.ndarray | None) -> tuple[np.ndarray, np.
     return s[k], e[np.append(k[1:], len(s)) - 1]
 
 
-def repeated(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def repeated(docs: DataFrame, batch_bytes: int = BATCH_BYTES, most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed runs (starts, ends) of every row of ``docs``.
 
     Batches are ranges of the document order with about equal bytes: as many as
@@ -337,7 +341,7 @@ def repeated(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     count = int(min(MOST_BATCHES, max(1, -(-total // batch_bytes))))
     marks = [] if count == 1 else slim.where("text IS NOT NULL").agg(F.percentile_approx("_ord", [i / count for i in range(1, count)], 10000)).first()[0]
     marks = sorted(set(marks or []))
-    index, found = SuffixIndex(), []
+    index, found = SuffixIndex(most=most), []
     for i, (lo, hi) in enumerate(zip([None, *marks], [*marks, None], strict=True)):
         part = slim
         if lo is not None:
