@@ -1,12 +1,507 @@
-"""Every query over the driver's tables, with its SQL."""
+"""Every query over the driver's tables, with its SQL.
+
+A query applies one operator to whole tables. ``SQL`` says the same for DuckDB;
+queries without an entry have no SQL form (pages parsed as trees, page scripts).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starmill.functions import coerce as C
+from starmill.functions import hashing, text, urls
+from starmill.functions.emails import email_column
+from starmill.operators import load as L
+from starmill.operators import profile as P
+from starmill.operators import stages as S
+from starmill.plans import config, engine
+from starmill.plans.stores import ParquetStore
+from starmill.sources import html
 
-QUERIES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+NOW = datetime(2026, 1, 1)
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# -- the whole load: raw text -> dimensions -> facts
+
+STAR = {
+    "job": "orders",
+    "source": {"kind": "file", "file": {"path": "orders"}},
+    "parser": {"kind": "csv"},
+    "transform": [
+        {"kind": "coerce", "options": {"layout": "02.01.2006", "types": {"order_id": "bigint", "day": "date", "segment": "text", "priority": "text", "cents": "bigint"}}},
+        {"kind": "hash", "options": {"fields": ["order_id", "segment", "priority", "day", "cents"], "target_field": "row_hash", "include_field_names": True}},
+        {"kind": "validate", "options": {"contract": {"fields": [{"name": "order_id", "type": "bigint", "required": True}, {"name": "segment", "type": "text", "required": True}, {"name": "day", "type": "date"}]}, "policy": "lenient"}},
+    ],
+    "storage": {
+        "kind": "parquet",
+        "db": {
+            "tables": [
+                {"name": "segments", "primary_key": {"name": "segment_id"}, "columns": [{"name": "name", "type": "text"}], "load": {"kind": "dimension", "from_rows": [{"target_column": "name", "source_field": "segment"}], "cache": {"key_column": "name", "value_column": "segment_id"}}},
+                {"name": "priorities", "primary_key": {"name": "priority_id"}, "columns": [{"name": "name", "type": "text"}], "load": {"kind": "dimension", "from_rows": [{"target_column": "name", "source_field": "priority"}], "cache": {"key_column": "name", "value_column": "priority_id"}}},
+                {
+                    "name": "order_facts",
+                    "columns": [{"name": "order_id", "type": "bigint"}, {"name": "segment_id", "type": "bigint"}, {"name": "priority_id", "type": "bigint"}, {"name": "day", "type": "date", "nullable": True}, {"name": "cents", "type": "bigint", "nullable": True}, {"name": "row_hash", "type": "text"}],
+                    "load": {"kind": "fact", "dedupe": {"conflict_columns": ["row_hash"]}, "from_rows": [{"target_column": "order_id", "source_field": "order_id"}, {"target_column": "segment_id", "lookup": {"table": "segments", "match": {"name": "segment"}}}, {"target_column": "priority_id", "lookup": {"table": "priorities", "match": {"name": "priority"}}}, {"target_column": "day", "source_field": "day"}, {"target_column": "cents", "source_field": "cents"}, {"target_column": "row_hash", "source_field": "row_hash"}]},
+                },
+            ]
+        },
+    },
+}
+
+
+def _raw_orders(spark, sf_dir):
+    """Orders as a text file would have them; every 97th number is damaged, every 89th segment blank."""
+    o, c = t(spark, sf_dir, "orders"), t(spark, sf_dir, "customer")
+    d = o.join(c, o["o_custkey"] == c["c_custkey"])
+    return d.select(
+        F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.col("o_orderkey").cast("string"), F.lit("x"))).otherwise(F.concat(F.lit(" "), F.col("o_orderkey").cast("string"))).alias("order_id"),
+        F.when(F.col("o_orderkey") % 89 == 0, F.lit(" ")).otherwise(F.col("c_mktsegment")).alias("segment"),
+        F.col("o_orderpriority").alias("priority"),
+        F.date_format("o_orderdate", "dd.MM.yyyy").alias("day"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string").alias("cents"),
+    )
+
+
+def _star(spark, sf_dir) -> tuple[ParquetStore, config.Pipeline, engine.RunStats]:
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints/starmill"
+    store, p = ParquetStore(spark, f"{base}/star-{uuid.uuid4().hex}"), config.load(STAR)
+    return store, p, engine.run(spark, p, store, _raw_orders(spark, sf_dir), NOW)
+
+
+_ORDERS_SQL = """
+WITH raw AS (
+  SELECT o_orderkey, c_mktsegment AS segment, o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day, CAST(round(o_totalprice * 100) AS BIGINT) AS cents
+  FROM orders JOIN customer ON o_custkey = c_custkey
+), valid AS (SELECT * FROM raw WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0),
+segments AS (SELECT row_number() OVER (ORDER BY segment) AS segment_id, segment FROM (SELECT DISTINCT segment FROM valid) d),
+priorities AS (SELECT row_number() OVER (ORDER BY priority) AS priority_id, priority FROM (SELECT DISTINCT priority FROM valid) d)
+"""
+
+
+@query(_ORDERS_SQL + """
+SELECT CAST(o_orderkey AS BIGINT) AS order_id, CAST(segment_id AS BIGINT) AS segment_id, CAST(priority_id AS BIGINT) AS priority_id, day, cents,
+  sha256(concat_ws(chr(31), 'order_id=' || o_orderkey, 'segment=' || valid.segment, 'priority=' || valid.priority, 'day=' || strftime(day, '%Y-%m-%dT00:00:00Z'), 'cents=' || cents)) AS row_hash
+FROM valid JOIN segments USING (segment) JOIN priorities USING (priority)
+""")
+def star_load_orders(spark, sf_dir):
+    store, p, _ = _star(spark, sf_dir)
+    return store.read(p.tables[2]).select("order_id", "segment_id", "priority_id", "day", "cents", "row_hash")
+
+
+@query(_ORDERS_SQL + """
+SELECT 'processed' AS kind, (SELECT count(*) FROM raw) AS n UNION ALL
+SELECT 'transform_rejected', (SELECT count(*) FROM raw WHERE o_orderkey % 97 = 0) UNION ALL
+SELECT 'validate_dropped', (SELECT count(*) FROM raw WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 = 0) UNION ALL
+SELECT 'inserted', (SELECT count(*) FROM valid) UNION ALL SELECT 'fact_dropped', 0 UNION ALL SELECT 'all_conflicts', 0 UNION ALL SELECT 'parse_errors', 0
+""")
+def star_load_metrics(spark, sf_dir):
+    rows = [(k, int(v)) for _, k, v in _star(spark, sf_dir)[2].rows("orders") if not k.startswith("step:")]
+    return spark.createDataFrame(rows, "kind string, n bigint")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return star_load_orders(spark, sf_dir)
+
+
+# -- fingerprints
+
+
+@query("""
+SELECT o_orderkey, sha256(concat_ws(chr(31), 'o_orderkey=' || o_orderkey, 'o_custkey=' || o_custkey, 'o_orderstatus=' || coalesce(trim(o_orderstatus), 'null'),
+  'o_orderpriority=' || coalesce(trim(o_orderpriority), 'null'), 'day=' || coalesce(strftime(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate END, '%Y-%m-%dT00:00:00Z'), 'null'))) AS row_hash FROM orders
+""")
+def row_hash_orders(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").withColumn("day", F.when(F.col("o_orderkey") % 5 != 0, F.to_date("o_orderdate")))
+    return hashing.with_row_hash(o, "row_hash", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "day"]).select("o_orderkey", "row_hash")
+
+
+@query("""SELECT c_custkey, sha256(concat_ws('|', coalesce(CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END, '\\N'), c_mktsegment)) AS row_hash FROM customer""")
+def row_hash_records_customer(spark, sf_dir):
+    c = t(spark, sf_dir, "customer").withColumn("name", F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")))
+    return hashing.with_row_hash(c, "row_hash", ["name", "c_mktsegment"], names=False, separator="|", trimmed=False, null="\\N").select("c_custkey", "row_hash")
+
+
+@query("SELECT page_id, sha1(url) AS name FROM pages")
+def sha1_url(spark, sf_dir):
+    return t(spark, sf_dir, "pages").select("page_id", F.sha1("url").alias("name"))
+
+
+# -- dimensions, lookups, facts
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY k) AS BIGINT) AS id, k AS key FROM (SELECT DISTINCT c_mktsegment AS k FROM customer WHERE trim(c_mktsegment) <> '') d")
+def dim_ensure_mktsegment(spark, sf_dir):
+    return L.ensure_dimension(t(spark, sf_dir, "customer"), "c_mktsegment", None)
+
+
+@query("""
+WITH had AS (SELECT row_number() OVER (ORDER BY k) AS id, k FROM (SELECT DISTINCT p_type AS k FROM part WHERE p_partkey < 4) d),
+  more AS (SELECT DISTINCT p_type AS k FROM part WHERE p_type NOT IN (SELECT k FROM had))
+SELECT CAST((SELECT coalesce(max(id), 0) FROM had) + row_number() OVER (ORDER BY k) AS BIGINT) AS id, k AS key FROM more
+""")
+def dim_ensure_new_types(spark, sf_dir):
+    p = t(spark, sf_dir, "part")
+    return L.ensure_dimension(p, "p_type", L.ensure_dimension(p.where("p_partkey < 4"), "p_type", None))
+
+
+@query("""
+SELECT o_orderkey, c_nationkey AS nation_id FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0
+""")
+def fact_lookup_orders(spark, sf_dir):
+    dim = t(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_nationkey").alias("id"), F.col("c_custkey").alias("key"))
+    return L.lookup(t(spark, sf_dir, "orders"), dim, "o_custkey", "nation_id").select("o_orderkey", "nation_id")
+
+
+@query("""
+SELECT o_orderkey, c_nationkey AS nation_id FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderkey % 4 <> 0 WHERE o_orderkey % 4 = 0 OR c_custkey IS NOT NULL
+""")
+def fact_lookup_nullable(spark, sf_dir):
+    dim = t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("id"), F.col("c_custkey").alias("key"))
+    o = t(spark, sf_dir, "orders").withColumn("k", F.when(F.col("o_orderkey") % 4 == 0, " ").otherwise(F.col("o_custkey").cast("string")))
+    return L.lookup(o, dim, "k", "nation_id", nullable=True).select("o_orderkey", "nation_id")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def semi_needed_dim_keys(spark, sf_dir):
+    return L.needed_keys(t(spark, sf_dir, "customer"), t(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), "o_custkey", "c_custkey").select("c_custkey", "c_name")
+
+
+_PLACE = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey, CASE WHEN l_suppkey % 7 = 0 THEN l_orderkey * 100 + l_linenumber END ORDER BY l_orderkey * 100 + l_linenumber) AS r FROM lineitem) x WHERE r = 1
+""")
+def fact_dedupe_lineitem(spark, sf_dir):
+    """Every seventh supplier is null in the conflict key, and so conflicts with nothing."""
+    li = t(spark, sf_dir, "lineitem").withColumn(S.ORDER, _PLACE).withColumn("supplier", F.when(F.col("l_suppkey") % 7 != 0, F.col("l_suppkey")))
+    return L.new_facts(li, ["l_partkey", "supplier"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query("""
+WITH had AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_orderkey % 500 = 0)
+SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 100 + l_linenumber) AS r FROM lineitem) x WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM had WHERE had.l_partkey = x.l_partkey)
+""")
+def fact_antijoin_new_rows(spark, sf_dir):
+    li = t(spark, sf_dir, "lineitem").withColumn(S.ORDER, _PLACE)
+    return L.new_facts(li, ["l_partkey"], li.where("l_orderkey % 500 = 0")).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("SELECT o_custkey, o_orderstatus FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders p WHERE p.o_orderpriority = '1-URGENT' AND p.o_custkey = o.o_custkey AND p.o_orderstatus = o.o_orderstatus)")
+def set_difference_orders(spark, sf_dir):
+    o = t(spark, sf_dir, "orders")
+    return L.minus(o.select("o_custkey", "o_orderstatus"), o.where("o_orderpriority = '1-URGENT'").select("o_custkey", "o_orderstatus"))
+
+
+@query("SELECT event_id FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
+def members_events(spark, sf_dir):
+    return L.members(t(spark, sf_dir, "events"), t(spark, sf_dir, "customer").where("c_acctbal < 0"), "user_id", "c_custkey").select("event_id")
+
+
+@query("SELECT DISTINCT url FROM pages ORDER BY url LIMIT 50")
+def distinct_urls_top(spark, sf_dir):
+    return t(spark, sf_dir, "pages").select("url").distinct().orderBy("url").limit(50)
+
+
+# -- change history
+
+
+def _events(spark, sf_dir):
+    return t(spark, sf_dir, "events").select("user_id", "event_type", F.sha2("event_type", 256).alias("row_hash"), F.col("event_id").alias(S.ORDER))
+
+
+_CHAIN = """
+WITH kept AS (SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt FROM (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS prev FROM events) e WHERE prev IS NULL OR prev <> event_type)
+"""
+
+
+@query(_CHAIN + "SELECT user_id, event_type, nxt IS NULL AS is_current, CASE WHEN nxt IS NULL THEN NULL ELSE TIMESTAMP '2026-01-01' END AS valid_to FROM kept")
+def scd2_events_by_user(spark, sf_dir):
+    live, closed, _ = L.scd2(_events(spark, sf_dir), ["user_id"], NOW)
+    both = live.withColumn("is_current", F.lit(True)).unionByName(closed.withColumn("is_current", F.lit(False)))
+    return both.select("user_id", "event_type", "is_current", "valid_to")
+
+
+@query("""
+WITH a AS (SELECT * FROM events WHERE event_id % 2 = 0), b AS (SELECT * FROM events WHERE event_id % 2 = 1),
+cur AS (SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM a) x WHERE r = 1),
+al AS (SELECT user_id, event_type, -1 AS o FROM cur UNION ALL SELECT user_id, event_type, event_id FROM b),
+k AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY o) AS p FROM al)
+SELECT user_id, event_type, o >= 0 AS inserted FROM k WHERE (p IS NULL OR p <> event_type) AND o >= 0
+""")
+def scd2_second_batch(spark, sf_dir):
+    """The versions that a second batch adds to what the first left."""
+    e = _events(spark, sf_dir)
+    current, _, _ = L.scd2(e.where(F.col(S.ORDER) % 2 == 0), ["user_id"], NOW)
+    _, _, affected = L.scd2(e.where(F.col(S.ORDER) % 2 == 1), ["user_id"], datetime(2026, 1, 2), current)
+    return affected.select("user_id", "event_type", F.lit(True).alias("inserted"))
+
+
+# -- row stages
+
+
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS r FROM events) e WHERE r = 1")
+def dedup_keep_first(spark, sf_dir):
+    return S.dedup(t(spark, sf_dir, "events"), ["user_id", "event_type"], "keep-first", order="event_id").select("event_id", "user_id", "event_type")
+
+
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS r FROM events) e WHERE r = 1")
+def dedup_keep_last(spark, sf_dir):
+    return S.dedup(t(spark, sf_dir, "events"), ["user_id", "event_type"], "keep-last", order="event_id").select("event_id", "user_id", "event_type")
+
+
+@query("""
+SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
+  10 * (CASE WHEN event_id % 3 <> 0 THEN 1 ELSE 0 END + CASE WHEN event_id % 5 <> 0 THEN 1 ELSE 0 END) + CASE WHEN event_id % 5 <> 0 THEN 1 ELSE 0 END DESC, event_id DESC) AS r FROM events) e WHERE r = 1
+""")
+def dedup_most_complete(spark, sf_dir):
+    e = t(spark, sf_dir, "events").select("event_id", "user_id", F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("a"), F.when(F.col("event_id") % 5 != 0, F.col("props")).otherwise("").alias("b"))
+    return S.dedup(e, ["user_id"], "most-complete", ["b"], "event_id").select("event_id", "user_id")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0")
+def require_nonempty(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").withColumn("a", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))).withColumn("b", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).otherwise(""))
+    return S.require(o, ["a", "b"]).select("o_orderkey")
+
+
+_INTS = "CASE o_orderkey % 7 WHEN 0 THEN ' ' || o_orderkey || ' ' WHEN 1 THEN o_orderkey || '.0' WHEN 2 THEN o_orderkey || '.5' WHEN 3 THEN '1e3' WHEN 4 THEN '+' || o_orderkey WHEN 5 THEN '' ELSE 'x' || o_orderkey END"
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1, 4) THEN CAST(o_orderkey AS BIGINT) END AS value FROM orders")
+def coerce_int(spark, sf_dir):
+    return t(spark, sf_dir, "orders").select("o_orderkey", C.coerced(F.expr(_INTS), "bigint").alias("value"))
+
+
+_BOOLS = "CASE o_orderkey % 9 WHEN 0 THEN 'T' WHEN 1 THEN 'TRUE' WHEN 2 THEN 'tRue' WHEN 3 THEN 'yes' WHEN 4 THEN 'ano' WHEN 5 THEN ' 1 ' WHEN 6 THEN 'f' WHEN 7 THEN '0' ELSE ' ' END"
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 9 IN (0, 1, 5) THEN TRUE WHEN o_orderkey % 9 IN (6, 7) THEN FALSE END AS value, CASE WHEN o_orderkey % 9 <= 5 THEN TRUE WHEN o_orderkey % 9 IN (6, 7) THEN FALSE END AS loose FROM orders")
+def coerce_bool(spark, sf_dir):
+    raw = F.expr(_BOOLS)
+    return t(spark, sf_dir, "orders").select("o_orderkey", C.coerced(raw, "bool").alias("value"), C.loose_bool(raw).alias("loose"))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 5
+  WHEN 0 THEN CAST(make_date(CAST(year(o_orderdate) AS BIGINT), CAST(month(o_orderdate) AS BIGINT), 1) + INTERVAL 30 DAY AS DATE)
+  WHEN 1 THEN CAST(o_orderdate AS DATE) WHEN 2 THEN CAST(o_orderdate AS DATE) WHEN 3 THEN CAST(o_orderdate AS DATE) END AS value FROM orders
+""")
+def coerce_date_cz(spark, sf_dir):
+    """Day 31 of every month (rolling over), plain, with a time behind, ISO, one-digit."""
+    raw = F.expr("CASE o_orderkey % 5 WHEN 0 THEN date_format(o_orderdate, \"'31.'MM.yyyy\") WHEN 1 THEN date_format(o_orderdate, 'dd.MM.yyyy') WHEN 2 THEN date_format(o_orderdate, 'dd.MM.yyyy HH:mm') WHEN 3 THEN date_format(o_orderdate, 'yyyy-MM-dd') ELSE '3.8.2018' END")
+    return t(spark, sf_dir, "orders").select("o_orderkey", C.coerced(raw, "date").alias("value"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1, 4) THEN CAST(o_orderkey AS VARCHAR) WHEN o_orderkey % 7 = 2 THEN o_orderkey || '.5' WHEN o_orderkey % 7 = 3 THEN '1e3' WHEN o_orderkey % 7 = 5 THEN '' ELSE 'x' || o_orderkey END AS raw FROM orders
+""")
+def coerce_records_orders(spark, sf_dir):
+    return S.coerce_records(t(spark, sf_dir, "orders").select("o_orderkey", F.expr(_INTS).alias("raw")), {"raw": "int"})
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (2, 3, 6) THEN 'n: not int' WHEN o_orderkey % 9 IN (2, 3, 4) THEN 'flag: not bool' WHEN o_orderkey % 7 = 5 THEN 'n: required' END AS reject_reason FROM orders
+""")
+def validate_reject_reasons(spark, sf_dir):
+    d = t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.expr(_INTS).alias("n"), F.expr(_BOOLS).alias("flag"))
+    return S.check_rows(S.coerce_rows(d, {"n": "int", "flag": "bool"}), ["n"], {"n": "int", "flag": "bool"}).select("o_orderkey", "reject_reason")
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'name: required' WHEN c_custkey % 7 = 0 THEN 'flag: not bool' WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN 'segment: not in enum' END AS reject_reason FROM customer
+""")
+def validate_records_customer(spark, sf_dir):
+    c = t(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 11 != 0, F.col("c_name")).otherwise(" ").alias("name"), F.when(F.col("c_custkey") % 7 != 0, "sure").otherwise("maybe").alias("flag"), F.col("c_mktsegment").alias("segment"))
+    fields = [{"name": "name", "type": "text", "required": True}, {"name": "flag", "type": "bool", "truthy": ["sure"], "falsy": ["never"]}, {"name": "segment", "type": "text", "enum": ["BUILDING", "MACHINERY"]}]
+    return S.check_records(c, fields).select("c_custkey", "reject_reason")
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name WHEN p_partkey % 3 = 1 THEN p_type END AS a, CASE WHEN p_partkey % 3 < 2 THEN 'EU' ELSE p_type END AS b, CASE WHEN p_partkey % 3 = 0 THEN p_type WHEN p_partkey % 3 = 1 THEN NULL ELSE 'x' END AS c FROM part
+""")
+def realign_part(spark, sf_dir):
+    """The mark EU belongs into b; every third row has it one column to the right of that, every third none."""
+    k = F.col("p_partkey") % 3
+    p = t(spark, sf_dir, "part").select("p_partkey", F.when(k == 0, F.col("p_name")).when(k == 1, "gone").alias("a"), F.when(k == 0, "EU").when(k == 1, F.col("p_type")).otherwise(F.col("p_type")).alias("b"), F.when(k == 0, F.col("p_type")).when(k == 1, "EU").otherwise("x").alias("c"))
+    return S.realign(p, ["a", "b", "c"], "b", ["EU"])
+
+
+@query("SELECT s_suppkey, trim(s_name) AS name FROM supplier")
+def normalize_supplier(spark, sf_dir):
+    s = t(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("\xa0 "), "s_name", F.lit("\t\xa0")).alias("name"))
+    return S.normalize(s)
+
+
+# -- profiles
+
+_C = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
+def _profile_sql(names) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS total, least(count(DISTINCT {c}), 10000) AS distinct_count, count(DISTINCT {c}) > 10000 AS capped, round(least(count(DISTINCT {c}), 10000) / count({c}), 6) AS ratio FROM customer" for c in names)
+
+
+@query(_profile_sql(_C))
+def uniqueness_report_customer(spark, sf_dir):
+    return P.report(P.uniqueness(t(spark, sf_dir, "customer"), list(_C)))
+
+
+@query(f"SELECT column_name FROM ({_profile_sql(_C)}) u WHERE distinct_count > 0 AND ratio <= 0.9")
+def auto_breakouts_customer(spark, sf_dir):
+    return P.breakouts(P.uniqueness(t(spark, sf_dir, "customer"), list(_C))).select("column_name")
+
+
+@query("""
+SELECT 'event_id' AS column_name, 'integer' AS inferred_type UNION ALL SELECT 'ts', 'text' UNION ALL SELECT 'user_id', 'integer' UNION ALL SELECT 'event_type', 'text'
+UNION ALL SELECT 'value', CASE WHEN (SELECT bool_and(regexp_matches(CAST(value AS VARCHAR), '^[+-]?[0-9]+$')) FROM events) THEN 'integer' ELSE 'float' END UNION ALL SELECT 'day', 'date' UNION ALL SELECT 'flag', 'boolean'
+""")
+def infer_types_events(spark, sf_dir):
+    e = t(spark, sf_dir, "events").select("event_id", F.concat(F.lit("at "), F.col("ts").cast("string")).alias("ts"), "user_id", "event_type", F.col("value").cast("string").alias("value"), F.date_format("ts", "dd.MM.yyyy").alias("day"), F.when(F.col("event_id") % 2 == 0, "yes").otherwise("no").alias("flag"))
+    return P.infer_types(e)
+
+
+@query("SELECT CASE WHEN 2 * count(*) FILTER (event_id % 3 = 0) > count(*) THEN '02.01.2006' ELSE '2006-01-02' END AS layout, greatest(count(*) FILTER (event_id % 3 = 0), count(*) FILTER (event_id % 3 <> 0)) AS n FROM events")
+def majority_layout_events(spark, sf_dir):
+    e = t(spark, sf_dir, "events").select(F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "dd.MM.yyyy")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("day"))
+    return P.majority_layout(e, "day")
+
+
+@query("""
+SELECT event_type, v[CAST(floor(0.50 * (len(v) - 1) + 0.5) AS BIGINT) + 1] AS p50, v[CAST(floor(0.90 * (len(v) - 1) + 0.5) AS BIGINT) + 1] AS p90, v[CAST(floor(0.95 * (len(v) - 1) + 0.5) AS BIGINT) + 1] AS p95,
+  v[CAST(floor(0.99 * (len(v) - 1) + 0.5) AS BIGINT) + 1] AS p99, v[len(v)] AS max, len(v) AS count FROM (SELECT event_type, list_sort(list(value)) AS v FROM events WHERE value IS NOT NULL GROUP BY event_type) x
+""")
+def latency_percentiles(spark, sf_dir):
+    return P.percentiles(t(spark, sf_dir, "events"), ["event_type"], "value")
+
+
+@query("SELECT event_type, CAST(user_id % 3 AS BIGINT) AS shard, CAST(sum(user_id) AS BIGINT) AS total FROM events WHERE user_id > 0 GROUP BY 1, 2")
+def counters_by_label(spark, sf_dir):
+    return P.totals(t(spark, sf_dir, "events").withColumn("shard", (F.col("user_id") % 3).cast("long")), ["event_type", "shard"], "user_id")
+
+
+@query("""
+WITH r AS (SELECT event_type AS path, user_id, count(*) AS n FROM events GROUP BY 1, 2),
+d AS (SELECT event_type AS path, CAST(event_id % 7 AS VARCHAR) AS x FROM events GROUP BY 1, 2),
+k AS (SELECT path, x FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY x) AS i FROM d) q WHERE i <= 3)
+SELECT path, CAST(sum(n) AS BIGINT) AS count, count(*) AS records_with, max(n) AS max_per_record, (SELECT string_agg(x, ',' ORDER BY x) FROM k WHERE k.path = r.path) AS examples FROM r GROUP BY path
+""")
+def path_profile(spark, sf_dir):
+    e = t(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("path"), (F.col("event_id") % 7).cast("string").alias("x"))
+    return P.paths(e, "user_id", "path", "x").withColumn("examples", F.array_join("examples", ","))
+
+
+# -- texts, pages, URLs
+
+_STRIP = "replace(regexp_replace(html, '<[^>]*>?', '', 'g'), '>', '')"
+
+
+@query(f"SELECT page_id, sha256({_STRIP}) AS stripped, sha256(trim(regexp_replace({_STRIP}, '[ \\t\\n\\r]+', ' ', 'g'))) AS normalized FROM pages")
+def strip_html_pages(spark, sf_dir):
+    return t(spark, sf_dir, "pages").select("page_id", F.sha2(text.strip_html(F.col("html")), 256).alias("stripped"), F.sha2(text.normalize_text(F.col("html")), 256).alias("normalized"))
+
+
+@query("SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages")
+def extract_between_title(spark, sf_dir):
+    return t(spark, sf_dir, "pages").select("page_id", F.coalesce(text.extract_between(F.col("html"), "<title>", "</title>"), F.lit("")).alias("title"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN len(list_filter(d, lambda x: TRY_CAST(x AS BIGINT) IS NULL)) = 0 THEN len(d) END AS n, CASE WHEN len(list_filter(d, lambda x: TRY_CAST(x AS BIGINT) IS NULL)) = 0 THEN CAST(list_max(list_transform(d, lambda x: TRY_CAST(x AS BIGINT))) AS BIGINT) END AS largest
+FROM (SELECT doc_id, regexp_extract_all(text, '[0-9]+') AS d FROM documents) x
+""")
+def extract_ints_documents(spark, sf_dir):
+    d = t(spark, sf_dir, "documents").select("doc_id", text.extract_ints(F.col("text")).alias("x"))
+    return d.select("doc_id", F.when(F.col("x").isNotNull(), F.size("x")).cast("bigint").alias("n"), F.array_max("x").alias("largest"))
+
+
+@query("SELECT doc_id, CASE WHEN regexp_matches(text, 'token = \"([0-9a-f]+)\"') THEN regexp_extract(text, 'token = \"([0-9a-f]+)\"', 1) END AS found FROM documents")
+def regex_filter_documents(spark, sf_dir):
+    return t(spark, sf_dir, "documents").select("doc_id", text.regex_filter(F.col("text"), 'token = "([0-9a-f]+)"').alias("found"))
+
+
+@query("SELECT c_custkey, translate(c_name, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', 'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM') AS turned, c_custkey % 2 = 0 AS is_email, TRY_CAST(regexp_replace(c_name, '[^0-9]', '', 'g') AS INTEGER) AS number FROM customer")
+def text_functions_customer(spark, sf_dir):
+    mail = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com"))).otherwise(F.col("c_name"))
+    return t(spark, sf_dir, "customer").select("c_custkey", text.rot13(F.col("c_name")).alias("turned"), text.looks_like_email(mail).alias("is_email"), text.parse_count(F.col("c_name")).alias("number"))
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(lower(strip_accents(trim(p_type))), '[\\s./\\\\-]+', '_', 'g'), '[^a-z0-9_]', '', 'g') AS name FROM part")
+def field_names_part(spark, sf_dir):
+    return t(spark, sf_dir, "part").select("p_partkey", text.field_name_column("p_type").alias("name"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def json_props_flatten(spark, sf_dir):
+    return t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+
+
+@query("""
+SELECT page_id, CAST(n AS INTEGER) AS page, rtrim(url, '/') || '/' || n AS page_url FROM (SELECT page_id, url, unnest(range(2, CAST(ceil((page_id % 90) / 25.0) AS BIGINT) + 1)) AS n FROM pages) x
+""")
+def paging_urls(spark, sf_dir):
+    return urls.page_urls(t(spark, sf_dir, "pages").withColumn("n", F.col("page_id") % 90), "url", "n").select("page_id", F.col("page").cast("int").alias("page"), "page_url")
+
+
+@query("""
+SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT rtrim(url, '/') || '/' || n || '/' FROM (SELECT url, unnest(range(2, CAST(floor((page_id % 90) / 25) AS BIGINT) + 1)) AS n FROM pages) x) y
+""")
+def expand_hrefs_pages(spark, sf_dir):
+    return urls.expand_hrefs(t(spark, sf_dir, "pages").select(F.col("url").alias("href"), (F.col("page_id") % 90).cast("string").alias("count")))
+
+
+@query("SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_extract(url, '\\?([^#]*)', 1), '[^a-zA-Z0-9]+', '_', 'g'), '_'), ''), sha1(url)) AS name FROM pages")
+def safe_filename_pages(spark, sf_dir):
+    return t(spark, sf_dir, "pages").select("page_id", urls.safe_filename(F.col("url")).alias("name"))
+
+
+@query("SELECT event_id, least(30.0, 0.5 * pow(2.0, event_id % 9)) AS wait FROM events")
+def backoff_events(spark, sf_dir):
+    return t(spark, sf_dir, "events").select("event_id", urls.backoff(F.col("event_id") % 9 + 1, 0.5, 30.0).alias("wait"))
+
+
+@query()
+def page_links(spark, sf_dir):
+    return html.page_links(t(spark, sf_dir, "pages"), "url", "html")
+
+
+@query()
+def html_records(spark, sf_dir):
+    m = html.MappingFile([html.Mapping("title", "title"), html.Mapping("links", "nav a", "attr", "href", all=True), html.Mapping("first", "p:first-of-type")])
+    return html.extract_pages(t(spark, sf_dir, "pages"), "html", m, "page_id")
+
+
+@query()
+def crawl_pages(spark, sf_dir):
+    p = t(spark, sf_dir, "pages")
+    return html.crawl(p.where("page_id % 10 = 0").select("url"), page_links(spark, sf_dir), 2)
+
+
+@query()
+def email_decode(spark, sf_dir):
+    c = t(spark, sf_dir, "customer")
+    return c.select("c_custkey", email_column(F.concat(F.lit("var a='mailto:c"), F.col("c_custkey").cast("string"), F.lit("&#64;example.com';"))).alias("email"))
