@@ -125,17 +125,16 @@ def scd2(staged: DataFrame, keys: list[str], now: datetime | Column, current: Da
         old = current.withColumn(order, F.lit(-1).cast("long")).withColumn("_staged", F.lit(False))
         new = new.unionByName(old, allowMissingColumns=True)
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    alone = F.when(~whole, F.struct(order, "_staged"))
-    if current is not None:
-        # current rows with a null in the key stay apart as well
-        alone = F.when(~whole, F.struct(F.col(order), F.col("_staged"), F.xxhash64(*columns)))
+    # rows with a null in the key are groups of their own
+    new = new.withColumn("_alone", F.when(~whole, F.monotonically_increasing_id()))
+    alone = F.col("_alone")
     w = Window.partitionBy(*keys, alone).orderBy(order)
     kept = new.withColumn("_keep", (F.row_number().over(w) == 1) | _changed("row_hash" if "row_hash" in columns else None, columns, w)).where("_keep")
     last = F.lead(F.lit(1)).over(w).isNull()
     kept = kept.withColumn("_last", last)
     if surrogate:
         kept = kept.withColumn(surrogate, F.coalesce(surrogate, F.max(surrogate).over(Window.partitionBy(*keys, alone))))
-    drop = ["_keep", "_last", order]
+    drop = ["_keep", "_last", "_alone", order]
     live = kept.where("_last").drop(*drop, "_staged")
     closed = kept.where("NOT _last").withColumn("valid_to", now.cast("timestamp")).withColumn("changed_at", now.cast("timestamp")).drop(*drop, "_staged")
     affected = kept.where("_staged").drop(*drop, "_staged")

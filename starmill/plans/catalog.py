@@ -189,7 +189,7 @@ def semi_needed_dim_keys(spark, sf_dir):
     return L.needed_keys(t(spark, sf_dir, "customer"), t(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), "o_custkey", "c_custkey").select("c_custkey", "c_name")
 
 
-_PLACE = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+_PLACE = "l_orderkey * 100 + l_linenumber"
 
 
 @query("""
@@ -197,7 +197,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number
 """)
 def fact_dedupe_lineitem(spark, sf_dir):
     """Every seventh supplier is null in the conflict key, and so conflicts with nothing."""
-    li = t(spark, sf_dir, "lineitem").withColumn(S.ORDER, _PLACE).withColumn("supplier", F.when(F.col("l_suppkey") % 7 != 0, F.col("l_suppkey")))
+    li = t(spark, sf_dir, "lineitem").withColumn(S.ORDER, F.expr(_PLACE)).withColumn("supplier", F.when(F.col("l_suppkey") % 7 != 0, F.col("l_suppkey")))
     return L.new_facts(li, ["l_partkey", "supplier"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
@@ -206,7 +206,7 @@ WITH had AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_orderkey % 500 = 0)
 SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 100 + l_linenumber) AS r FROM lineitem) x WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM had WHERE had.l_partkey = x.l_partkey)
 """)
 def fact_antijoin_new_rows(spark, sf_dir):
-    li = t(spark, sf_dir, "lineitem").withColumn(S.ORDER, _PLACE)
+    li = t(spark, sf_dir, "lineitem").withColumn(S.ORDER, F.expr(_PLACE))
     return L.new_facts(li, ["l_partkey"], li.where("l_orderkey % 500 = 0")).select("l_orderkey", "l_linenumber", "l_partkey")
 
 

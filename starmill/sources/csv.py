@@ -54,6 +54,9 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, h
         df = lines.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {k: v for k, v in options.items() if k != "header"}).alias("r")).select("r.*")
     else:
         df = spark.read.schema(schema).options(**options).csv(path)
+    # Spark refuses queries of the corrupt column alone: it is tied to the cells
+    tied = F.length(F.concat_ws("", *[f"_c{i}" for i in range(width)])) >= 0
+    df = df.withColumn(CORRUPT, F.when(tied, F.col(CORRUPT)))
     if fields_per_record >= 0 and fields_per_record not in (0, width):
         df = df.where(F.lit(False))
     elif fields_per_record >= 0:
@@ -63,6 +66,6 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, h
     return df.select(*[cell(n).alias(n) for n in columns or last], CORRUPT)
 
 
-def skipped(df: DataFrame) -> Column:
+def skipped() -> Column:
     """The number of rows of another width, to observe or aggregate."""
     return F.count_if(F.col(CORRUPT).isNotNull())

@@ -18,6 +18,7 @@ from starmill.functions.emails import decode_email
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: elements that a start tag of their own kind closes
 _CLOSES = {"li": {"li"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
+_BLOCKS = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _STOPS = {"ul", "ol", "table", "div", "select", "dl", "section", "article", "body"}
 
 
@@ -55,7 +56,7 @@ class _Builder(HTMLParser):
         self.root = self.at = Node("")
 
     def handle_starttag(self, tag, attrs):
-        closes, n = _CLOSES.get(tag, ()), self.at
+        closes, n = _CLOSES.get(tag, {"p"} if tag in _BLOCKS else ()), self.at
         while closes and n.parent and n.tag not in _STOPS:
             if n.tag in closes:
                 self.at = n.parent
@@ -200,6 +201,8 @@ def compile_selector(s: str) -> Selector:
         chain.append((how, tests))
         m = re.compile(r"\s*([>+~,]?)\s*").match(s, i)
         i = m.end()
+        if m[1] and i >= len(s):
+            raise ValueError(f"bad selector: {s}")
         if m[1] == "," or i >= len(s):
             chains.append(chain)
             chain, how = [], ""

@@ -18,34 +18,47 @@ from pyspark.sql import types as T
 _DECODER = json.JSONDecoder(parse_int=str, parse_float=str)
 
 
-def values(text: str) -> Iterator[object]:
-    at, text = 0, text.lstrip("﻿")
-    while True:
-        while at < len(text) and text[at] in " \t\r\n,":
-            at += 1
-        if at >= len(text):
-            return
+def _skip(text: str, at: int) -> int:
+    while at < len(text) and text[at] in " \t\r\n,":
+        at += 1
+    return at
+
+
+def _elements(text: str, at: int) -> Iterator[tuple[object, int]]:
+    """The elements of the array that begins at ``at``, each with the place behind it; at last the array's own end."""
+    at = _skip(text, at + 1)
+    while text[at : at + 1] != "]":
         value, at = _DECODER.raw_decode(text, at)
-        yield value
+        yield value, at
+        at = _skip(text, at)
+    yield _END, at + 1
+
+
+_END = object()
+
+
+def _record(value: object) -> dict:
+    if not isinstance(value, dict):
+        raise ValueError("a record is an object")
+    return value
 
 
 def records(text: str) -> Iterator[dict]:
-    """The records of a document; the first array of an object is its records."""
-    for value in values(text):
-        if isinstance(value, list):
-            found = value
-        elif isinstance(value, dict):
-            found = next((v for v in value.values() if isinstance(v, list)), [value])
-            if found and not isinstance(found[0], dict) and found is not value and any(not isinstance(x, (dict, type(None))) for x in found):
-                raise ValueError("the first array of the object has no records")
+    """The records of a document: the elements of a root array; those of the first array in a root object, or the object itself without one; and all objects that follow. Nulls are none."""
+    text = text.lstrip("\ufeff")
+    at, first = _skip(text, 0), True
+    while at < len(text):
+        if first and text[at] == "[":
+            for value, at in _elements(text, at):  # noqa: B007
+                if value is not _END and value is not None:
+                    yield _record(value)
         else:
-            raise ValueError("a document is an array or an object")
-        for r in found:
-            if r is None:
-                continue
-            if not isinstance(r, dict):
-                raise ValueError("a record is an object")
-            yield r
+            value, at = _DECODER.raw_decode(text, at)
+            inner = next((v for v in _record(value).values() if isinstance(v, list)), None) if first else None
+            for r in [value] if inner is None else inner:
+                if r is not None:
+                    yield _record(r)
+        at, first = _skip(text, at), False
 
 
 def text_of(value: object, separator: str = ",") -> str | None:
