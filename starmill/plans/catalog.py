@@ -158,13 +158,13 @@ def dim_ensure_mktsegment(spark, sf_dir):
 
 
 @query("""
-WITH had AS (SELECT row_number() OVER (ORDER BY k) AS id, k FROM (SELECT DISTINCT p_type AS k FROM part WHERE p_partkey < 4) d),
+WITH had AS (SELECT row_number() OVER (ORDER BY k) AS id, k FROM (SELECT DISTINCT p_type AS k FROM part WHERE p_type < 'N') d),
   more AS (SELECT DISTINCT p_type AS k FROM part WHERE p_type NOT IN (SELECT k FROM had))
 SELECT CAST((SELECT coalesce(max(id), 0) FROM had) + row_number() OVER (ORDER BY k) AS BIGINT) AS id, k AS key FROM more
 """)
 def dim_ensure_new_types(spark, sf_dir):
     p = t(spark, sf_dir, "part")
-    return L.ensure_dimension(p, "p_type", L.ensure_dimension(p.where("p_partkey < 4"), "p_type", None))
+    return L.ensure_dimension(p, "p_type", L.ensure_dimension(p.where("p_type < 'N'"), "p_type", None))
 
 
 @query("""
@@ -202,12 +202,13 @@ def fact_dedupe_lineitem(spark, sf_dir):
 
 
 @query("""
-WITH had AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_orderkey % 500 = 0)
-SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 100 + l_linenumber) AS r FROM lineitem) x WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM had WHERE had.l_partkey = x.l_partkey)
+WITH had AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R')
+SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey * 100 + l_linenumber) AS r FROM lineitem) x
+WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM had WHERE had.l_partkey = x.l_partkey AND had.l_suppkey = x.l_suppkey)
 """)
 def fact_antijoin_new_rows(spark, sf_dir):
     li = t(spark, sf_dir, "lineitem").withColumn(S.ORDER, F.expr(_PLACE))
-    return L.new_facts(li, ["l_partkey"], li.where("l_orderkey % 500 = 0")).select("l_orderkey", "l_linenumber", "l_partkey")
+    return L.new_facts(li, ["l_partkey", "l_suppkey"], li.where("l_returnflag = 'R'")).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("SELECT o_custkey, o_orderstatus FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders p WHERE p.o_orderpriority = '1-URGENT' AND p.o_custkey = o.o_custkey AND p.o_orderstatus = o.o_orderstatus)")
@@ -230,7 +231,7 @@ def distinct_urls_top(spark, sf_dir):
 
 
 def _events(spark, sf_dir):
-    return t(spark, sf_dir, "events").select("user_id", "event_type", F.sha2("event_type", 256).alias("row_hash"), F.col("event_id").alias(S.ORDER))
+    return t(spark, sf_dir, "events").select("user_id", "event_type", F.sha2("event_type", 256).alias("row_hash"), F.col("event_id").alias(S.ORDER), "ts")
 
 
 _CHAIN = """
@@ -241,23 +242,23 @@ WITH kept AS (SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event
 
 @query(_CHAIN + "SELECT user_id, event_type, nxt IS NULL AS is_current, CASE WHEN nxt IS NULL THEN NULL ELSE TIMESTAMP '2026-01-01' END AS valid_to FROM kept")
 def scd2_events_by_user(spark, sf_dir):
-    live, closed, _ = L.scd2(_events(spark, sf_dir), ["user_id"], NOW)
+    live, closed, _ = L.scd2(_events(spark, sf_dir).drop("ts"), ["user_id"], NOW)
     both = live.withColumn("is_current", F.lit(True)).unionByName(closed.withColumn("is_current", F.lit(False)))
     return both.select("user_id", "event_type", "is_current", "valid_to")
 
 
 @query("""
-WITH a AS (SELECT * FROM events WHERE event_id % 2 = 0), b AS (SELECT * FROM events WHERE event_id % 2 = 1),
+WITH a AS (SELECT * FROM events WHERE hour(ts) < 12), b AS (SELECT * FROM events WHERE hour(ts) >= 12),
 cur AS (SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM a) x WHERE r = 1),
 al AS (SELECT user_id, event_type, -1 AS o FROM cur UNION ALL SELECT user_id, event_type, event_id FROM b),
 k AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY o) AS p FROM al)
 SELECT user_id, event_type, o >= 0 AS inserted FROM k WHERE (p IS NULL OR p <> event_type) AND o >= 0
 """)
 def scd2_second_batch(spark, sf_dir):
-    """The versions that a second batch adds to what the first left."""
+    """The versions that a second batch (the afternoons) adds to what the first (the mornings) left."""
     e = _events(spark, sf_dir)
-    current, _, _ = L.scd2(e.where(F.col(S.ORDER) % 2 == 0), ["user_id"], NOW)
-    _, _, affected = L.scd2(e.where(F.col(S.ORDER) % 2 == 1), ["user_id"], datetime(2026, 1, 2), current)
+    current, _, _ = L.scd2(e.where("hour(ts) < 12").drop("ts"), ["user_id"], NOW)
+    _, _, affected = L.scd2(e.where("hour(ts) >= 12").drop("ts"), ["user_id"], datetime(2026, 1, 2), current)
     return affected.select("user_id", "event_type", F.lit(True).alias("inserted"))
 
 
@@ -498,7 +499,7 @@ def html_records(spark, sf_dir):
 @query()
 def crawl_pages(spark, sf_dir):
     p = t(spark, sf_dir, "pages")
-    return html.crawl(p.where("page_id % 10 = 0").select("url"), page_links(spark, sf_dir), 2)
+    return html.crawl(p.select("url"), page_links(spark, sf_dir), 2)
 
 
 @query()
