@@ -16,23 +16,27 @@ from pyspark.sql import functions as F
 from starmill.functions.text import normalize_key
 from starmill.operators.stages import ORDER
 
-BLOCKS = 64
+FEW = 200_000
+"""Up to so many rows are numbered by one task."""
 
 
-def numbered(df: DataFrame, key: str, name: str, start: int | Column = 0) -> DataFrame:
-    """``name``: start + 1, + 2 ... in the order of ``key`` (unique), without bringing all rows to one task.
+def numbered(df: DataFrame, key: str, name: str, start: int = 0) -> DataFrame:
+    """``name``: start + 1, + 2 ... in the order of ``key`` (unique), without bringing many rows to one task.
 
-    Rows are dealt to blocks by hash and ranked inside; but the order must be global,
-    so blocks are ranges: cut at sampled quantiles of the key, each ranked by its own
-    task and shifted by the rows in the blocks before it.
+    The rows are written, cut into ranges of the key; each range is ranked by its own
+    task and shifted by the rows in the ranges before it.
     """
-    ranged = df.repartitionByRange(BLOCKS, F.col(key)).withColumn("_block", F.spark_partition_id())
-    inside = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_block").orderBy(key)))
+    from starmill.plans.stores import written
+
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = written(df.repartitionByRange(ranges, F.col(key)).withColumn("_block", F.spark_partition_id()))
+    if cut.count() <= FEW:
+        return cut.withColumn(name, (F.row_number().over(Window.orderBy(key)) + start).cast("long")).select(*df.columns, name)
+    inside = cut.withColumn("_in", F.row_number().over(Window.partitionBy("_block").orderBy(key)))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    # one row for each block
-    first = ranged.groupBy("_block").count().withColumn("_first", F.coalesce(F.sum("count").over(before), F.lit(0))).select(F.col("_block").alias("_b"), "_first")
-    shift = start if isinstance(start, Column) else F.lit(start)
-    return inside.join(first, F.col("_block") == F.col("_b")).withColumn(name, (F.col("_first") + F.col("_in") + shift).cast("long")).select(*df.columns, name)
+    # one row for each range
+    first = cut.groupBy("_block").count().withColumn("_first", F.coalesce(F.sum("count").over(before), F.lit(0))).select(F.col("_block").alias("_b"), "_first")
+    return inside.join(first, F.col("_block") == F.col("_b")).withColumn(name, (F.col("_first") + F.col("_in") + start).cast("long")).select(*df.columns, name)
 
 
 def distinct_keys(rows: DataFrame, column: str) -> DataFrame:

@@ -64,7 +64,9 @@ def test_dimension_and_lookup(spark):
     assert rows(L.needed_keys(dim, d.where("n = 2"), "u")) == [(2, "bob")]
 
 
-def test_numbers_are_gapless_in_order(spark):
+@pytest.mark.parametrize("few", [10, 100_000])
+def test_numbers_are_gapless_in_order(spark, monkeypatch, few):
+    monkeypatch.setattr(L, "FEW", few)
     got = rows(L.numbered(spark.range(5000).repartition(7), "id", "n", 10))
     assert sorted(got) == [(i, i + 11) for i in range(5000)]
 
