@@ -42,9 +42,10 @@ BLOCK = 64
 
 @dataclass(frozen=True)
 class Limits:
-    examples: int = 10_000
-    terms: int = 512
+    examples: int = 5_000
+    terms: int = 128
     chi_square: float = 18.0
+    lift: float = 4.0
     nearest: int = 25
     threshold: float = 0.7
 
@@ -242,7 +243,9 @@ def fit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Model:
     n = float(m1 + m0)
     chi = n * F.pow(a * (m0 - c) - c * (m1 - a), F.lit(2.0)) / (float(m1) * float(m0) * (a + c) * F.greatest(F.lit(n) - a - c, F.lit(1.0)))
     counts = train.mapInArrow(_label_counts, "term long, a long, c long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("c").alias("c"))
-    best = counts.where("a + c >= 4").withColumn("chi", chi).where(F.col("chi") >= limits.chi_square).orderBy(F.desc("chi"), "term").limit(limits.terms)
+    rate1, rate0 = (a + 0.5) / float(m1 + 1), (c + 0.5) / float(m0 + 1)
+    told = (F.col("chi") >= limits.chi_square) & (F.greatest(rate1 / rate0, rate0 / rate1) >= limits.lift)
+    best = counts.where("a + c >= 4").withColumn("chi", chi).where(told).orderBy(F.desc("chi"), "term").limit(limits.terms)
     terms = np.sort(np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64))
     known = spark.sparkContext.broadcast(terms)
     df = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_document_counts(known), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
