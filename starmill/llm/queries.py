@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starmill.llm import chat, decontam, ngram_join, packing, pii, quality, sharding, suffix_dedup, token_io, toxicity
+from starmill.llm import chat, decontam, ngram_join, oracle, packing, pii, quality, sharding, suffix_dedup, token_io, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2,
@@ -17,4 +17,8 @@ QUERIES = {
     "op10_quality_rules": quality.op10,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": oracle.JOIN,
+    "op9_benchmark_decontamination": oracle.DECONTAMINATION,
+    "op10_quality_rules": oracle.QUALITY,
+}
