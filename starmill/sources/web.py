@@ -26,15 +26,24 @@ class Client:
     timeout: float = 30.0
     sleep = staticmethod(time.sleep)
 
-    def request(self, url: str, first: int | None = None) -> tuple[int, bytes, int]:
+    def get(self, url: str) -> tuple[int, bytes, int]:
+        return self.request(url)
+
+    def post(self, url: str, data: bytes, kind: str = "application/octet-stream") -> tuple[int, bytes, int]:
+        return self.request(url, method="POST", data=data, headers={"Content-Type": kind})
+
+    def put(self, url: str, data: bytes, kind: str = "application/octet-stream") -> tuple[int, bytes, int]:
+        return self.request(url, method="PUT", data=data, headers={"Content-Type": kind})
+
+    def request(self, url: str, first: int | None = None, method: str = "GET", data: bytes | None = None, headers: dict[str, str] | None = None) -> tuple[int, bytes, int]:
         """(status, body, attempts); ``first``: only so many bytes."""
         attempt = 0
         while True:
             attempt += 1
-            head = {"Range": f"bytes=0-{first - 1}"} if first else {}
+            head = dict(headers or {}) | ({"Range": f"bytes=0-{first - 1}"} if first else {})
             pause = None
             try:
-                with urllib.request.urlopen(urllib.request.Request(url, headers=head), timeout=self.timeout) as r:
+                with urllib.request.urlopen(urllib.request.Request(url, data=data, headers=head, method=method), timeout=self.timeout) as r:
                     return getattr(r, "status", None) or 200, r.read(first) if first else r.read(), attempt
             except urllib.error.HTTPError as e:
                 status, body = e.code, e.read(4096)

@@ -130,3 +130,48 @@ def test_lists_and_fetch(spark, tmp_path):
     assert ok["ok"] and os.path.getsize(tmp_path / "out" / ok["file"]) == 5 and not got["file:///nowhere"]["ok"]
     pages = html.read_pages(spark, f"file://{tmp_path}").collect()
     assert [tuple(r) for r in pages] == [("page.html", "hello")]
+
+
+def test_requests_retry_and_send(spark, tmp_path):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def _answer(self):
+            body = self.rfile.read(int(self.headers.get("Content-Length") or 0))
+            seen.append((self.command, body, self.headers.get("Range")))
+            busy = self.path == "/busy" and len([s for s in seen if s[0] == "GET"]) < 3
+            self.send_response(503 if busy else 404 if self.path == "/none" else 200)
+            if busy:
+                self.send_header("Retry-After", "7")
+            self.end_headers()
+            self.wfile.write(b"0123456789")
+
+        do_GET = do_POST = do_PUT = _answer
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at, waits = f"http://127.0.0.1:{server.server_port}", []
+    c = web.Client(retries=3)
+    c.sleep = waits.append
+    assert c.get(f"{at}/busy") == (200, b"0123456789", 3) and waits == [7.0, 7.0]
+    assert c.post(f"{at}/x", b"body")[0] == 200 and c.put(f"{at}/x", b"b2")[0] == 200
+    assert web.first_bytes(f"{at}/x", 4) == b"0123"
+    assert [s[:2] for s in seen[3:5]] == [("POST", b"body"), ("PUT", b"b2")] and seen[-1][2] == "bytes=0-3"
+    got = web.download(spark.createDataFrame([(f"{at}/none",)], "url string"), str(tmp_path), web.Client(), 1).first()
+    assert got["ok"] and got["status"] == 404 and got["file"] is None
+    server.shutdown()
+
+
+def test_citation_fields(spark):
+    from pyspark.sql import functions as F
+
+    authors = "".join(f"<Author><LastName>N{i}</LastName></Author>" for i in range(20))
+    d = spark.createDataFrame([(f"<A><PMID Version='1'>7</PMID><ArticleTitle>T</ArticleTitle>{authors}</A>",)], "xml string")
+    r = d.select(*xml_files.citation_fields(F.col("xml"))).first()
+    assert (r["pmid"], r["title"], r["journal"], len(r["authors"])) == ("7", "T", None, 16)
