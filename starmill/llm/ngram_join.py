@@ -11,11 +11,14 @@ pruned by the bound on remaining length: a set can only match sets of at most 1.
 times its size, and at least as many levels must remain as the overlap needs.
 
 Sets that meet are compared in two rounds, each exact on whole sets:
-1. every set with the first of its node that it could match (a star, not all
-   pairs); links give components;
-2. sets of one node that are still in different components. A pair that shares a
-   component needs no comparing, so a group of thousands of copies costs a star.
-Nothing is capped: what the first round leaves apart, the second compares.
+1. every set with the ``LEADERS`` of its node (those least by a hash of their
+   names): stars, not all pairs; links give components;
+2. sets of one node that lead neither and are still in different components. A
+   pair that shares a component needs no comparing, so a group of thousands of
+   copies costs a few stars.
+Nothing is capped: what the first round leaves apart, the second compares. Before
+whole sets are sent, a bit digest of each (a quarter byte a shingle) bounds a
+pair's overlap from above, and pairs that can't reach the threshold go.
 
 Defined results: null, empty and wordless texts have no shingles, link with
 nothing and are components of their own; texts of under five words are one
@@ -41,6 +44,7 @@ N = 5
 PERCENT = 80
 SKETCH_BITS = 24
 BLOCK_BITS = 14
+LEADERS = 6
 _U = np.uint64
 
 
@@ -82,23 +86,47 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-PERCENT * n // 100) + 1
 
 
+def digests(cuts: np.ndarray, sh: np.ndarray) -> list[bytes]:
+    """For each set, bits at its hashes modulo a power of two of at least twice its size."""
+    out = []
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        m = max(64, 1 << (2 * (b - a) - 1).bit_length()) if b > a else 64
+        bits = np.zeros(m, np.uint8)
+        bits[(sh[a:b] & _U(m - 1)).astype(np.int64)] = 1
+        out.append(np.packbits(bits, bitorder="little").tobytes())
+    return out
+
+
+def may_match(nx: int, ny: int, x: bytes, y: bytes) -> bool:
+    """Whether two sets can be similar enough, by their sizes and digests."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(p) != len(q):  # the wider one folds onto the other
+        if len(p) > len(q):
+            p = p[: len(p) // 2] | p[len(p) // 2 :]
+        else:
+            q = q[: len(q) // 2] | q[len(q) // 2 :]
+    both = min(nx - int(np.bitwise_count(p & ~q).sum()), ny - int(np.bitwise_count(q & ~p).sum()))
+    return (100 + PERCENT) * both >= PERCENT * (nx + ny)
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document's set size and name; and, once a task, the counts of its shingles by bucket."""
     wide = np.zeros(1 << SKETCH_BITS, np.uint16)
-    names = ["at", "doc_id", "n", "sid", "block", "counts"]
+    names = ["at", "doc_id", "n", "sid", "digest", "block", "counts"]
     for batch in batches:
-        size, sid = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+        size, sid, digest = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64), []
         for lo, hi, cuts, sh in shingle_sets(batch.column("text")):
             size[lo:hi], sid[lo:hi] = np.diff(cuts), set_ids(cuts, sh)
+            digest += digests(cuts, sh)
             b, c = np.unique((sh >> _U(64 - SKETCH_BITS)).astype(np.int64), return_counts=True)
             wide[b] = np.minimum(wide[b].astype(np.int64) + c, 65535)
-        yield pa.RecordBatch.from_arrays([batch.column("_ord"), batch.column("doc_id"), pa.array(size), pa.array(sid), pa.nulls(len(batch), pa.int32()), pa.nulls(len(batch), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("_ord"), batch.column("doc_id"), pa.array(size), pa.array(sid), pa.array(digest, pa.binary()), pa.nulls(len(batch), pa.int32()), pa.nulls(len(batch), pa.binary())], names=names)
     rows = wide.reshape(-1, 1 << BLOCK_BITS)
     full = np.flatnonzero(rows.any(axis=1))
     if len(full):
         id_type = batch.column("doc_id").type
         z = pa.nulls(len(full), pa.int64())
-        yield pa.RecordBatch.from_arrays([z, pa.nulls(len(full), id_type), z, z, pa.array(full.astype(np.int32)), pa.array([zlib.compress(rows[b].tobytes(), 1) for b in full], pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([z, pa.nulls(len(full), id_type), z, z, pa.nulls(len(full), pa.binary()), pa.array(full.astype(np.int32)), pa.array([zlib.compress(rows[b].tobytes(), 1) for b in full], pa.binary())], names=names)
 
 
 def _levels(total: np.ndarray) -> np.ndarray:
@@ -180,18 +208,29 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(tok[many]), pa.array(sid[many]), pa.array(n[many])], names=["tok", "sid", "n"])
 
 
+def _ranked(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(order, rank) of the sets in their nodes, by a hash of their names."""
+    order = np.lexsort((mix(g["sid"].view(np.uint64)), g["tok"]))
+    tok = g["tok"][order]
+    start = np.ones(len(tok), bool)
+    start[1:] = tok[1:] != tok[:-1]
+    return order, np.arange(len(tok)) - np.flatnonzero(start)[np.cumsum(start) - 1]
+
+
+def _fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a * PERCENT <= b * 100) & (b * PERCENT <= a * 100)
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each set with the first of its node whose size allows a match; nodes are ordered by size."""
+    """Each set with the leaders of its node whose size allows a match."""
     for g in _whole_groups(batches, ["tok", "n", "sid"]):
-        tok, n, sid = g["tok"], g["n"].astype(np.int64), g["sid"]
-        while len(tok):
-            start = np.ones(len(tok), bool)
-            start[1:] = tok[1:] != tok[:-1]
-            lead = np.flatnonzero(start)[np.cumsum(start) - 1]
-            fits = n * PERCENT <= n[lead] * 100
-            pair = fits & ~start
-            yield _edges(sid[lead][pair], sid[pair])
-            tok, n, sid = tok[~fits], n[~fits], sid[~fits]
+        order, rank = _ranked(g)
+        n, sid = g["n"][order].astype(np.int64), g["sid"][order]
+        for r in range(LEADERS):
+            members = np.flatnonzero(rank > r)
+            leader = members - rank[members] + r
+            ok = _fit(n[members], n[leader])
+            yield _edges(sid[leader[ok]], sid[members[ok]])
 
 
 def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -199,23 +238,33 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a node whose sets are in different components, and whose sizes allow a match."""
+    """Pairs of a node whose sets lead neither, are in different components, and have sizes that allow a match."""
     for g in _whole_groups(batches, ["tok", "comp", "n", "sid"]):
-        tok, comp, n, sid = g["tok"], g["comp"], g["n"].astype(np.int64), g["sid"]
-        start = np.ones(len(tok), bool)
-        start[1:] = tok[1:] != tok[:-1]
-        heads = np.append(np.flatnonzero(start), len(tok))
-        mixed = np.maximum.reduceat(comp, heads[:-1]) != np.minimum.reduceat(comp, heads[:-1])
+        order, rank = _ranked(g)
+        rest = order[rank >= LEADERS]
+        if not len(rest):
+            continue
+        rest = rest[np.lexsort((g["comp"][rest], g["tok"][rest]))]
+        tok, comp, n, sid = (g[c][rest] for c in ("tok", "comp", "n", "sid"))
+        n = n.astype(np.int64)
+        heads = np.append(np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])), len(tok))
+        mixed = comp[heads[1:] - 1] != comp[heads[:-1]]
         for k in np.flatnonzero(mixed):
             x, y = heads[k], heads[k + 1]
-            parts = np.append(np.flatnonzero(np.concatenate([[True], comp[x + 1 : y] != comp[x : y - 1]])), y - x) + x
-            for p in range(len(parts) - 2):
-                for i in range(parts[p], parts[p + 1]):
-                    rest = slice(parts[p + 1], y)
-                    ok = (n[rest] * PERCENT <= n[i] * 100) & (n[i] * PERCENT <= n[rest] * 100)
-                    if ok.any():
-                        other = sid[rest][ok]
-                        yield _edges(np.full(len(other), sid[i]), other)
+            after = x + np.searchsorted(comp[x:y], comp[x:y], "right")  # where the next component begins
+            for i in range(x, y):
+                other = slice(after[i - x], y)
+                ok = _fit(n[i], n[other])
+                if ok.any():
+                    b = sid[other][ok]
+                    yield _edges(np.full(len(b), sid[i]), b)
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cols = (batch.column(c).to_pylist() for c in ("nx", "ny", "dx", "dy"))
+        keep = [may_match(*r) for r in zip(*cols, strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _sets(bits):
@@ -241,11 +290,17 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(texts: DataFrame, edges: DataFrame) -> DataFrame:
-    """The pairs of ``edges`` (written) whose whole sets are similar enough."""
+def _verified(texts: DataFrame, marks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs of ``pairs`` whose whole sets are similar enough; ``marks`` has each set's size and digest."""
     spark = texts.sparkSession
+    x = marks.select(F.col("sid").alias("a"), F.col("n").alias("nx"), F.col("digest").alias("dx"))
+    y = marks.select(F.col("sid").alias("b"), F.col("n").alias("ny"), F.col("digest").alias("dy"))
+    near = pairs.join(y, "b").join(x, "a").select("a", "b", "nx", "ny", "dx", "dy")
+    edges = spill(near.mapInArrow(_plausible, "a long, b long"), "near")
     ends = edges.select(F.col("a").alias("sid")).union(edges.select("b"))
     count = ends.count()
+    if not count:
+        return edges
     bits = spark.sparkContext.broadcast(hash_bits(ends, "sid", min(29, max(20, (16 * count + 1).bit_length()))))
     sets = texts.mapInArrow(_sets(bits), "sid long, members binary")
     # copies of a set come once from each task; the hash bits let few others through
@@ -254,7 +309,7 @@ def _verified(texts: DataFrame, edges: DataFrame) -> DataFrame:
     y = sets.select(F.col("sid").alias("ys"), F.col("members").alias("y"))
     pairs = edges.join(y, F.col("b") == F.col("ys")).join(x, F.col("a") == F.col("xs"))
     out = spill(pairs.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"), "links")
-    drop_scratch(sets)
+    drop_scratch(sets, edges)
     return out
 
 
@@ -264,7 +319,8 @@ def classes(docs: DataFrame) -> DataFrame:
     slim, _ = ordered_documents(docs)
     texts = slim.select("text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    profile = spill(slim.select("_ord", "doc_id", "text").mapInArrow(_profile, f"at long, doc_id {id_type}, n long, sid long, block int, counts binary"), "profile")
+    profile = spill(slim.select("_ord", "doc_id", "text").mapInArrow(_profile, f"at long, doc_id {id_type}, n long, sid long, digest binary, block int, counts binary"), "profile")
+    marks = profile.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("digest").alias("digest"))
     levels = spark.sparkContext.broadcast(sketch(profile))
     upper = texts.mapInArrow(_upper_nodes(levels), "tok long, sid long, n int")
     dealt = upper.repartition(partitions(spark), "tok").sortWithinPartitions("tok", "n", "sid")
@@ -272,18 +328,18 @@ def classes(docs: DataFrame) -> DataFrame:
     free_shuffles(spark)
     again = met.repartition(partitions(spark), "tok")
     stars = spill(again.sortWithinPartitions("tok", "n", "sid").mapInArrow(_stars, "a long, b long").distinct(), "stars")
-    links = _verified(texts, stars)
+    links = _verified(texts, marks, stars)
     comp = components(links)
     free_shuffles(spark)
     labelled = met.join(comp.select(F.col("node"), F.col("component")), F.col("sid") == F.col("node"), "left").select("tok", F.coalesce("component", "sid").alias("comp"), "n", "sid")
     rest = labelled.repartition(partitions(spark), "tok").sortWithinPartitions("tok", "comp", "n").mapInArrow(_apart, "a long, b long").distinct()
     rest = spill(rest.join(stars, ["a", "b"], "left_anti"), "apart")
-    more = _verified(texts, rest)
+    more = _verified(texts, marks, rest)
     if more.limit(1).count():
         comp = components(links.union(more))
     out = profile.where("block IS NULL").join(comp, F.col("sid") == F.col("node"), "left")
     out = spill(out.select(F.col("at").alias("_ord"), "doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("comp")), "classes")
-    drop_scratch(profile, met, stars, rest, links, more, comp)
+    drop_scratch(profile, met, stars, rest, links, more)
     free_shuffles(spark)
     return out
 
