@@ -17,8 +17,9 @@ Sets that meet are compared in two rounds, each exact on whole sets:
    pair that shares a component needs no comparing, so a group of thousands of
    copies costs a few stars.
 Nothing is capped: what the first round leaves apart, the second compares. Before
-whole sets are sent, a bit digest of each (a quarter byte a shingle) bounds a
-pair's overlap from above, and pairs that can't reach the threshold go.
+whole sets are sent, bit digests (a quarter byte a shingle; two bytes in the second
+round, inside the node) bound a pair's overlap from above, and pairs that can't
+reach the threshold go.
 
 Defined results: null, empty and wordless texts have no shingles, link with
 nothing and are components of their own; texts of under five words are one
@@ -45,6 +46,8 @@ PERCENT = 80
 SKETCH_BITS = 24
 BLOCK_BITS = 14
 LEADERS = 6
+WIDE = 16
+"""Bits of a digest for each shingle, where sets that stayed apart are compared."""
 _U = np.uint64
 
 
@@ -86,11 +89,11 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-PERCENT * n // 100) + 1
 
 
-def digests(cuts: np.ndarray, sh: np.ndarray) -> list[bytes]:
-    """For each set, bits at its hashes modulo a power of two of at least twice its size."""
+def digests(cuts: np.ndarray, sh: np.ndarray, per: int = 2) -> list[bytes]:
+    """For each set, bits at its hashes modulo a power of two of at least ``per`` times its size."""
     out = []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        m = max(64, 1 << (2 * (b - a) - 1).bit_length()) if b > a else 64
+        m = max(64, 1 << (per * (b - a) - 1).bit_length()) if b > a else 64
         bits = np.zeros(m, np.uint8)
         bits[(sh[a:b] & _U(m - 1)).astype(np.int64)] = 1
         out.append(np.packbits(bits, bitorder="little").tobytes())
@@ -237,27 +240,47 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
+def _folded(digest: np.ndarray, words: int) -> np.ndarray:
+    """Digests as rows of ``words`` words: wider ones folded; only those of that width or twice it can be."""
+    out = np.empty((len(digest), words), np.uint64)
+    for i, x in enumerate(digest):
+        w = np.frombuffer(x, np.uint64)
+        out[i] = w if len(w) == words else w[:words] | w[words:]
+    return out
+
+
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a node whose sets lead neither, are in different components, and have sizes that allow a match."""
-    for g in _whole_groups(batches, ["tok", "comp", "n", "sid"]):
+    """Pairs of a node whose sets lead neither, are in different components, and may match by size and digest."""
+    for g in _whole_groups(batches, ["tok", "comp", "n", "sid", "digest"]):
         order, rank = _ranked(g)
         rest = order[rank >= LEADERS]
         if not len(rest):
             continue
-        rest = rest[np.lexsort((g["comp"][rest], g["tok"][rest]))]
-        tok, comp, n, sid = (g[c][rest] for c in ("tok", "comp", "n", "sid"))
+        rest = rest[np.lexsort((g["n"][rest], g["tok"][rest]))]
+        tok, comp, n, sid, digest = (g[c][rest] for c in ("tok", "comp", "n", "sid", "digest"))
         n = n.astype(np.int64)
         heads = np.append(np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])), len(tok))
-        mixed = comp[heads[1:] - 1] != comp[heads[:-1]]
+        mixed = np.minimum.reduceat(comp, heads[:-1]) != np.maximum.reduceat(comp, heads[:-1])
         for k in np.flatnonzero(mixed):
             x, y = heads[k], heads[k + 1]
-            after = x + np.searchsorted(comp[x:y], comp[x:y], "right")  # where the next component begins
-            for i in range(x, y):
-                other = slice(after[i - x], y)
-                ok = _fit(n[i], n[other])
-                if ok.any():
-                    b = sid[other][ok]
-                    yield _edges(np.full(len(b), sid[i]), b)
+            # by size: a set's possible partners are the next ones, up to 1.25 times as large
+            width = np.array([len(d) // 8 for d in digest[x:y]])
+            upto = x + np.searchsorted(n[x:y], n[x:y] * 100 // PERCENT, "right")
+            rows = {w: (np.flatnonzero((width == w) | (width == 2 * w)) + x, _folded(digest[x:y][(width == w) | (width == 2 * w)], w)) for w in np.unique(width).tolist()}
+            for i in range(x, y - 1):
+                who, bits = rows[int(width[i - x])]
+                lo, hi = np.searchsorted(who, i + 1), np.searchsorted(who, upto[i - x])
+                who, bits = who[lo:hi], bits[lo:hi]
+                other = comp[who] != comp[i]
+                if not other.any():
+                    continue
+                who, bits = who[other], bits[other]
+                own = np.frombuffer(digest[i], np.uint64)
+                a = n[i] - np.bitwise_count(own & ~bits).sum(axis=1, dtype=np.int64)
+                b = n[who] - np.bitwise_count(bits & ~own).sum(axis=1, dtype=np.int64)
+                near = (100 + PERCENT) * np.minimum(a, b) >= PERCENT * (n[i] + n[who])
+                if near.any():
+                    yield _edges(np.full(int(near.sum()), sid[i]), sid[who[near]])
 
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +290,9 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _sets(bits):
+def _sets(bits, per: int = 0):
+    """The whole sets whose names are among ``bits``; their digests instead, if ``per`` is given."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = bits.value, set()
         for batch in batches:
@@ -275,7 +300,8 @@ def _sets(bits):
                 sid = set_ids(cuts, sh)
                 rows = [i for i in np.flatnonzero((np.diff(cuts) > 0) & in_bits(wanted, sid)) if sid[i] not in seen]
                 seen.update(sid[i] for i in rows)
-                yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array([sh[cuts[i] : cuts[i + 1]].tobytes() for i in rows], pa.binary())], names=["sid", "members"])
+                told = [digests(cuts[i : i + 2], sh, per)[0] if per else sh[cuts[i] : cuts[i + 1]].tobytes() for i in rows]
+                yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array(told, pa.binary())], names=["sid", "members"])
 
     return run
 
@@ -290,6 +316,13 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _fetched(texts: DataFrame, ends: DataFrame, count: int, per: int = 0) -> DataFrame:
+    """(sid, members) of the sets named in ``ends`` (``count`` rows), and of few others that the hash bits let through."""
+    bits = texts.sparkSession.sparkContext.broadcast(hash_bits(ends, "sid", min(29, max(20, (16 * count + 1).bit_length()))))
+    # copies of a set come once from each task
+    return texts.mapInArrow(_sets(bits, per), "sid long, members binary").groupBy("sid").agg(F.first("members").alias("members"))
+
+
 def _verified(texts: DataFrame, marks: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs of ``pairs`` whose whole sets are similar enough; ``marks`` has each set's size and digest."""
     spark = texts.sparkSession
@@ -301,10 +334,7 @@ def _verified(texts: DataFrame, marks: DataFrame, pairs: DataFrame) -> DataFrame
     count = ends.count()
     if not count:
         return edges
-    bits = spark.sparkContext.broadcast(hash_bits(ends, "sid", min(29, max(20, (16 * count + 1).bit_length()))))
-    sets = texts.mapInArrow(_sets(bits), "sid long, members binary")
-    # copies of a set come once from each task; the hash bits let few others through
-    sets = spill(sets.groupBy("sid").agg(F.first("members").alias("members")), "sets")
+    sets = spill(_fetched(texts, ends, count), "sets")
     x = sets.select(F.col("sid").alias("xs"), F.col("members").alias("x"))
     y = sets.select(F.col("sid").alias("ys"), F.col("members").alias("y"))
     pairs = edges.join(y, F.col("b") == F.col("ys")).join(x, F.col("a") == F.col("xs"))
@@ -331,15 +361,22 @@ def classes(docs: DataFrame) -> DataFrame:
     links = _verified(texts, marks, stars)
     comp = components(links)
     free_shuffles(spark)
-    labelled = met.join(comp.select(F.col("node"), F.col("component")), F.col("sid") == F.col("node"), "left").select("tok", F.coalesce("component", "sid").alias("comp"), "n", "sid")
-    rest = labelled.repartition(partitions(spark), "tok").sortWithinPartitions("tok", "comp", "n").mapInArrow(_apart, "a long, b long").distinct()
-    rest = spill(rest.join(stars, ["a", "b"], "left_anti"), "apart")
-    more = _verified(texts, marks, rest)
+    labelled = spill(met.join(comp.select(F.col("node"), F.col("component")), F.col("sid") == F.col("node"), "left").select("tok", F.coalesce("component", "sid").alias("comp"), "n", "sid"), "labelled")
+    # nodes with more than leaders, not all in one component
+    open_ = labelled.groupBy("tok").agg(F.count("*").alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y")).where((F.col("c") > LEADERS) & (F.col("x") < F.col("y")))
+    left = spill(labelled.join(open_.select("tok"), "tok", "left_semi"), "open")
+    count, more = left.count(), links.limit(0)
+    if count:
+        wide = _fetched(texts, left.select("sid"), count, WIDE).withColumnRenamed("members", "digest")
+        dealt = left.join(wide, "sid").select("tok", "comp", "n", "sid", "digest").repartition(partitions(spark), "tok").sortWithinPartitions("tok")
+        rest = spill(dealt.mapInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "apart")
+        more = _verified(texts, marks, rest)
+        drop_scratch(rest)
     if more.limit(1).count():
         comp = components(links.union(more))
     out = profile.where("block IS NULL").join(comp, F.col("sid") == F.col("node"), "left")
     out = spill(out.select(F.col("at").alias("_ord"), "doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("comp")), "classes")
-    drop_scratch(profile, met, stars, rest, links, more)
+    drop_scratch(profile, met, stars, labelled, left, links, more)
     free_shuffles(spark)
     return out
 

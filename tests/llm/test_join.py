@@ -26,3 +26,19 @@ def test_filter_keeps_one_row_of_each(make):
 def test_empty_table(make):
     assert ngram_join.find(make([])).collect() == []
     assert ngram_join.filter_documents(make([])).collect() == []
+
+
+def test_family_that_no_leader_holds_together(make):
+    import random
+
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for k in range(60):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 4, 6, 8])):
+            w[rng.randrange(200)] = f"e{k}_{rng.randrange(1000)}"
+        rows.append((k, " ".join(w[: rng.choice([200, 200, 170, 150])])))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.find(make(rows)).collect()}
+    want = {i: c for i, _, c in brute.jaccard_components(rows)}
+    assert got == want and 1 < len(set(want.values())) < 60
