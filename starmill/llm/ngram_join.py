@@ -17,7 +17,7 @@ Sets that meet are compared in two rounds, each exact on whole sets:
    pair that shares a component needs no comparing, so a group of thousands of
    copies costs a few stars.
 Nothing is capped: what the first round leaves apart, the second compares. Before
-whole sets are sent, bit digests (a quarter byte a shingle; two bytes in the second
+whole sets are sent, bit digests (a quarter byte a shingle; four bytes in the second
 round, inside the node) bound a pair's overlap from above, and pairs that can't
 reach the threshold go.
 
@@ -46,7 +46,7 @@ PERCENT = 80
 SKETCH_BITS = 24
 BLOCK_BITS = 14
 LEADERS = 6
-WIDE = 16
+WIDE = 32
 """Bits of a digest for each shingle, where sets that stayed apart are compared."""
 _U = np.uint64
 
