@@ -48,7 +48,7 @@ MOST_BATCHES = 8
 _U = np.uint64
 _PLACE = (1 << 31) - 1
 """Bits of a place in a chunk; a text has fewer bytes."""
-ENTRY = "v long, u long, doc long, at int, n int, old boolean"
+ENTRY = "v long, u long, doc long, at int, n int, old boolean, known boolean"
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -92,11 +92,18 @@ def entries(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of a task's texts. One that equals an earlier entry of its chunk is a known match: it needs no comparing, and goes anywhere (by its document), so that copies of a text don't meet in one task."""
     for batch in batches:
         docs = batch.column("_ord").to_numpy()
         for lo, _, data, offs in chunks(batch.column("text")):
             t, s, n, v, u = entries(data, offs)
-            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(u.view(np.int64)), pa.array(docs[lo + t]), pa.array((s - offs[t]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.zeros(len(s), bool))], names=["v", "u", "doc", "at", "n", "old"])
+            d, at = docs[lo + t], s - offs[t]
+            order = np.lexsort((at, d, u))
+            known = np.zeros(len(s), bool)
+            same = (u[order[1:]] == u[order[:-1]]) & (v[order[1:]] == v[order[:-1]])
+            known[order[1:][same]] = True
+            v = np.where(known, mix(d.astype(np.uint64)), v)
+            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(u.view(np.int64)), pa.array(d), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.zeros(len(s), bool)), pa.array(known)], names=["v", "u", "doc", "at", "n", "old", "known"])
 
 
 SCAN = "kind string, v long, u long, doc long, at int, n int"
@@ -108,9 +115,13 @@ def _scan(keep_new: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         had = None  # the last (v, u) of what came before
         held: dict | None = None  # the last anchor so far: (v, whether new entries came, the first u, whether several)
-        cols = ["v", "u", "doc", "at", "n", "old"]
+        cols = ["v", "u", "doc", "at", "n", "old", "known"]
         for batch in batches:
             g = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in cols}
+            known = g["known"]
+            if known.any():
+                yield _rows("match", g, known)
+                g = {c: x[~known] for c, x in g.items()}
             v, u, old = g["v"], g["u"], g["old"]
             if not len(v):
                 continue
@@ -265,7 +276,7 @@ class SuffixIndex:
         new = batch.select("_ord", "text").mapInArrow(_entries, ENTRY)
         known = new
         for _, level in self.levels:
-            known = known.union(level.select("v", "u", "doc", "at", "n", F.lit(True).alias("old")))
+            known = known.union(level.select("v", "u", "doc", "at", "n", F.lit(True).alias("old"), F.lit(False).alias("known")))
         order = known.repartition(partitions(spark), "v").sortWithinPartitions("v", "u", "doc", "at")
         found = spill(order.mapInArrow(_scan(keep), SCAN), "scan")
         free_shuffles(spark)
