@@ -343,12 +343,11 @@ def _verified(texts: DataFrame, marks: DataFrame, pairs: DataFrame) -> DataFrame
     return out
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """_ord, doc_id, n_shingles, sid and comp (the name of a set in the same component) of every row, written."""
-    spark = docs.sparkSession
-    slim, _ = ordered_documents(docs)
+def classes(slim: DataFrame) -> DataFrame:
+    """_ord, doc_id, n_shingles, sid and comp (the name of a set in the same component) of every row of ``slim`` (numbered by ``ordered_documents``), written."""
+    spark = slim.sparkSession
     texts = slim.select("text")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    id_type = slim.schema["doc_id"].dataType.simpleString()
     profile = spill(slim.select("_ord", "doc_id", "text").mapInArrow(_profile, f"at long, doc_id {id_type}, n long, sid long, digest binary, block int, counts binary"), "profile")
     marks = profile.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("digest").alias("digest"))
     levels = spark.sparkContext.broadcast(sketch(profile))
@@ -383,7 +382,11 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def find(docs: DataFrame) -> DataFrame:
     """_ord, doc_id, n_shingles, component_id and first (the _ord of the component's first row) of every row of ``docs``."""
-    rows = classes(docs)
+    return _firsts(ordered_documents(docs)[0])
+
+
+def _firsts(slim: DataFrame) -> DataFrame:
+    rows = classes(slim)
     least = rows.where("n_shingles > 0").groupBy(F.col("comp").alias("_c")).agg(F.min("doc_id").alias("_id"), F.min("_ord").alias("_first"))
     out = rows.join(least, (F.col("n_shingles") > 0) & (F.col("comp") == F.col("_c")), "left")
     return out.select("_ord", "doc_id", "n_shingles", F.coalesce("_id", "doc_id").alias("component_id"), F.coalesce("_first", "_ord").alias("first"))
@@ -391,11 +394,10 @@ def find(docs: DataFrame) -> DataFrame:
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """One row of each component, that of the least doc_id; all columns."""
-    kept = find(docs).where("_ord = first")
-    slim, written = ordered_documents(docs, *[c for c in docs.columns if c not in ("doc_id", "text")])
-    if written is None:
-        return docs.join(kept.select(F.col("_ord").alias("_kept")), F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
-    return slim.join(kept.select(F.col("_ord").alias("_kept")), F.col("_ord") == F.col("_kept"), "left_semi").select(*docs.columns)
+    # numbered once: a second sort may cut its ranges elsewhere and number rows otherwise
+    slim, _ = ordered_documents(docs, *[c for c in docs.columns if c not in ("doc_id", "text")])
+    kept = _firsts(slim).where("_ord = first").select(F.col("_ord").alias("_kept"))
+    return slim.join(kept, F.col("_ord") == F.col("_kept"), "left_semi").select(*docs.columns)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import brute
+from pyspark.sql import functions as F
 
 from starmill.llm import ngram_join
 
@@ -42,3 +43,19 @@ def test_family_that_no_leader_holds_together(make):
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.find(make(rows)).collect()}
     want = {i: c for i, _, c in brute.jaccard_components(rows)}
     assert got == want and 1 < len(set(want.values())) < 60
+
+
+def test_filter_with_null_and_repeated_ids_over_many_partitions(spark):
+    n = 20000
+    word = lambda k: F.concat(F.lit("w"), F.col("id") * 7 + k)
+    text = F.concat_ws(" ", *[word(k) for k in range(7)])
+    wide = F.sha2(F.col("id").cast("string"), 512)
+    d = spark.range(n).select(F.when(F.col("id") != 77, F.col("id") % (n - 1)).alias("doc_id"), text.alias("text"), *[F.concat(wide, F.lit(str(k))).alias(f"c{k}") for k in range(8)])
+    copies = d.where("doc_id % 10 = 0").withColumn("doc_id", F.col("doc_id") + n)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        kept = [(r["doc_id"], r["text"]) for r in ngram_join.filter_documents(d.union(copies)).select("doc_id", "text").collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert sorted(kept, key=str) == sorted(((r["doc_id"], r["text"]) for r in d.select("doc_id", "text").collect()), key=str)
