@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --------------------------------------------------------------------------
 # scratch tables
@@ -75,13 +76,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ordered_documents(docs: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame | None]:
     """``_ord`` (unique, ascending with doc_id), doc_id, text and ``extra`` of ``docs``; and the table to drop, if one was written.
 
-    doc_id itself is the key while it is unique and never null. Otherwise rows are
+    doc_id itself is the key while it is a whole number, unique and never null. Otherwise rows are
     ranged by doc_id (null last) and then text, and a row's place gives its key, so
     that repeated rows are separate documents in a fixed order.
     """
     slim = docs.select("doc_id", "text", *extra)
     odd = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1)
-    if not odd.take(1):
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType) and not odd.take(1):
         return slim.withColumn("_ord", F.col("doc_id").cast("long")), None
     placed = slim.sort(F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first(), *extra)
     kept = spill(placed.withColumn("_ord", F.monotonically_increasing_id()), "ordered")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import ALNUM, BYTE_LOWER, chunks, prefix_hash, span_hash, table, words
+from starmill.llm.common import ALNUM, BYTE_LOWER, chunks, ordered_documents, prefix_hash, span_hash, table, words
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -228,9 +228,11 @@ def _with_last(it):
 
 
 def filter_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no contaminated row, all columns."""
-    bad = find(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of ``docs`` that aren't contaminated, all columns; each row by its own verdict, but rows without a doc_id go or stay together."""
+    slim, _ = ordered_documents(docs, *[c for c in docs.columns if c not in ("doc_id", "text")])
+    key = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("_ord"))
+    bad = find(slim.select(key.alias("doc_id"), "text"), benchmark).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    return slim.withColumn("_key", key).join(bad, F.col("_key") == F.col("_bad"), "left_anti").select(*docs.columns)
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

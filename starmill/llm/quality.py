@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import drop_scratch, spill
+from starmill.llm.common import drop_scratch, ordered_documents, spill
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -39,14 +39,15 @@ class Risk:
     steps: int = 50
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id, lang and the counts of every row of ``docs``."""
+def features(docs: DataFrame, *keys: str) -> DataFrame:
+    """doc_id, ``keys``, lang and the counts of every row of ``docs``."""
+    ids = ["doc_id", *keys]
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", lang.alias("lang"), text.alias("text"))
-    d = d.select("doc_id", "lang", "text", F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "").alias("words"), F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
+    d = docs.select(*ids, lang.alias("lang"), text.alias("text"))
+    d = d.select(*ids, "lang", "text", F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "").alias("words"), F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     d = d.select(
-        "doc_id",
+        *ids,
         "lang",
         F.size("words").cast("long").alias("n_words"),
         F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.char_length(w)).alias("word_chars"),
@@ -57,17 +58,17 @@ def features(docs: DataFrame) -> DataFrame:
     )
     last = F.size("h") - F.lit(WINDOW)
     windows = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(WINDOW)])))
-    d = d.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", windows.alias("w"))
+    d = d.select(*ids, "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", windows.alias("w"))
     d = d.withColumn("again", F.size(F.array_distinct("w")) < F.size("w"))
     # (hash, place) in order: a window that occurs again stands beside its like
     placed = F.when(F.col("again"), F.sort_array(F.transform("w", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))
-    d = d.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", placed.alias("p"))
+    d = d.select(*ids, "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", placed.alias("p"))
     same = lambda j, k: F.coalesce(F.get("p", j)["x"] == F.get("p", k)["x"], F.lit(False))
     starts = F.sort_array(F.transform(F.filter(F.transform("p", lambda q, j: F.struct(q["i"].alias("i"), ((j > 0) & same(j - 1, j) | same(j + 1, j)).alias("again"))), lambda q: q["again"]), lambda q: q["i"]))
-    d = d.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", starts.alias("s"))
+    d = d.select(*ids, "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", starts.alias("s"))
     span = F.transform("s", lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get("s", j + 1) - x, F.lit(WINDOW))))
     covered = F.coalesce(F.aggregate(span, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0))
-    return d.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", covered.cast("long").alias("n_repeat_words"))
+    return d.select(*ids, "lang", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", covered.cast("long").alias("n_repeat_words"))
 
 
 def base_failed() -> Column:
@@ -122,9 +123,9 @@ def cutoffs(found: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFra
     return best.select("lang", "rule", "step")
 
 
-def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """A row per row of ``docs``: its counts, base_failed, kept, and the rules that rejected it."""
-    found = spill(features(docs), "quality")
+def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), keys: tuple[str, ...] = ()) -> DataFrame:
+    """A row per row of ``docs``: its ``keys``, counts, base_failed, kept, and the rules that rejected it."""
+    found = spill(features(docs, *keys), "quality")
     chosen = cutoffs(found, labels, risk).groupBy(F.col("lang").alias("_lang")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "step"))).alias("_cut"))
     # as many rows as strata and rules; written, so that its size is known when the join is planned
     chosen = spill(chosen, "cutoffs")
@@ -135,9 +136,10 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns. Rows of one doc_id are kept if any of them is."""
-    kept = judge(docs, labels, risk).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` that are kept, all columns; each row by its own verdict, whatever its doc_id."""
+    slim, _ = ordered_documents(docs, *[c for c in docs.columns if c not in ("doc_id", "text")])
+    kept = judge(slim, labels, risk, ("_ord",)).where("kept").select(F.col("_ord").alias("_kept"))
+    return slim.join(kept, F.col("_ord") == F.col("_kept"), "left_semi").select(*docs.columns)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

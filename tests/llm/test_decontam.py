@@ -43,3 +43,11 @@ def test_index_finds_all_places():
             for p, lo, hi in zip(phrases, *index.search(phrases), strict=True):
                 want = [i for i in range(n - k + 1) if (text[i : i + k] == p).all()]
                 assert sorted(index.locate(np.arange(lo, hi)).tolist()) == want
+
+
+def test_filter_goes_by_row_where_ids_repeat(spark, make):
+    bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    d = make([(1, "alpha beta gamma"), (1, "clean words"), (1, "alpha beta gamma"), (1, None), (2, "other words"), (None, "no id")])
+    kept = decontam.filter_documents(d, bench)
+    assert kept.columns == d.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, "clean words"), (1, None), (2, "other words"), (None, "no id")], key=str)

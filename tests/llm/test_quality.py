@@ -43,3 +43,13 @@ def test_empty_tables_and_repeated_rows(spark, make):
     assert quality.judge(make([]), none).collect() == []
     d = make([(1, "a " * 30), (1, "b c " * 30), (None, None)])
     assert quality.judge(d, none).count() == 3
+
+
+def test_filter_goes_by_row(spark, make):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    good = [" ".join(f"w{k}_{j}" for j in range(30)) for k in range(4)]
+    rows = [(1, good[0]), (1, "too short"), (1, good[1]), (None, good[2]), (None, None), (None, good[3]), (2, "short")]
+    d = make(rows)
+    kept = quality.filter_documents(d, none)
+    assert kept.columns == d.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, good[0]), (1, good[1]), (None, good[2]), (None, good[3])], key=str)
