@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from starmill.llm.common import spill, table
 
 CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:map<string,string>>>>"
+TYPED = "struct<tool_calls:array<struct<arguments:map<string,variant>>>>"
 RESULT = "struct<tool_call_id:string,content:string>"
 SCHEMA_TYPE = "tool string, argument string, kind string, required boolean"
 
@@ -43,7 +44,7 @@ TOOLS = [
     ("weather", "place", "string", True),
     ("weather", "days", "integer", False),
 ]
-_KINDS = {"integer": r"^-?\d+$", "number": r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$", "boolean": "^(true|false)$", "object": r"^\s*\{", "array": r"^\s*\["}
+_KINDS = {"integer": r"^-?\d+$", "number": r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$", "boolean": "^(true|false)$", "object": r"(?s)^\s*\{", "array": r"(?s)^\s*\["}
 LAST = (1 << 62) - 1
 
 
@@ -51,11 +52,25 @@ def _parts(messages: DataFrame) -> DataFrame:
     """Messages, calls and results, one row each, with their place in the turn."""
     m = messages.select("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(LAST)).alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     m = m.withColumn("calls", F.when((F.col("role") == "assistant") & F.col("text").startswith("{"), F.from_json("text", CALLS)["tool_calls"]))
+    m = m.withColumn("typed", F.when(F.col("role") == "assistant", F.when(F.col("text").startswith("{"), F.from_json("text", TYPED)["tool_calls"])))
     m = m.withColumn("result", F.when((F.col("role") == "tool") & F.col("text").startswith("{"), F.from_json("text", RESULT)))
     is_call = F.coalesce(F.size("calls") > 0, F.lit(False))
     m = m.withColumn("kind", F.when(is_call, "call").when(F.col("result.tool_call_id").isNotNull(), "result").otherwise("message"))
     none = F.array(F.lit(None).cast("struct<id:string,name:string,arguments:map<string,string>>"))
-    return m.select("conv_id", "turn", "role", "text", "kind", "result", F.posexplode(F.when(is_call, F.col("calls")).otherwise(none)).alias("nth", "call"))
+    m = m.select("conv_id", "turn", "role", "text", "kind", "result", "typed", F.posexplode(F.when(is_call, F.col("calls")).otherwise(none)).alias("nth", "call"))
+    # the JSON type of each argument, and nested values with sorted keys; null where an object repeats a key
+    shape = F.transform_values(F.get("typed", F.col("nth"))["arguments"], lambda k, v: F.struct(_type(F.schema_of_variant(v)).alias("type"), F.to_json(v).alias("json")))
+    return m.select("conv_id", "turn", "role", "text", "kind", "result", "nth", "call", F.when(F.col("kind") == "call", shape).alias("shape"))
+
+
+def _type(told: F.Column) -> F.Column:
+    c = F.when(told == "STRING", "string").when(told == "BOOLEAN", "boolean").when(told == "VOID", "null")
+    return c.when(told.startswith("OBJECT"), "object").when(told.startswith("ARRAY"), "array").otherwise("number")
+
+
+def _type_of(name: F.Column) -> F.Column:
+    """The JSON type of an argument; null if it isn't known."""
+    return F.element_at("shape", name)["type"]
 
 
 def _statuses(calls: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -67,10 +82,12 @@ def _statuses(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     missing = F.get(F.filter("wanted", lambda a: a["required"] & value(a).isNull()), F.lit(0))["argument"]
 
     def wrong(a):
-        test = F.lit(False)
+        told = _type_of(a["argument"])
+        test = (a["kind"] == "string") & (told != "string")
         for kind, pattern in _KINDS.items():
-            test = F.when(a["kind"] == kind, ~value(a).rlike(pattern)).otherwise(test)
-        return value(a).isNotNull() & test
+            json = "number" if kind == "integer" else kind
+            test = F.when(a["kind"] == kind, (told != json) | ~value(a).rlike(pattern)).otherwise(test)
+        return value(a).isNotNull() & F.coalesce(test, F.lit(False))
 
     bad = F.get(F.filter("wanted", wrong), F.lit(0))["argument"]
     names = F.transform("wanted", lambda a: a["argument"])
@@ -128,7 +145,7 @@ def format_chats(messages: DataFrame, schemas: DataFrame) -> DataFrame:
 
 
 def _linked(tools: DataFrame, schemas: DataFrame) -> DataFrame:
-    calls = tools.where("kind = 'call'").select("conv", "conv_id", "turn", "nth", "role", "text", F.coalesce("call.id", F.lit("")).alias("id"), F.coalesce("call.name", F.lit("")).alias("name"), F.coalesce("call.arguments", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))).alias("arguments"))
+    calls = tools.where("kind = 'call'").select("conv", "conv_id", "turn", "nth", "role", "text", F.coalesce("call.id", F.lit("")).alias("id"), F.coalesce("call.name", F.lit("")).alias("name"), F.coalesce("call.arguments", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))).alias("arguments"), "shape")
     calls = calls.withColumn("copy", F.row_number().over(Window.partitionBy("conv", "id").orderBy("turn", "role", "text", "nth")))
     calls = calls.withColumn("needs", F.array_distinct(F.flatten(F.transform(F.map_values("arguments"), lambda v: F.regexp_extract_all(v, F.lit(r"\$ref:([A-Za-z0-9_.-]+)"), F.lit(1))))))
     calls = spill(_statuses(calls, schemas), "calls")
@@ -137,8 +154,8 @@ def _linked(tools: DataFrame, schemas: DataFrame) -> DataFrame:
     depths = spill(_depths(calls, results), "placed-calls")
     answered = results.select("conv", "id").distinct().withColumn("linked", F.lit(True))
     keys = F.sort_array(F.map_keys("arguments"))
-    # arguments keep the text of their values: a JSON string in quotes, anything else as it came
-    body = F.concat(F.lit("{"), F.array_join(F.transform(keys, lambda k: F.concat(_quoted(k), F.lit(":"), _value(F.element_at("arguments", k)))), ","), F.lit("}"))
+    # arguments keep their JSON types: strings in quotes, nested values with sorted keys, anything else as it came
+    body = F.concat(F.lit("{"), F.array_join(F.transform(keys, lambda k: F.concat(_quoted(k), F.lit(":"), _value(k))), ","), F.lit("}"))
     c = calls.join(depths, ["conv", "id"], "left").join(answered, ["conv", "id"], "left")
     status = F.when(F.col("copy") > 1, "duplicate_id").otherwise(F.coalesce("wait", "status", F.lit("ok")))
     line = F.concat(F.lit('{"arguments":'), body, F.lit(',"id":'), _quoted(F.col("id")), F.lit(',"name":'), _quoted(F.col("name")), F.lit(',"type":"call"}'))
@@ -154,8 +171,11 @@ def _quoted(c) -> F.Column:
     return F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
 
 
-def _value(v) -> F.Column:
-    return F.when(v.isNull(), "null").when(v.rlike(r"^(-?\d+(\.\d+)?([eE][+-]?\d+)?|true|false|null)$") | v.rlike(r"(?s)^\s*[\[{].*[\]}]\s*$"), v).otherwise(_quoted(v))
+def _value(name: F.Column) -> F.Column:
+    v, told = F.element_at("arguments", name), _type_of(name)
+    # of an unknown type: by its text, as far as that is JSON
+    bare = v.rlike(r"^(-?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?|true|false|null)$") | v.rlike(r"(?s)^\s*[\[{].*[\]}]\s*$")
+    return F.when(v.isNull(), "null").when(told == "string", _quoted(v)).when(told.isin("object", "array"), F.element_at("shape", name)["json"]).when(told.isNotNull() | bare, v).otherwise(_quoted(v))
 
 
 def _placed(lines: DataFrame) -> DataFrame:

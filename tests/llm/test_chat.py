@@ -51,3 +51,16 @@ def test_long_conversation_is_gapless(spark):
     rows = [(7, t, "user" if t % 2 else "assistant", str(t)) for t in range(2000)]
     got = run(spark, rows)
     assert [r["place"] for r in got] == list(range(2000)) == [r["turn"] for r in got]
+
+
+def test_arguments_keep_their_types(spark):
+    good = {"place": "02134", "days": 5}
+    odd = {"place": "true", "days": "5"}
+    rows = [(1, 0, "assistant", call(("g", "weather", good), ("o", "weather", odd), ("n", "weather", {"place": 5}), ("x", "nope", {"a": "5", "b": {"z": "1", "a": [1, "2"]}, "c": "[x]", "d": None, "e": True, "f": "null"})))]
+    got = {r["call_id"]: r for r in run(spark, rows)}
+    args = {i: json.loads(r["line"])["arguments"] for i, r in got.items()}
+    assert args["g"] == good and args["o"] == odd and args["n"] == {"place": 5}
+    assert args["x"] == {"a": "5", "b": {"z": "1", "a": [1, "2"]}, "c": "[x]", "d": None, "e": True, "f": "null"}
+    assert {i: r["status"] for i, r in got.items()} == {"g": "ok", "o": "type:days", "n": "type:place", "x": "unknown_tool"}
+    for r in got.values():
+        assert r["line"] == json.dumps(json.loads(r["line"]), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
