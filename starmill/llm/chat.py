@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import spill, table
+from starmill.llm.common import drop_scratch, spill, table
 
 CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:map<string,string>>>>"
 TYPED = "struct<tool_calls:array<struct<arguments:map<string,variant>>>>"
@@ -96,11 +96,11 @@ def _statuses(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     return d.withColumn("status", status).drop("_tool", "wanted")
 
 
-def _depths(calls: DataFrame, results: DataFrame, most_rounds: int = 64) -> DataFrame:
+def _depths(calls: DataFrame, results: DataFrame) -> DataFrame:
     """(conv, id, at, wait): the turn at which each first call of its identifier can stand; wait is "cycle" or "dangling" if its needs can't be met.
 
     Rounds over the open calls; those still open when a round closes none are in a
-    cycle or behind one. Each round is written.
+    cycle or behind one. Each round is written; there are as many as the longest chain has calls.
     """
     told = results.where("copy = 1").select("conv", "id", F.col("turn").alias("told"))
     first = calls.where("copy = 1").select("conv", "id", "turn", "needs").join(told, ["conv", "id"], "left")
@@ -113,17 +113,17 @@ def _depths(calls: DataFrame, results: DataFrame, most_rounds: int = 64) -> Data
     dangling = need.where("kid IS NULL").select("conv", "id").distinct()
     need = spill(need.where("kid IS NOT NULL").select("conv", "id", "need"), "needs")
     state = spill(first.join(dangling.withColumn("d", F.lit(True)), ["conv", "id"], "left").select("conv", "id", "turn", "told", F.when(F.col("d") | (F.size("needs") == 0), F.col("turn")).alias("at"), F.when(F.col("d") | (F.size("needs") == 0), 0).alias("level"), F.when(F.col("d"), "dangling").alias("wait")), "depths")
-    for _ in range(most_rounds):
-        before = state.where("at IS NULL").count()
-        if not before:
-            break
+    still = state.where("at IS NULL").count()
+    before = still + 1
+    while 0 < still < before:
         got = need.join(state.select(F.col("conv").alias("sc"), F.col("id").alias("sid"), F.greatest("told", F.col("at")).alias("nat"), F.col("at").isNull().alias("waits"), F.col("level").alias("nlevel")), (F.col("conv") == F.col("sc")) & (F.col("need") == F.col("sid")))
         ready = got.groupBy("conv", "id").agg(F.max("nat").alias("m"), F.max("nlevel").alias("l"), F.count_if("waits").alias("open")).where("open = 0")
         new = state.join(ready.select("conv", "id", "m", "l"), ["conv", "id"], "left")
         new = new.select("conv", "id", "turn", "told", F.coalesce("at", F.when(F.col("m").isNotNull(), F.greatest("turn", "m"))).alias("at"), F.coalesce("level", F.col("l") + 1).alias("level"), "wait")
-        state = spill(new, "depths")
-        if state.where("at IS NULL").count() == before:
-            break
+        new = spill(new, "depths")
+        drop_scratch(state)
+        state = new
+        before, still = still, state.where("at IS NULL").count()
     return state.select("conv", "id", F.coalesce("at", "turn").alias("at"), F.coalesce("level", F.lit(0)).alias("level"), F.when(F.col("at").isNull(), "cycle").otherwise(F.col("wait")).alias("wait"))
 
 

@@ -53,6 +53,18 @@ def test_long_conversation_is_gapless(spark):
     assert [r["place"] for r in got] == list(range(2000)) == [r["turn"] for r in got]
 
 
+def test_long_chain_is_no_cycle(spark):
+    n = 200
+    rows = [(1, 0, "assistant", call(*[(f"c{k}", "search", {"query": f"$ref:c{k - 1}" if k else "x"}) for k in reversed(range(n))]))]
+    rows += [(1, 1 + k, "tool", result(f"c{k}")) for k in range(n)]
+    rows += [(2, 0, "assistant", call(("a", "search", {"query": "$ref:b"}), ("b", "search", {"query": "$ref:a"})))]
+    got = run(spark, rows)
+    assert {r["status"] for r in got if r["conv_id"] == 2} == {"cycle"}
+    one = [(r["kind"], r["call_id"]) for r in got if r["conv_id"] == 1]
+    assert {r["status"] for r in got if r["conv_id"] == 1} == {"ok"}
+    assert one == [(kind, f"c{k}") for k in range(n) for kind in ("call", "result")]
+
+
 def test_arguments_keep_their_types(spark):
     good = {"place": "02134", "days": 5}
     odd = {"place": "true", "days": "5"}
