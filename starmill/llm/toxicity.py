@@ -1,16 +1,15 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Fitting, from labelled rows only, at most ``Limits.examples`` of each class (those
-least by a hash of their doc_id) and ``Limits.terms`` terms (those that tell the
-classes apart best, by a chi-square test over the examples): idf of the terms comes
-from all documents. A vector has the weight (1 + ln tf) * idf for each of the terms
+least by a hash of their doc_id) and all terms that tell the classes apart (in 4
+examples at least, by a chi-square test; however many): idf of the terms comes from
+all documents. A vector has the weight (1 + ln tf) * idf for each of the terms
 and, as one more dimension, ``REST`` * ln(1 + other words), so that a lone term in
 a long text differs from many in a short one.
 
-Scoring: the examples, alike ones in the same blocks, are held in an inverted index
-with the greatest weight of every term in every block. For a text, blocks are
-bounded from above; the best ones are scored, and then all whose bound exceeds the
-k-th similarity so far, so that the k nearest are exact. They vote with their
+Scoring: the examples are held in an inverted index, its longest lists as a matrix.
+A batch of texts is scored against all examples at once; no list or example is
+skipped, so that the k nearest are exact. They vote with their
 similarity to the power ``SHARP``, clean examples counting for the rows they stand
 for; votes are calibrated by isotonic regression over the examples themselves, each
 scored without itself. Evidence: the nearest examples with similarity and label.
@@ -37,15 +36,15 @@ from starmill.llm.common import ALNUM, BYTE_LOWER, chunks, prefix_hash, span_has
 
 REST = 1.0
 SHARP = 4.0
-BLOCK = 64
+BATCH = 64
+COMMON = 16
+"""A term is common if more than one of so many examples has it."""
 
 
 @dataclass(frozen=True)
 class Limits:
     examples: int = 5_000
-    terms: int = 128
     chi_square: float = 18.0
-    lift: float = 4.0
     nearest: int = 25
     threshold: float = 0.7
 
@@ -118,62 +117,66 @@ def vectors(rest: np.ndarray, row: np.ndarray, term: np.ndarray, tf: np.ndarray,
 
 
 class Index:
-    """The examples, in blocks of alike ones, with the greatest weight of each term in each block."""
+    """The examples by term; terms that many examples have are held as rows of a matrix too."""
 
     def __init__(self, ids: np.ndarray, toxic: np.ndarray, count: np.ndarray, rest: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int):
-        # alike: the heaviest term, then its weight
-        order = np.lexsort((-weight, row))
-        head = np.full(len(ids), -1, np.int64)
-        head[row[order][::-1]] = term[order][::-1]
-        place = np.lexsort((rest, head))
-        back = np.empty(len(ids), np.int64)
-        back[place] = np.arange(len(ids))
-        self.ids, self.toxic, self.count, self.rest = ids[place], toxic[place], count[place], rest[place]
-        row = back[row]
+        self.ids, self.toxic, self.count, self.rest = ids, toxic, count, rest
         order = np.lexsort((row, term))
         self.row, self.weight = row[order], weight[order]
         self.start = np.searchsorted(term[order], np.arange(terms + 1))
-        self.blocks = -(-len(ids) // BLOCK)
-        self.most = np.zeros((terms, self.blocks))
-        np.maximum.at(self.most, (term[order], self.row // BLOCK), self.weight)
-        self.most_rest = np.zeros(self.blocks)
-        np.maximum.at(self.most_rest, np.arange(len(ids)) // BLOCK, self.rest)
-
-    def _scores(self, base: float, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, similarities) of whole blocks."""
-        who = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        who = who[who < len(self.ids)]
-        chosen = np.zeros(self.blocks, bool)
-        chosen[blocks] = True
-        sims = np.zeros(len(self.ids))
-        for t, w in zip(term, weight, strict=True):
-            r = slice(self.start[t], self.start[t + 1])
-            post = self.row[r]
-            hit = chosen[post // BLOCK]
-            sims[post[hit]] += w * self.weight[r][hit]
-        return who, sims[who] + base * self.rest[who]
+        self._common: tuple[np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_common": None}
+
+    def _matrix(self) -> tuple[np.ndarray, np.ndarray]:
+        """The matrix row of each term (-1: none), and the matrix; its last row is of the other words."""
+        if self._common is None:
+            common = np.flatnonzero(COMMON * np.diff(self.start) > len(self.ids))
+            at = np.full(len(self.start) - 1, -1)
+            at[common] = np.arange(len(common))
+            dense = np.zeros((len(common) + 1, len(self.ids)))
+            for i, t in enumerate(common):
+                r = slice(self.start[t], self.start[t + 1])
+                dense[i, self.row[r]] = self.weight[r]
+            dense[-1] = self.rest
+            self._common = at, dense
+        return self._common
+
+    def similarities(self, base: np.ndarray, cut: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Of texts (text i has the terms cut[i] : cut[i + 1]) with all examples."""
+        at, dense = self._matrix()
+        n, who = len(self.ids), np.repeat(np.arange(len(base)), np.diff(cut))
+        q = np.zeros((len(base), len(dense)))
+        q[:, -1] = base
+        held = at[term] >= 0
+        q[who[held], at[term[held]]] = weight[held]
+        out = q @ dense
+        t, who, weight = term[~held], who[~held], weight[~held]
+        size = self.start[t + 1] - self.start[t]
+        if size.sum():
+            post = np.repeat(self.start[t] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            out += np.bincount(np.repeat(who, size) * n + self.row[post], np.repeat(weight, size) * self.weight[post], len(base) * n).reshape(out.shape)
+        # equal vectors in different batches differ in the last bits
+        return np.round(out, 12)
+
+    def nearest_of(self, base: np.ndarray, cut: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, without: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The k nearest examples of each text, exactly, nearest first; ties by place."""
+        for lo in range(0, len(base), BATCH):
+            hi = min(lo + BATCH, len(base))
+            part = slice(cut[lo], cut[hi])
+            sims = self.similarities(base[lo:hi], cut[lo : hi + 1] - cut[lo], term[part], weight[part])
+            for i, sim in enumerate(sims, lo):
+                if without is not None and without[i] >= 0 and self.count[without[i]] <= 1:
+                    sim[without[i]] = -np.inf
+                who = np.flatnonzero(sim >= np.partition(sim, -k)[-k]) if len(sim) > k else np.arange(len(sim))
+                who = who[np.lexsort((who, -sim[who]))][:k]
+                who = who[sim[who] > -np.inf]
+                yield who, sim[who]
 
     def nearest(self, base: float, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples, exactly, nearest first; ties by place."""
-        bound = base * self.most_rest + weight @ self.most[term] if len(term) else base * self.most_rest
-        order = np.argsort(-bound, kind="stable")
-        first = order[: -(-2 * k // BLOCK) + 1]
-        who, sim = self._scores(base, term, weight, first)
-        worst = np.partition(sim, -k - 1)[-k - 1] if len(sim) > k + 1 else -1.0
-        more = order[len(first) :]
-        more = more[bound[more] >= worst - 1e-12]
-        if len(more):
-            w2, s2 = self._scores(base, term, weight, more)
-            who, sim = np.concatenate([who, w2]), np.concatenate([sim, s2])
-        if without >= 0 and self.count[without] <= 1:
-            keep = who != without
-            who, sim = who[keep], sim[keep]
-        if len(sim) > k:  # all that may be among the k, ties included
-            cut = np.partition(sim, -k)[-k]
-            keep = sim >= cut
-            who, sim = who[keep], sim[keep]
-        best = np.lexsort((who, -sim))[:k]
-        return who[best], sim[best]
+        """The k nearest examples of one text."""
+        return next(self.nearest_of(np.array([base]), np.array([0, len(term)]), term, weight, k, np.array([without])))
 
 
 @dataclass
@@ -198,16 +201,11 @@ class Model:
     def calibrate(self) -> None:
         """Isotonic regression of the label on the vote, over the examples, each without itself."""
         x = self.index
-        by: list[list[tuple[int, float]]] = [[] for _ in range(len(x.ids))]
-        for t in range(len(self.terms)):
-            for p in range(x.start[t], x.start[t + 1]):
-                by[x.row[p]].append((t, x.weight[p]))
-        votes = np.empty(len(x.ids))
-        for i, own in enumerate(by):
-            term = np.array([t for t, _ in own], np.int64)
-            weight = np.array([w for _, w in own])
-            who, sim = x.nearest(x.rest[i], term, weight, self.limits.nearest, i)
-            votes[i] = self.vote(who, sim, i)
+        term = np.repeat(np.arange(len(self.terms)), np.diff(x.start))
+        order = np.lexsort((term, x.row))
+        cut, own = np.searchsorted(x.row[order], np.arange(len(x.ids) + 1)), np.arange(len(x.ids))
+        near = x.nearest_of(x.rest, cut, term[order], x.weight[order], self.limits.nearest, own)
+        votes = np.array([self.vote(who, sim, i) for i, (who, sim) in enumerate(near)])
         weight = x.count * np.where(x.toxic == 1, 1.0, self.clean_weight)
         order = np.argsort(votes, kind="stable")
         level: list[list[float]] = []
@@ -243,9 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Model:
     n = float(m1 + m0)
     chi = n * F.pow(a * (m0 - c) - c * (m1 - a), F.lit(2.0)) / (float(m1) * float(m0) * (a + c) * F.greatest(F.lit(n) - a - c, F.lit(1.0)))
     counts = train.mapInArrow(_label_counts, "term long, a long, c long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("c").alias("c"))
-    rate1, rate0 = (a + 0.5) / float(m1 + 1), (c + 0.5) / float(m0 + 1)
-    told = (F.col("chi") >= limits.chi_square) & (F.greatest(rate1 / rate0, rate0 / rate1) >= limits.lift)
-    best = counts.where("a + c >= 4").withColumn("chi", chi).where(told).orderBy(F.desc("chi"), "term").limit(limits.terms)
+    best = counts.where("a + c >= 4").withColumn("chi", chi).where(F.col("chi") >= limits.chi_square)
     terms = np.sort(np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64))
     known = spark.sparkContext.broadcast(terms)
     df = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_document_counts(known), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
@@ -289,15 +285,17 @@ def _score(model, evidence: int):
             for lo, hi, rest, row, term, tf in _sparse(batch.column("text"), m.terms) if m.index else ():
                 base, weight = vectors(np.where(np.bincount(row, minlength=hi - lo) > 0, rest, 0).astype(float), row, term, tf, m.idf)
                 cut = np.searchsorted(row, np.arange(hi - lo + 1))
-                for i in range(hi - lo):
-                    part = slice(cut[i], cut[i + 1])
-                    key = base[i].tobytes() + term[part].tobytes() + weight[part].tobytes()
-                    if key not in seen:
-                        if len(seen) >= 4096:
-                            seen.clear()
-                        who, sim = m.index.nearest(base[i], term[part], weight[part], m.limits.nearest)
-                        near = [{"doc_id": int(m.index.ids[j]), "similarity": float(s), "toxic": int(m.index.toxic[j])} for j, s in zip(who[:evidence], sim[:evidence], strict=True)]
-                        seen[key] = m.score(m.vote(who, sim)), near
+                if len(seen) >= 4096:
+                    seen.clear()
+                keys = [base[i].tobytes() + term[cut[i] : cut[i + 1]].tobytes() + weight[cut[i] : cut[i + 1]].tobytes() for i in range(hi - lo)]
+                new = np.array([i for key, i in {key: i for i, key in enumerate(keys)}.items() if key not in seen], np.int64)
+                size = np.diff(cut)[new]
+                ends = np.append(0, np.cumsum(size))
+                at = np.repeat(cut[new] - ends[:-1], size) + np.arange(ends[-1])
+                for i, (who, sim) in zip(new.tolist(), m.index.nearest_of(base[new], ends, term[at], weight[at], m.limits.nearest), strict=True):
+                    near = [{"doc_id": int(m.index.ids[j]), "similarity": float(s), "toxic": int(m.index.toxic[j])} for j, s in zip(who[:evidence], sim[:evidence], strict=True)]
+                    seen[keys[i]] = m.score(m.vote(who, sim)), near
+                for i, key in enumerate(keys):
                     scores[lo + i], told[lo + i] = seen[key]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= m.limits.threshold).astype(np.int32)), pa.array(told, kind)], names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
