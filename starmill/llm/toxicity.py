@@ -1,11 +1,10 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Fitting, from labelled rows only, at most ``Limits.examples`` of each class (those
-least by a hash of their doc_id) and all terms that tell the classes apart (in 4
-examples at least, by a chi-square test; however many): idf of the terms comes from
-all documents. A vector has the weight (1 + ln tf) * idf for each of the terms
-and, as one more dimension, ``REST`` * ln(1 + other words), so that a lone term in
-a long text differs from many in a short one.
+least by a hash of their doc_id) and all their words: idf comes from all documents,
+and each word's phi (its correlation with the label, without sign) from the examples. A vector has the weight (1 + ln tf) * idf * phi for each of the words, so that none
+is left out, and those that tell the classes apart decide. Words that no example has
+could add to no similarity, have no phi, and count for nothing.
 
 Scoring: the examples are held in an inverted index, its longest lists as a matrix.
 A batch of texts is scored against all examples at once; no list or example is
@@ -14,8 +13,9 @@ similarity to the power ``SHARP``, clean examples counting for the rows they sta
 for; votes are calibrated by isotonic regression over the examples themselves, each
 scored without itself. Evidence: the nearest examples with similarity and label.
 
-Defined results: null and empty texts have the zero vector, which equals that of
-a text without terms; without any labelled row of either class, all scores are the
+Defined results: null and empty texts have the zero vector, which equals only that
+of an example without words; a text that is like no example at all has the share of
+toxic rows as its score; without any labelled row of either class, all scores are the
 share of toxic rows (0.5 without labels); a doc_id labelled more than once is toxic
 if any label says so; labels with null fields count for nothing; repeated rows get
 equal scores; a null doc_id is not held out; extra columns are ignored.
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import ALNUM, BYTE_LOWER, chunks, prefix_hash, span_hash, table, words
 
-REST = 1.0
 SHARP = 4.0
 BATCH = 64
 COMMON = 16
@@ -44,7 +43,6 @@ COMMON = 16
 @dataclass(frozen=True)
 class Limits:
     examples: int = 5_000
-    chi_square: float = 18.0
     nearest: int = 25
     threshold: float = 0.7
 
@@ -75,19 +73,16 @@ def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(toxic), pa.array(np.bincount(at, minlength=len(u)).astype(np.int64) - toxic)], names=["term", "a", "c"])
 
 
-def _sparse(col: pa.Array, terms: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, end row, other words of each row, row, term number, tf) of the chosen terms (sorted hashes)."""
-    for lo, hi, n, t, h in _terms(col):
+def _sparse(col: pa.Array, terms: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, row, term number, tf) of the chosen terms (sorted hashes)."""
+    for lo, hi, _, t, h in _terms(col):
+        row = term = tf = np.zeros(0, np.int64)
         if len(terms) and len(h):
             at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
             hit = terms[at] == h
             key, tf = np.unique(t[hit] * len(terms) + at[hit], return_counts=True)
             row, term = key // len(terms), key % len(terms)
-            rest = n - np.bincount(t[hit], minlength=hi - lo)
-        else:
-            row = term = tf = np.zeros(0, np.int64)
-            rest = n
-        yield lo, hi, rest, row, term, tf
+        yield lo, hi, row, term, tf
 
 
 def _document_counts(terms):
@@ -97,23 +92,21 @@ def _document_counts(terms):
         chosen = terms.value
         df, total = np.zeros(len(chosen), np.int64), 0
         for batch in batches:
-            for lo, hi, _, _, term, _ in _sparse(batch.column("text"), chosen):
+            for lo, hi, _, term, _ in _sparse(batch.column("text"), chosen):
                 df += np.bincount(term, minlength=len(chosen))
                 total += hi - lo
-        yield pa.RecordBatch.from_pydict({"term": pa.array(np.arange(-1, len(chosen))), "df": pa.array(np.append(total, df))})
+        has = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(-1, has)), "df": pa.array(np.append(total, df[has]))})
 
     return run
 
 
-def vectors(rest: np.ndarray, row: np.ndarray, term: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Normalised weights: of the other words of each row, and of each (row, term)."""
+def vectors(count: int, row: np.ndarray, term: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``count`` rows, 1 for each zero vector (0 for others); and the normalised weight of each (row, term)."""
     w = (1 + np.log(np.maximum(tf, 1))) * idf[term]
-    base = REST * np.log1p(rest)
-    norm = np.sqrt(base**2 + np.bincount(row, weights=w**2, minlength=len(rest)))
-    norm[norm == 0] = 1
-    out = base / norm
-    out[norm == 1] = np.where(base[norm == 1] == 0, 1.0, out[norm == 1])
-    return out, w / norm[row]
+    norm = np.sqrt(np.bincount(row, weights=w**2, minlength=count))
+    zero = norm == 0
+    return zero.astype(float), w / np.where(zero, 1, norm)[row]
 
 
 class Index:
@@ -122,7 +115,7 @@ class Index:
     def __init__(self, ids: np.ndarray, toxic: np.ndarray, count: np.ndarray, rest: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int):
         self.ids, self.toxic, self.count, self.rest = ids, toxic, count, rest
         order = np.lexsort((row, term))
-        self.row, self.weight = row[order], weight[order]
+        self.row, self.weight = row[order].astype(np.int32), weight[order]
         self.start = np.searchsorted(term[order], np.arange(terms + 1))
         self._common: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -130,7 +123,7 @@ class Index:
         return self.__dict__ | {"_common": None}
 
     def _matrix(self) -> tuple[np.ndarray, np.ndarray]:
-        """The matrix row of each term (-1: none), and the matrix; its last row is of the other words."""
+        """The matrix row of each term (-1: none), and the matrix; its last row is of the zero vectors."""
         if self._common is None:
             common = np.flatnonzero(COMMON * np.diff(self.start) > len(self.ids))
             at = np.full(len(self.start) - 1, -1)
@@ -241,13 +234,17 @@ def fit(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Model:
     n = float(m1 + m0)
     chi = n * F.pow(a * (m0 - c) - c * (m1 - a), F.lit(2.0)) / (float(m1) * float(m0) * (a + c) * F.greatest(F.lit(n) - a - c, F.lit(1.0)))
     counts = train.mapInArrow(_label_counts, "term long, a long, c long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("c").alias("c"))
-    best = counts.where("a + c >= 4").withColumn("chi", chi).where(F.col("chi") >= limits.chi_square)
-    terms = np.sort(np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64))
+    # as many rows as the examples have words
+    best = counts.withColumn("chi", chi).select("term", "chi").toArrow()
+    terms, chi = best["term"].to_numpy().view(np.uint64), best["chi"].to_numpy()
+    order = np.argsort(terms)
+    terms, phi = terms[order], np.sqrt(chi[order] / n)
     known = spark.sparkContext.broadcast(terms)
-    df = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_document_counts(known), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    got = {r["term"]: r["df"] for r in df.collect()}  # a row per chosen term
-    total = got.get(-1, 0)
-    idf = np.log((1 + total) / (1 + np.array([got.get(i, 0) for i in range(len(terms))], float))) + 1 if len(terms) else np.zeros(0)
+    df = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_document_counts(known), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    at, had = df["term"].to_numpy(), df["df"].to_numpy()
+    total, got = had[at < 0].sum(), np.zeros(len(terms))
+    got[at[at >= 0]] = had[at >= 0]
+    idf = (np.log((1 + total) / (1 + got)) + 1) * phi
     model = Model(terms, idf, None, prior, (n0 / m0) / (n1 / m1), limits)
     model.index = _index(train, model)
     model.calibrate()
@@ -260,19 +257,17 @@ def _index(train: DataFrame, model: Model) -> Index:
 
     def run(batches):
         for batch in batches:
-            for lo, hi, rest, row, term, tf in _sparse(batch.column("text"), known.value):
-                cut = np.searchsorted(row, np.arange(hi - lo + 1))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), batch.column("toxic").slice(lo, hi - lo), pa.array(np.where(cut[1:] > cut[:-1], rest, 0).astype(np.int64)), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(term.astype(np.int64))), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(tf.astype(np.int64)))], names=["id", "toxic", "rest", "term", "tf"])
+            for lo, hi, row, term, tf in _sparse(batch.column("text"), known.value):
+                cut = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), batch.column("toxic").slice(lo, hi - lo), pa.ListArray.from_arrays(cut, pa.array(term.astype(np.int64))), pa.ListArray.from_arrays(cut, pa.array(tf.astype(np.int64)))], names=["id", "toxic", "term", "tf"])
 
-    # bounded by the number of examples and terms
-    rows = train.mapInArrow(run, "id long, toxic long, rest long, term array<long>, tf array<long>").groupBy("toxic", "rest", "term", "tf").agg(F.min("id").alias("id"), F.count("*").alias("n")).orderBy("id").collect()
-    sizes = np.array([len(r["term"]) for r in rows])
-    row = np.repeat(np.arange(len(rows)), sizes)
-    term = np.array([t for r in rows for t in r["term"]], np.int64)
-    tf = np.array([t for r in rows for t in r["tf"]], np.int64)
-    rest, weight = vectors(np.array([r["rest"] for r in rows], float), row, term, tf, model.idf)
-    as_array = lambda c: np.array([r[c] for r in rows], np.int64)
-    return Index(as_array("id"), as_array("toxic"), as_array("n"), rest, row, term, weight, len(model.terms))
+    # bounded by the number of examples and their words
+    rows = train.mapInArrow(run, "id long, toxic long, term array<long>, tf array<long>").groupBy("toxic", "term", "tf").agg(F.min("id").alias("id"), F.count("*").alias("n")).orderBy("id").toArrow().combine_chunks()
+    size = pc.list_value_length(rows["term"]).to_numpy()
+    row = np.repeat(np.arange(len(size)), size)
+    term, tf = (pc.list_flatten(rows[c]).to_numpy() for c in ("term", "tf"))
+    rest, weight = vectors(len(size), row, term, tf, model.idf)
+    return Index(rows["id"].to_numpy(), rows["toxic"].to_numpy(), rows["n"].to_numpy(), rest, row, term, weight, len(model.terms))
 
 
 def _score(model, evidence: int):
@@ -282,8 +277,8 @@ def _score(model, evidence: int):
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
         for batch in batches:
             scores, told = np.full(len(batch), m.prior), [[]] * len(batch)
-            for lo, hi, rest, row, term, tf in _sparse(batch.column("text"), m.terms) if m.index else ():
-                base, weight = vectors(np.where(np.bincount(row, minlength=hi - lo) > 0, rest, 0).astype(float), row, term, tf, m.idf)
+            for lo, hi, row, term, tf in _sparse(batch.column("text"), m.terms) if m.index else ():
+                base, weight = vectors(hi - lo, row, term, tf, m.idf)
                 cut = np.searchsorted(row, np.arange(hi - lo + 1))
                 if len(seen) >= 4096:
                     seen.clear()
@@ -294,7 +289,7 @@ def _score(model, evidence: int):
                 at = np.repeat(cut[new] - ends[:-1], size) + np.arange(ends[-1])
                 for i, (who, sim) in zip(new.tolist(), m.index.nearest_of(base[new], ends, term[at], weight[at], m.limits.nearest), strict=True):
                     near = [{"doc_id": int(m.index.ids[j]), "similarity": float(s), "toxic": int(m.index.toxic[j])} for j, s in zip(who[:evidence], sim[:evidence], strict=True)]
-                    seen[keys[i]] = m.score(m.vote(who, sim)), near
+                    seen[keys[i]] = m.score(m.vote(who, sim)) if sim.any() else m.prior, near
                 for i, key in enumerate(keys):
                     scores[lo + i], told[lo + i] = seen[key]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= m.limits.threshold).astype(np.int32)), pa.array(told, kind)], names=["doc_id", "held_out", "score", "predicted", "evidence"])
