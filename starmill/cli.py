@@ -15,14 +15,14 @@ def _spark() -> SparkSession:
 
 
 def _load(a) -> int:
-    from starmill.metrics import Metrics, json_lines
+    from starmill.metrics import Metrics, http_series, json_lines
     from starmill.plans import config, engine
 
     with open(a.config, encoding="utf-8") as f:
         p = config.load(f.read())
-    stats = engine.run(_spark(), p)
+    stats = engine.run(_spark(), p, only=a.table)
     if a.metrics:
-        m = Metrics(json_lines(a.metrics))
+        m = Metrics(http_series(a.metrics) if "://" in a.metrics else json_lines(a.metrics))
         m.run(p.job, stats)
         m.close()
     print(" ".join(f"{k}={int(v)}" for _, k, v in stats.rows(p.job) if not k.startswith("step:")))
@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument(*flags, **options)
         p.set_defaults(run=run)
 
-    add("load", _load, (["config"], {}), (["--metrics"], {}))
+    add("load", _load, (["config"], {}), (["--metrics"], {}), (["--table"], {}))
     add("lint", _lint, (["config"], {}))
     add("probe", _probe, (["source"], {}), (["--job"], {}), (["--backend"], {"default": "sqlite"}), (["--bytes"], {"type": int, "default": 20_000}), (["--breakout"], {"action": "append"}), (["--report"], {"action": "store_true"}), (["--save"], {}), (["--dsn"], {}))
     add("extract", _extract, (["source"], {"nargs": "?"}), (["--mappings"], {}), (["--dir"], {}), (["--debug"], {}))

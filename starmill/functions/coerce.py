@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,9 +32,26 @@ def java_pattern(layout: str) -> str:
     return out
 
 
+#: what the cells of a part look like; a text of another shape isn't parsed at all
+_SHAPE = {"2006": r"\d{4}", "15": r"\d{2}", "01": r"\d{2}", "02": r"\d{2}", "03": r"\d{2}", "04": r"\d{2}", "05": r"\d{2}", "06": r"\d{2}", "Z07:00": r"(?:Z|[+-]\d{2}:\d{2})", "1": r"\d{1,2}", "2": r"\d{1,2}"}
+
+
+def shape(layout: str) -> str:
+    """A pattern that every text of a layout matches; parts without a fixed shape match anything."""
+    out, i = "", 0
+    while i < len(layout):
+        part = next((p for p, _ in _LAYOUT if layout.startswith(p, i)), None)
+        out += (_SHAPE.get(part, ".+") if part else re.escape(layout[i])).replace("/", "\\/")
+        i += len(part) if part else 1
+    return f"^{out}$"
+
+
 def to_int(c: Column) -> Column:
     """Base-10 BIGINT; a text with a point is read if it is a whole number."""
-    s = trim(c)
+    return _int(trim(c))
+
+
+def _int(s: Column) -> Column:
     plain = F.when(s.rlike(r"^[+-]?\d+$"), s.try_cast("bigint"))
     real = F.when(s.contains("."), s.try_cast("double"))
     whole = F.when((real == F.floor(real)) & (F.abs(real) < 9.2e18), real.try_cast("bigint"))
@@ -44,7 +63,11 @@ def to_bool(c: Column, truthy: list[str] | None = None, falsy: list[str] | None
     if truthy or falsy:
         low = F.lower(trim(c))
         return F.when(low.isin([x.lower() for x in truthy or []]), True).when(low.isin([x.lower() for x in falsy or []]), False)
-    return F.when(trim(c).isin(*TRUE), True).when(trim(c).isin(*FALSE), False)
+    return _bool(trim(c))
+
+
+def _bool(s: Column) -> Column:
+    return F.when(s.isin(*TRUE), True).when(s.isin(*FALSE), False)
 
 
 def loose_bool(c: Column) -> Column:
@@ -54,7 +77,7 @@ def loose_bool(c: Column) -> Column:
 
 def czech_date(c: Column) -> Column:
     """dd.MM.yyyy at the start of a text; days up to 31 roll over into the next month."""
-    part = lambda k: F.regexp_extract(c, r"^(\d{2})\.(\d{2})\.(\d{4})", k).try_cast("int")
+    part = lambda k: F.substring(c, *((1, 2), (4, 2), (7, 4))[k - 1]).try_cast("int")
     ok = c.rlike(r"^\d{2}\.\d{2}\.\d{4}") & part(1).between(1, 31) & part(2).between(1, 12) & (part(3) > 0)
     return F.when(ok, F.date_add(F.make_date(F.when(ok, part(3)), F.when(ok, part(2)), F.lit(1)), F.coalesce(part(1), F.lit(1)) - 1))
 
@@ -64,12 +87,19 @@ def iso_date(c: Column) -> Column:
 
 
 def layout_date(c: Column, layout: str) -> Column:
-    return F.try_to_date(c, java_pattern(layout))
+    return F.when(c.rlike(shape(layout)), F.try_to_date(c, java_pattern(layout)))
+
+
+def layout_time(c: Column, layout: str) -> Column:
+    return F.when(c.rlike(shape(layout)), F.try_to_timestamp(c, F.lit(java_pattern(layout))))
 
 
 def to_date(c: Column, layout: str = DEFAULT_LAYOUT) -> Column:
     """The Czech prefix first if the layout is Czech, then the layout, ISO, and the Czech prefix last."""
-    s = trim(c)
+    return _date(trim(c), layout)
+
+
+def _date(s: Column, layout: str) -> Column:
     if layout == DEFAULT_LAYOUT:
         return F.coalesce(czech_date(s), iso_date(s))
     return F.coalesce(layout_date(s, layout), iso_date(s), czech_date(s))
@@ -92,13 +122,13 @@ def loose_date_layout(c: Column) -> Column:
 
 
 def loose_timestamp(c: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(trim(c), F.lit(java_pattern(x))) for x in LOOSE_TIMES])
+    return F.coalesce(*[layout_time(trim(c), x) for x in LOOSE_TIMES])
 
 
 def loose_timestamp_layout(c: Column) -> Column:
     out = F.lit(None).cast("string")
     for x in reversed(LOOSE_TIMES):
-        out = F.when(F.try_to_timestamp(trim(c), F.lit(java_pattern(x))).isNotNull(), x).otherwise(out)
+        out = F.when(layout_time(trim(c), x).isNotNull(), x).otherwise(out)
     return out
 
 
@@ -114,8 +144,9 @@ SPARK_TYPE = {"int": "bigint", "bool": "boolean", "date": "date"}
 
 def coerced(c: Column, kind: str, layout: str = DEFAULT_LAYOUT) -> Column:
     """The value of a text under a kind; unknown kinds pass the trimmed text. Blank texts are null."""
-    s = blank_to_null(c)
-    return {"int": to_int, "bool": to_bool, "date": lambda x: to_date(x, layout)}.get(KINDS.get(kind, ""), lambda x: x)(s)
+    # of a blank text none of the readers makes a value
+    read = {"int": _int, "bool": _bool, "date": lambda x: _date(x, layout)}.get(KINDS.get(kind, ""))
+    return read(trim(c)) if read else blank_to_null(c)
 
 
 def is_int_like(c: Column, dtype: str) -> Column:

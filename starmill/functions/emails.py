@@ -12,7 +12,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ADDRESS = re.compile(r"[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}", re.I)
+from starmill.functions import text
+
+ADDRESS = re.compile(text.ADDRESS, re.I)
 #: marks of the classes whose tokens may carry orders (fixed values)
 MARKS = ("email", "required")
 

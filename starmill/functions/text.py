@@ -65,7 +65,9 @@ def rot13(c: Column) -> Column:
     return F.translate(c, abc + abc.upper(), turned + turned.upper())
 
 
-EMAIL = r"(?i)^[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}$"
+#: what counts as an address (fixed value)
+ADDRESS = r"[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}"
+EMAIL = rf"(?i)^{ADDRESS}$"
 
 
 def looks_like_email(c: Column) -> Column:
@@ -120,11 +122,20 @@ def limit_identifier(s: str, most: int = 63) -> str:
 
 
 @F.pandas_udf(T.StringType())
-def field_name_column(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else field_name(x))
+def _plain_letters(s: pd.Series) -> pd.Series:
+    return s.str.normalize("NFD").str.replace(r"[\u0300-\u036f]", "", regex=True)
+
+
+def field_name_column(c: Column | str) -> Column:
+    """``field_name`` of a column: accents go in one vectorised pass, the rest is Spark's."""
+    c = F.col(c) if isinstance(c, str) else c
+    s = F.replace(c, F.lit("\ufeff"), F.lit(""))
+    s = F.lower(trim(_plain_letters(s)))
+    s = F.regexp_replace(F.regexp_replace(s, r"[\s\-./\\_]+", "_"), "[^a-z0-9_]", "")
+    return F.btrim(F.regexp_replace(s, "_+", "_"), F.lit("_"))
 
 
 def quote(name: str, dialect: str = "spark") -> str:
     """A quoted identifier; dots separate its parts."""
-    left, right = {"spark": "``", "postgres": '""', "mssql": "[]", "sqlite": '""'}[dialect]
+    left, right = {"spark": "``", "postgres": '""', "mssql": "[]", "sqlite": '""', "derby": '""'}[dialect]
     return ".".join(left + part.replace(right, right * 2) + right for part in name.split("."))

@@ -78,6 +78,22 @@ class Metrics:
     close = flush
 
 
+def http_series(url: str, headers: dict[str, str] | None = None, client=None, now: Callable[[], float] = time.time) -> Callable[[list[Series]], None]:
+    """A sink that posts each flush as one JSON body {"series": [{metric, points, tags}]}; a refusal raises."""
+    from starmill.sources.web import Client
+
+    client = client or Client()
+
+    def send(series: list[Series]) -> None:
+        at = int(now())
+        body = {"series": [{"metric": s["metric"], "points": [[at, s["value"]]], "tags": [f"{k}:{v}" for k, v in sorted(s["labels"].items())]} for s in series]}
+        status, told, _ = client.request(url, method="POST", data=json.dumps(body).encode(), headers={"Content-Type": "application/json", **(headers or {})})
+        if not 200 <= status < 300:
+            raise RuntimeError(f"{url}: {status} {told[:200]!r}")
+
+    return send
+
+
 def json_lines(path: str) -> Callable[[Iterable[Series]], None]:
     def write(series: Iterable[Series]) -> None:
         with open(path, "a", encoding="utf-8") as f:

@@ -26,6 +26,11 @@ def report(profile: DataFrame) -> DataFrame:
     return profile.orderBy("ratio", "column_name")
 
 
+def report_json(profile: DataFrame) -> DataFrame:
+    """The report as one JSON object a column (column ``line``), least unique first."""
+    return report(profile).select(F.to_json(F.struct("column_name", "total", "distinct_count", "capped", "ratio")).alias("line"))
+
+
 def breakouts(profile: DataFrame, most: int = 5, ratio: float = 0.9, skip: tuple[str, ...] = ("row_hash",)) -> DataFrame:
     """The columns worth a dimension: the lowest ratios of distinct values."""
     return profile.where((F.col("distinct_count") > 0) & (F.col("ratio") <= ratio) & ~F.col("column_name").isin(*skip)).orderBy("ratio", "column_name").limit(most)
@@ -43,21 +48,15 @@ TYPES = ("integer", "boolean", "date", "timestamp", "float")
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column_name, inferred_type): the first type that reads all filled cells; text if none, or without any."""
     names = columns or df.columns
-    flags, has = [], []
-    for i, c in enumerate(names):
-        s = blank_to_null(F.col(c).cast("string"))
-        reads = {"integer": s.rlike(r"^[+-]?\d+$") & s.try_cast("bigint").isNotNull(), "boolean": C.loose_bool(s).isNotNull(), "date": C.loose_date(s).isNotNull(), "timestamp": C.loose_timestamp(s).isNotNull(), "float": s.try_cast("double").isNotNull()}
-        flags += [F.bool_and(s.isNull() | F.coalesce(reads[t], F.lit(False))).alias(f"{t}_{i}") for t in TYPES]
-        has.append(F.count(s).alias(f"n_{i}"))
-    one = df.agg(*flags, *has)
-
-    def kind(i: int) -> Column:
-        out = F.lit("text")
-        for t in reversed(TYPES):
-            out = F.when(F.col(f"{t}_{i}"), t).otherwise(out)
-        return F.when(F.col(f"n_{i}") > 0, out).otherwise("text")
-
-    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), kind(i).alias("inferred_type")) for i, c in enumerate(names)])).alias("x")).select("x.*")
+    # a row a cell, so that the tests are compiled once, whatever the number of columns
+    cells = df.select(F.posexplode(F.array(*[F.col(c).cast("string") for c in names])).alias("at", "raw")).select("at", blank_to_null(F.col("raw")).alias("s"))
+    s = F.col("s")
+    reads = {"integer": s.rlike(r"^[+-]?\d+$") & s.try_cast("bigint").isNotNull(), "boolean": C.loose_bool(s).isNotNull(), "date": C.loose_date(s).isNotNull(), "timestamp": C.loose_timestamp(s).isNotNull(), "float": s.try_cast("double").isNotNull()}
+    one = cells.groupBy("at").agg(F.count("s").alias("n"), *[F.bool_and(s.isNull() | F.coalesce(reads[t], F.lit(False))).alias(t) for t in TYPES])
+    kind = F.coalesce(*[F.when((F.col("n") > 0) & F.col(t), t) for t in TYPES], F.lit("text"))
+    # a row a column; of an empty table, none comes
+    told = df.sparkSession.createDataFrame([(i, n) for i, n in enumerate(names)], "place int, column_name string")
+    return told.join(one.select("at", kind.alias("kind")), F.col("place") == F.col("at"), "left").orderBy("place").select("column_name", F.coalesce("kind", F.lit("text")).alias("inferred_type"))
 
 
 def majority_layout(df: DataFrame, column: str) -> DataFrame:
@@ -71,12 +70,22 @@ PERCENTS = (50, 90, 95, 99)
 def percentiles(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """Nearest-rank p50, p90, p95, p99, max and count of a value by group: the row at place int(p (n - 1) + 0.5).
 
-    Counts of distinct values are summed first, and a running sum finds the ranks; no
-    group's values are collected.
+    Counts of distinct values are cut into ranges of (group, value); a table of the
+    ranges' sums gives each what is before it, so that no task gets a whole group.
     """
+    from starmill.plans.stores import written
+
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*groups)
-    run = counts.withColumn("_to", F.sum("_n").over(w.orderBy(value))).withColumn("_all", F.sum("_n").over(w))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = written(counts.repartitionByRange(ranges, *groups, value).withColumn("_block", F.spark_partition_id()))
+    # a row for each range and group in it
+    sums = cut.groupBy(*groups, "_block").agg(F.sum("_n").alias("_sum"))
+    before = Window.partitionBy(*groups).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).withColumn("_all", F.sum("_sum").over(Window.partitionBy(*groups)))
+    sums = sums.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_block").alias("_b"), "_before", "_all")
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)] + [F.col("_block") == F.col("_b")]
+    inside = Window.partitionBy(*groups, "_block").orderBy(value)
+    run = cut.withColumn("_in", F.sum("_n").over(inside)).join(sums, same).withColumn("_to", F.col("_before") + F.col("_in"))
     place = lambda p: F.floor(F.lit(p / 100) * (F.col("_all") - 1) + 0.5)
     return run.groupBy(*groups).agg(*[F.min(F.when(F.col("_to") > place(p), F.col(value))).alias(f"p{p}") for p in PERCENTS], F.max(value).alias("max"), F.sum("_n").alias("count"))
 

@@ -1,11 +1,12 @@
 """Every query over the driver's tables, with its SQL.
 
-A query applies one operator to whole tables. ``SQL`` says the same for DuckDB;
-queries without an entry have no SQL form (pages parsed as trees, page scripts).
+A query applies one operator to whole tables. ``SQL`` says the same for DuckDB.
+Queries over files, stores and streams are in ``file_catalog``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -19,8 +20,8 @@ from starmill.operators import load as L
 from starmill.operators import profile as P
 from starmill.operators import stages as S
 from starmill.plans import config, engine
-from starmill.plans.stores import ParquetStore
-from starmill.sources import html
+from starmill.plans.stores import ParquetStore, shared_dir
+from starmill.sources import html, json_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,11 +84,7 @@ def _raw_orders(spark, sf_dir):
 
 
 def _star(spark, sf_dir) -> tuple[ParquetStore, config.Pipeline, engine.RunStats]:
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints/starmill"
-    store, p = ParquetStore(spark, f"{base}/star-{uuid.uuid4().hex}"), config.load(STAR)
+    store, p = ParquetStore(spark, f"{shared_dir(spark)}/star-{uuid.uuid4().hex}"), config.load(STAR)
     return store, p, engine.run(spark, p, store, _raw_orders(spark, sf_dir), NOW)
 
 
@@ -377,10 +374,15 @@ def auto_breakouts_customer(spark, sf_dir):
     return P.breakouts(P.uniqueness(t(spark, sf_dir, "customer"), list(_C))).select("column_name")
 
 
-@query("""
-SELECT 'event_id' AS column_name, 'integer' AS inferred_type UNION ALL SELECT 'ts', 'text' UNION ALL SELECT 'user_id', 'integer' UNION ALL SELECT 'event_type', 'text'
-UNION ALL SELECT 'value', CASE WHEN (SELECT bool_and(regexp_matches(CAST(value AS VARCHAR), '^[+-]?[0-9]+$')) FROM events) THEN 'integer' ELSE 'float' END UNION ALL SELECT 'day', 'date' UNION ALL SELECT 'flag', 'boolean'
-""")
+_TYPED = "SELECT CAST(event_id AS VARCHAR) AS event_id, 'at ' || ts AS ts, CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(value AS VARCHAR) AS value, strftime(ts, '%d.%m.%Y') AS day, CASE WHEN event_id % 2 = 0 THEN 'yes' ELSE 'no' END AS flag FROM events"
+
+
+def _inferred_sql(names) -> str:
+    kinds = "CASE WHEN bool_and(regexp_matches({0}, '^[+-]?[0-9]+$')) THEN 'integer' WHEN bool_and(lower({0}) IN ('1', 't', 'true', 'yes', 'y', 'ano', '0', 'f', 'false', 'no', 'n', 'ne')) THEN 'boolean' WHEN bool_and(try_strptime({0}, ['%Y-%m-%d', '%d.%m.%Y', '%d/%m/%Y', '%m/%d/%Y']) IS NOT NULL) THEN 'date' WHEN bool_and(TRY_CAST({0} AS DOUBLE) IS NOT NULL) THEN 'float' ELSE 'text' END"
+    return f"WITH e AS ({_TYPED}) " + " UNION ALL ".join(f"SELECT '{n}' AS column_name, {kinds.format(n)} AS inferred_type FROM e" for n in names)
+
+
+@query(_inferred_sql(("event_id", "ts", "user_id", "event_type", "value", "day", "flag")))
 def infer_types_events(spark, sf_dir):
     e = t(spark, sf_dir, "events").select("event_id", F.concat(F.lit("at "), F.col("ts").cast("string")).alias("ts"), "user_id", "event_type", F.col("value").cast("string").alias("value"), F.date_format("ts", "dd.MM.yyyy").alias("day"), F.when(F.col("event_id") % 2 == 0, "yes").otherwise("no").alias("flag"))
     return P.infer_types(e)
@@ -458,7 +460,7 @@ def field_names_part(spark, sf_dir):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_props_flatten(spark, sf_dir):
-    return t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return json_files.flat_rows(t(spark, sf_dir, "events").select("event_id", "props"), "props", ["k"])
 
 
 @query("""
@@ -485,24 +487,38 @@ def backoff_events(spark, sf_dir):
     return t(spark, sf_dir, "events").select("event_id", urls.backoff(F.col("event_id") % 9 + 1, 0.5, 30.0).alias("wait"))
 
 
-@query()
+_LINKS = "SELECT DISTINCT url AS from_url, regexp_extract(url, '^(https?://[^/?#]+)', 1) || h AS to_url FROM (SELECT url, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS h FROM pages) x"
+
+
+@query(_LINKS)
 def page_links(spark, sf_dir):
-    return html.page_links(t(spark, sf_dir, "pages"), "url", "html")
+    return html.page_links(t(spark, sf_dir, "pages").dropDuplicates(["url"]), "url", "html")
+
 
+_PLAIN = "replace(replace(replace(replace({}, '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 
-@query()
+
+@query(f"""
+SELECT page_id, nullif(trim({_PLAIN.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}), '') AS title,
+  '["' || array_to_string(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a href="([^"]*)"', 1), '", "') || '"]' AS links,
+  nullif(trim({_PLAIN.format("regexp_replace(regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")}), '') AS first FROM pages
+""")
 def html_records(spark, sf_dir):
-    m = html.MappingFile([html.Mapping("title", "title"), html.Mapping("links", "nav a", "attr", "href", all=True), html.Mapping("first", "p:first-of-type")])
+    m = html.MappingFile([html.Mapping("title", "title"), html.Mapping("links", "nav a", "attr", "href", all=True), html.Mapping("first", "article > h1:first-of-type")])
     return html.extract_pages(t(spark, sf_dir, "pages"), "html", m, "page_id")
 
 
-@query()
+@query(f"""
+WITH e AS ({_LINKS}), d0 AS (SELECT DISTINCT url, 0 AS depth FROM pages), d1 AS (SELECT DISTINCT to_url AS url, 1 AS depth FROM e WHERE to_url NOT IN (SELECT url FROM d0)),
+d2 AS (SELECT DISTINCT e.to_url AS url, 2 AS depth FROM e JOIN d1 ON e.from_url = d1.url WHERE e.to_url NOT IN (SELECT url FROM d0) AND e.to_url NOT IN (SELECT url FROM d1))
+SELECT * FROM d0 UNION ALL SELECT * FROM d1 UNION ALL SELECT * FROM d2
+""")
 def crawl_pages(spark, sf_dir):
     p = t(spark, sf_dir, "pages")
     return html.crawl(p.select("url"), page_links(spark, sf_dir), 2)
 
 
-@query()
+@query("SELECT c_custkey, 'c' || c_custkey || '@example.com' AS email FROM customer")
 def email_decode(spark, sf_dir):
     c = t(spark, sf_dir, "customer")
     return c.select("c_custkey", email_column(F.concat(F.lit("var a='mailto:c"), F.col("c_custkey").cast("string"), F.lit("&#64;example.com';"))).alias("email"))

@@ -15,7 +15,7 @@ from starmill.operators import load as L
 from starmill.operators import stages as S
 from starmill.plans import config as cfg
 from starmill.plans import ddl
-from starmill.plans.stores import TableStore, open_store, written
+from starmill.plans.stores import ParquetStore, TableStore, open_store, temporary, written
 from starmill.sources import csv, json_files, xml_files
 
 
@@ -30,6 +30,10 @@ class RunStats:
     inserted: int = 0
     steps: dict[str, float] = field(default_factory=dict)
 
+    @property
+    def valid(self) -> int:
+        return self.processed - self.transform_rejected - self.validate_dropped
+
     def rows(self, job: str) -> list[tuple[str, str, float]]:
         """(job, kind, value) for the table of metrics."""
         own = asdict(self)
@@ -84,8 +88,8 @@ def validated(raw: DataFrame, p: cfg.Pipeline, stats: RunStats) -> tuple[DataFra
     return rows.where("reject_reason IS NULL").drop("reject_reason", "reject_stage", "_corrupt"), rows.where("reject_reason IS NOT NULL")
 
 
-def load_dimensions(valid: DataFrame, p: cfg.Pipeline, store: TableStore) -> None:
-    for t in sorted((t for t in p.tables if t.kind == "dimension"), key=lambda t: t.name):
+def load_dimensions(valid: DataFrame, p: cfg.Pipeline, store: TableStore, only: str | None = None) -> None:
+    for t in sorted((t for t in p.tables if t.kind == "dimension" and only in (None, t.name)), key=lambda t: t.name):
         had = store.read(t)
         new = L.ensure_dimension(valid, t.sources[0].field, had, t.cache_value, t.cache_key)
         kind = ddl.schema(t)[t.cache_key].dataType if t.cache_key in t.columns else None
@@ -108,33 +112,39 @@ def fact_rows(valid: DataFrame, t: cfg.Table, p: cfg.Pipeline, store: TableStore
     return L.project_fact(rows, columns)
 
 
-def load_fact(valid: DataFrame, t: cfg.Table, p: cfg.Pipeline, store: TableStore, stats: RunStats, now: datetime) -> None:
-    rows = written(fact_rows(valid, t, p, store))
-    count = rows.count()
-    stats.fact_dropped += valid.count() - count
+def load_fact(valid: DataFrame, t: cfg.Table, p: cfg.Pipeline, store: TableStore, stats: RunStats, now: datetime, batch: str | None = None) -> None:
+    """One fact's rows into its table; a ``batch`` that is in it already is left out whole."""
+    if batch is not None and store.has_batch(t, batch):
+        return
+    seen, kept = Observation(f"rows-{t.name}"), Observation(f"new-{t.name}")
+    rows = fact_rows(valid, t, p, store).observe(seen, F.count(F.lit(1)).alias("n"))
     had = store.read(t)
     # a table may have columns that no source fills; the history's are filled by the merge
     wanted = [f for f in ddl.schema(t) if f.name in rows.columns]
     rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted], *[c for c in rows.columns if c not in {f.name for f in wanted}])
     if t.history:
+        rows = written(rows)
+        stats.fact_dropped += stats.valid - seen.get["n"]
         live, closed, affected = L.scd2(rows, t.business_key, now, had, t.primary_key)
         live, closed, n = written(live), written(closed), affected.count()
         if t.primary_key:
             live = _with_key(live, t.primary_key)
-        store.append_history(t, closed)
-        store.replace(t, live)
+        store.merge(t, live, closed, batch)
         stats.inserted += n
         return
     if t.conflict:
         rows = L.new_facts(rows, t.conflict, had)
-    new = written(rows)
-    n = new.count()
-    stats.all_conflicts += count - n
-    stats.inserted += n
+    new = rows.observe(kept, F.count(F.lit(1)).alias("n"))
     if t.primary_key and t.primary_key not in new.columns:
         top = (had.agg(F.max(t.primary_key)).first()[0] or 0) if had is not None else 0
-        new = L.numbered(new, S.ORDER, t.primary_key, top)
-    store.append(t, new.drop(S.ORDER))
+        new = L.numbered(written(new), S.ORDER, t.primary_key, top)
+    elif not isinstance(store, ParquetStore):
+        new = written(new)  # those stores may read their input more than once
+    store.append(t, new.drop(S.ORDER), batch)
+    n = kept.get["n"]
+    stats.fact_dropped += stats.valid - seen.get["n"]
+    stats.all_conflicts += seen.get["n"] - n
+    stats.inserted += n
 
 
 def _with_key(live: DataFrame, key: str) -> DataFrame:
@@ -143,8 +153,8 @@ def _with_key(live: DataFrame, key: str) -> DataFrame:
     return live.where(F.col(key).isNotNull()).unionByName(L.numbered(fresh, "_at", key, top).drop("_at"))
 
 
-def run(spark: SparkSession, p: cfg.Pipeline, store: TableStore | None = None, raw: DataFrame | None = None, now: datetime | None = None) -> RunStats:
-    """Both passes of a pipeline over its source (or ``raw``)."""
+def run(spark: SparkSession, p: cfg.Pipeline, store: TableStore | None = None, raw: DataFrame | None = None, now: datetime | None = None, batch: str | None = None, only: str | None = None) -> RunStats:
+    """Both passes of a pipeline over its source (or ``raw``). ``batch``: a name under which each fact takes these rows at most once; ``only``: the one table to load."""
     if raw is None:
         cfg.check(p)
         raw = READERS[p.parser](spark, p, p.input_columns())
@@ -153,11 +163,12 @@ def run(spark: SparkSession, p: cfg.Pipeline, store: TableStore | None = None, r
     store = store or open_store(spark, p.storage, p.dsn)
     stats, now = RunStats(), now or datetime.now(UTC).replace(tzinfo=None)
     at = time.time()
-    valid, _ = validated(raw, p, stats)
-    stats.steps["read"], at = time.time() - at, time.time()
-    load_dimensions(valid, p, store)
-    stats.steps["pass1_ensure_dims"], at = time.time() - at, time.time()
-    for t in sorted((t for t in p.tables if t.kind == "fact"), key=lambda t: t.name):
-        load_fact(valid, t, p, store, stats, now)
-    stats.steps["pass2_load_facts"] = time.time() - at
+    with temporary(spark):
+        valid, _ = validated(raw, p, stats)
+        stats.steps["read"], at = time.time() - at, time.time()
+        load_dimensions(valid, p, store, only)
+        stats.steps["pass1_ensure_dims"], at = time.time() - at, time.time()
+        for t in sorted((t for t in p.tables if t.kind == "fact" and only in (None, t.name)), key=lambda t: t.name):
+            load_fact(valid, t, p, store, stats, now, batch)
+        stats.steps["pass2_load_facts"] = time.time() - at
     return stats

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions.emails import decode_email
+from starmill.functions.urls import PAGE
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: elements that a start tag of their own kind closes
@@ -315,6 +316,47 @@ def page_links(df: DataFrame, url: str, html: str, classes: str = "", same_host:
     return df.select(F.col(url).alias("from_url"), F.explode(found(url, html)).alias("to_url"))
 
 
+def paging(html: str, base: str, mapping: MappingFile, size: int = PAGE) -> list[str]:
+    """The page URLs of a listing: of each record's ``href`` with its ``count``; without a record selector, of the page itself with its one ``count``. Items without a count, or none, have no pages."""
+    out: list[str] = []
+    for r in extract(html, mapping) if mapping.record else extract(html, mapping)[:1]:
+        digits = "".join(re.findall(r"\d+", str(r.get("count") or "")))
+        href = r.get("href") if mapping.record else base.rstrip("/")
+        if digits and int(digits) and href:
+            first = urljoin(base, href) if mapping.record else href
+            out += [first, *[f"{first.rstrip('/')}/{p}" for p in range(2, -(-int(digits) // size) + 1)]]
+    return out
+
+
+def page_lists(df: DataFrame, url: str, html: str, mapping: MappingFile, size: int = PAGE) -> DataFrame:
+    """(from_url, at, page_url): the page URLs of every listing, in order."""
+
+    @F.pandas_udf("array<string>")
+    def found(u: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series([paging(b or "", a or "", mapping, size) for a, b in zip(u, h, strict=True)])
+
+    return df.select(F.col(url).alias("from_url"), F.posexplode(found(url, html)).alias("at", "page_url"))
+
+
+def crawl_live(seeds: list[str], depth: int, client=None, classes: str = "", same_host: bool = True) -> Iterator[tuple[str, int, int]]:
+    """(url, depth, status) of pages fetched from the seeds over their links, each once, breadth first; a site's pages come one after another, from one machine."""
+    from starmill.sources.web import Client
+
+    client = client or Client()
+    seen, front = set(seeds), list(dict.fromkeys(seeds))
+    for d in range(depth + 1):
+        later: list[str] = []
+        for url in front:
+            status, body, _ = client.get(url)
+            yield url, d, status
+            if d < depth and 200 <= status < 300:
+                for to in links(body.decode("utf-8", "replace"), url, classes, same_host):
+                    if to not in seen:
+                        seen.add(to)
+                        later.append(to)
+        front = later
+
+
 def crawl(seeds: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     """(url, depth) of pages within ``depth`` steps of the seeds over (from_url, to_url), each at its least depth. Every round is written."""
     from starmill.plans.stores import written

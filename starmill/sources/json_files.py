@@ -43,8 +43,14 @@ def _record(value: object) -> dict:
     return value
 
 
-def records(text: str) -> Iterator[dict]:
-    """The records of a document: the elements of a root array; those of the first array in a root object, or the object itself without one; and all objects that follow. Nulls are none."""
+def _largest(value: dict) -> list | None:
+    """The longest array of objects in an object; the first of equals."""
+    found = [v for v in value.values() if isinstance(v, list) and v and all(isinstance(x, dict) for x in v)]
+    return max(found, key=len) if found else None
+
+
+def records(text: str, largest: bool = False) -> Iterator[dict]:
+    """The records of a document: the elements of a root array; those of the first array in a root object (``largest``: of the longest array of objects), or the object itself without one; and all objects that follow. Nulls are none."""
     text = text.lstrip("\ufeff")
     at, first = _skip(text, 0), True
     while at < len(text):
@@ -54,7 +60,7 @@ def records(text: str) -> Iterator[dict]:
                     yield _record(value)
         else:
             value, at = _DECODER.raw_decode(text, at)
-            inner = next((v for v in _record(value).values() if isinstance(v, list)), None) if first else None
+            inner = None if not first else _largest(_record(value)) if largest else next((v for v in _record(value).values() if isinstance(v, list)), None)
             for r in [value] if inner is None else inner:
                 if r is not None:
                     yield _record(r)
@@ -102,12 +108,18 @@ def read_documents(spark: SparkSession, path: str, columns: list[str], header_ma
 
 
 def read_lines(spark: SparkSession, path: str, columns: list[str], header_map: dict[str, str] | None = None) -> DataFrame:
-    """One object a line, as text columns; mapped names are read where the own name is null."""
+    """One object a line, as text columns; mapped names are read where the own name is null. Numbers keep their digits, but lose zeros at their end where two of the names differ in letter case alone."""
     back = {v: k for k, v in (header_map or {}).items()}
+    schema = lambda names: T.StructType([T.StructField(n, T.StringType()) for n in names])
     names = dict.fromkeys([*columns, *[back[c] for c in columns if c in back]])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_corrupt"]])
-    df = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return df.select(*[F.coalesce(c, back[c]).alias(c) if c in back else F.col(c) for c in columns], "_corrupt")
+    if len({n.lower() for n in names}) == len(names):
+        df = spark.read.schema(schema([*names, "_corrupt"])).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+        return df.select(*[F.coalesce(c, back[c]).alias(c) if c in back else F.col(c) for c in columns], "_corrupt")
+    # names that differ in letter case alone can't be in one schema: the line is read twice
+    own = F.from_json("value", schema([*columns, "_corrupt"]), {"columnNameOfCorruptRecord": "_corrupt"}).alias("own")
+    mapped = F.from_json("value", schema(dict.fromkeys(back[c] for c in columns if c in back))).alias("mapped") if back else F.lit(None).alias("mapped")
+    df = spark.read.text(path).where(F.trim("value") != "").select(own, mapped)
+    return df.select(*[F.coalesce(F.col("own")[c], F.col("mapped")[back[c]]).alias(c) if c in back else F.col("own")[c].alias(c) for c in columns], F.col("own._corrupt").alias("_corrupt"))
 
 
 def flatten(value: dict, prefix: str = "") -> dict:
@@ -118,5 +130,11 @@ def flatten(value: dict, prefix: str = "") -> dict:
     return out
 
 
+def flat_rows(df: DataFrame, column: str, paths: list[str]) -> DataFrame:
+    """``paths`` (dotted, as ``flatten`` names them) of a column of JSON objects as text columns, beside the others."""
+    at = lambda p: F.get_json_object(column, "$." + p)
+    return df.select(*[c for c in df.columns if c != column], *[at(p).alias(p.replace(".", "_")) for p in paths])
+
+
 def headers(rows: list[dict]) -> list[str]:
     return sorted({k for r in rows for k in r})

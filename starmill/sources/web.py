@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import ssl
+import sys
 import time
 import urllib.error
 import urllib.request
@@ -24,8 +26,15 @@ class Client:
     wait: float = 0.5
     longest: float = 30.0
     timeout: float = 30.0
+    network_wait: float = 0.0
+    """The shortest wait after a network error, as far as ``longest`` allows it."""
+    verify: bool = True
+    """Off: certificates aren't checked."""
     sleep = staticmethod(time.sleep)
 
+    def _context(self) -> ssl.SSLContext | None:
+        return None if self.verify else ssl._create_unverified_context()
+
     def get(self, url: str) -> tuple[int, bytes, int]:
         return self.request(url)
 
@@ -43,7 +52,7 @@ class Client:
             head = dict(headers or {}) | ({"Range": f"bytes=0-{first - 1}"} if first else {})
             pause = None
             try:
-                with urllib.request.urlopen(urllib.request.Request(url, data=data, headers=head, method=method), timeout=self.timeout) as r:
+                with urllib.request.urlopen(urllib.request.Request(url, data=data, headers=head, method=method), timeout=self.timeout, context=self._context() if url.startswith("https") else None) as r:
                     return getattr(r, "status", None) or 200, r.read(first) if first else r.read(), attempt
             except urllib.error.HTTPError as e:
                 status, body = e.code, e.read(4096)
@@ -54,11 +63,14 @@ class Client:
                 status, body = 0, str(e).encode()
             if attempt > self.retries:
                 return status, body, attempt
-            self.sleep(min(self.longest, pause if pause is not None else self.wait * 2 ** (attempt - 1)))
+            wait = pause if pause is not None else self.wait * 2 ** (attempt - 1)
+            self.sleep(min(self.longest, max(wait, self.network_wait) if status == 0 else wait))
 
 
 def first_bytes(source: str, n: int = 20_000) -> bytes:
-    """The first bytes of a URL or a file."""
+    """The first bytes of a URL, a file, or (-) the standard input."""
+    if source == "-":
+        return sys.stdin.buffer.read(n)
     if "://" in source:
         return Client().request(source, n)[1][:n]
     with open(source, "rb") as f:
@@ -74,9 +86,9 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
 ATTEMPTS = "url string, status int, attempts int, bytes long, file string, ok boolean, error string"
 
 
-def download(urls: DataFrame, folder: str, client: Client | None = None, partitions: int = 16) -> DataFrame:
-    """Fetch every URL once; bodies go to ``folder`` (shared by all machines) under the sha1 of their URL, by a renamed temporary file. A 404 counts as done."""
-    client = client or Client()
+def download(urls: DataFrame, folder: str, client: Client | None = None, partitions: int = 16, fail_fast: bool = False) -> DataFrame:
+    """Fetch every URL once; bodies go to ``folder`` (shared by all machines) under the sha1 of their URL, by a renamed temporary file. A 404 counts as done; ``fail_fast``: any other failure ends the job."""
+    client = client or Client(wait=2.0, longest=60.0, network_wait=10.0)
 
     def run(frames):
         for frame in frames:
@@ -85,6 +97,8 @@ def download(urls: DataFrame, folder: str, client: Client | None = None, partiti
                 status, body, tries = client.request(url)
                 name = hashlib.sha1(url.encode()).hexdigest()
                 good = 200 <= status < 300
+                if fail_fast and not good and status != 404:
+                    raise RuntimeError(f"{url}: {status} after {tries} attempts")
                 if good:
                     os.makedirs(folder, exist_ok=True)
                     temp = os.path.join(folder, f".{name}.{os.getpid()}")

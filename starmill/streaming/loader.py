@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,12 @@ from starmill.plans.stores import TableStore
 
 
 def load_stream(stream: DataFrame, p: cfg.Pipeline, store: TableStore, checkpoint: str, told: Callable[[int, engine.RunStats], None] | None = None) -> StreamingQuery:
-    """Run the pipeline on each micro-batch of raw text rows, until what is there has been read. A batch that runs again changes nothing: keys, conflict columns and versions make the load idempotent."""
+    """Run the pipeline on each micro-batch of raw text rows, until what is there has been read. A batch that runs again changes nothing: each fact takes it once, by its name, and dimensions append only new keys."""
+    # a batch's number means something together with its checkpoint alone
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def one(batch: DataFrame, number: int) -> None:
-        stats = engine.run(batch.sparkSession, p, store, batch)
+        stats = engine.run(batch.sparkSession, p, store, batch, batch=f"{name}-{number}")
         if told:
             told(number, stats)
 
@@ -38,3 +41,13 @@ def latest_only(stream: DataFrame, keys: list[str], time: str, late: str) -> Dat
 def windowed_counts(stream: DataFrame, time: str, late: str, width: str, *by: str) -> DataFrame:
     """Counts by event-time window; rows later than ``late`` are left out."""
     return stream.withWatermark(time, late).groupBy(F.window(time, width), *by).agg(F.count("*").alias("n"))
+
+
+def sliding_counts(stream: DataFrame, time: str, late: str, width: str, step: str, *by: str) -> DataFrame:
+    """Counts by event-time windows that begin every ``step``."""
+    return stream.withWatermark(time, late).groupBy(F.window(time, width, step), *by).agg(F.count("*").alias("n"))
+
+
+def session_counts(stream: DataFrame, time: str, late: str, gap: str, *by: str) -> DataFrame:
+    """Counts by sessions: rows of a key with less than ``gap`` between them."""
+    return stream.withWatermark(time, late).groupBy(F.session_window(time, gap), *by).agg(F.count("*").alias("n"))

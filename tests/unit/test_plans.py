@@ -206,3 +206,74 @@ def test_query_equals_sql(spark, duck, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_a_crash_between_writes_leaves_the_version_before(spark, tmp_path):
+    p = config.load(vehicles("x"))
+    t = p.tables[2]
+    s = stores.ParquetStore(spark, f"file://{tmp_path}/s")
+    row = lambda k: spark.createDataFrame([(k,)], "vehicle_id long")
+    s.merge(t, row(1), row(9), "a")
+    was = s._point
+    s._point = lambda *a: (_ for _ in ()).throw(OSError("killed"))
+    with pytest.raises(OSError, match="killed"):
+        s.merge(t, row(2), row(8), "b")
+    s._point = was
+    assert [r[0] for r in s.read(t).collect()] == [1] and [r[0] for r in s.read_history(t).collect()] == [9]
+    s.merge(t, row(2), row(8), "b")
+    s.merge(t, row(3), row(7), "b")
+    assert [r[0] for r in s.read(t).collect()] == [2] and sorted(r[0] for r in s.read_history(t).collect()) == [8, 9]
+    assert s.has_batch(t, "b") and not s.has_batch(t, "c")
+    number, state = s._state(t.name)
+    with pytest.raises(RuntimeError, match="another writer"):
+        s._point(t.name, number, state)
+
+
+def test_jdbc_creates_reads_and_counts_batches(spark):
+    s = stores.open_store(spark, "derby", "jdbc:derby:memory:unit;create=true")
+    t = config.load(vehicles("x")).tables[0]
+    assert s.read(t) is None and s.read_history(t) is None
+    rows = spark.createDataFrame([(1, 5), (2, 6)], "vehicle_id long, pcv long")
+    s.append(t, rows, "a")
+    s.append(t, rows, "a")
+    assert sorted(tuple(r) for r in s.read(t).collect()) == [(1, 5), (2, 6)]
+    s.replace(t, s.read(t).where("pcv = 6"))
+    assert [tuple(r) for r in s.read(t).collect()] == [(2, 6)]
+
+
+def test_jdbc_urls():
+    assert stores.jdbc_url("postgresql://u:p%40@h:5432/d?sslmode=disable") == ("jdbc:postgresql://h:5432/d?sslmode=disable", {"user": "u", "password": "p@", "reWriteBatchedInserts": "true"})
+    assert stores.jdbc_url("sqlserver://h:1433?database=d") == ("jdbc:sqlserver://h:1433;databaseName=d", {"useBulkCopyForBatchInsert": "true"})
+    with pytest.raises(ValueError):
+        stores.jdbc_url("mysql://h/d")
+
+
+def test_intermediates_go_after_a_run(spark, tmp_path):
+    from pathlib import Path
+
+    shared = Path(stores.shared_dir(spark).removeprefix("file://"))
+    before = {p.name for p in shared.glob("written-*")}
+    raw = spark.createDataFrame([("1", "A", "p", "13.08.2018", "5")], "order_id string, segment string, priority string, day string, cents string")
+    engine.run(spark, config.load(catalog.STAR), stores.ParquetStore(spark, f"file://{tmp_path}/s"), raw)
+    assert {p.name for p in shared.glob("written-*")} == before
+
+
+def test_one_table_alone(spark, tmp_path):
+    raw = spark.createDataFrame([("1", "A", "p", "13.08.2018", "5")], "order_id string, segment string, priority string, day string, cents string")
+    p, s = config.load(catalog.STAR), stores.ParquetStore(spark, f"file://{tmp_path}/s")
+    engine.run(spark, p, s, raw, only="segments")
+    assert s.read(p.tables[0]).count() == 1 and s.read(p.tables[1]) is None and s.read(p.tables[2]) is None
+
+
+def test_metrics_go_to_a_server():
+    sent = []
+
+    class Client:
+        def request(self, url, method, data, headers):
+            sent.append((url, method, json.loads(data), headers))
+            return 202, b"", 1
+
+    m = metrics.Metrics(metrics.http_series("http://m.example/series", {"Key": "k"}, Client(), lambda: 7.0))
+    m.rows("j", "inserted", 3)
+    m.close()
+    assert sent == [("http://m.example/series", "POST", {"series": [{"metric": "etl.records.total", "points": [[7, 3.0]], "tags": ["job:j", "kind:inserted"]}]}, {"Content-Type": "application/json", "Key": "k"})]

@@ -175,3 +175,54 @@ def test_citation_fields(spark):
     d = spark.createDataFrame([(f"<A><PMID Version='1'>7</PMID><ArticleTitle>T</ArticleTitle>{authors}</A>",)], "xml string")
     r = d.select(*xml_files.citation_fields(F.col("xml"))).first()
     assert (r["pmid"], r["title"], r["journal"], len(r["authors"])) == ("7", "T", None, 16)
+
+
+def test_csv_cells_that_span_lines(spark, tmp_path):
+    p = put(tmp_path, "m.csv", 'id,name\n1,"a\nb"\n2,"say ""hi"""\n3,c\n')
+    assert csv.spans_lines(spark, p)
+    assert [tuple(r)[:2] for r in csv.read_csv(spark, p).collect()] == [("1", "a\nb"), ("2", 'say "hi"'), ("3", "c")]
+    q = put(tmp_path, "n.csv", 'id,name\n1,"Acme "v likvidaci"""\n2,"a\nb"\n')
+    assert [tuple(r)[:2] for r in csv.read_csv(spark, q, scrub=True).collect()] == [("1", "Acme (v likvidaci)"), ("2", "a\nb")]
+    assert not csv.spans_lines(spark, put(tmp_path, "o.csv", 'a\n"x ""y"""\n'))
+
+
+def test_csv_scrub_keeps_rows_like_the_header(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    for n in ("a", "b"):
+        (folder / f"{n}.csv").write_text("id,name\n1,x\nid,name\n")
+    got = sorted(tuple(r)[:2] for r in csv.read_csv(spark, f"file://{folder}", scrub=True).collect())
+    assert got == [("1", "x"), ("1", "x"), ("id", "name"), ("id", "name")]
+
+
+def test_csv_rows_of_another_width(spark, tmp_path):
+    p = put(tmp_path, "w.csv", "a,b\nx,y,z\nok1,ok2\n")
+    assert [tuple(r)[:2] for r in csv.read_csv(spark, p, fields_per_record=2).collect()] == [("ok1", "ok2")]
+    with pytest.warns(UserWarning, match="2 cells, 5"):
+        assert csv.read_csv(spark, p, fields_per_record=5).count() == 0
+    q = put(tmp_path, "u.csv", 'h1,h2\na,b\n"bad,bad\nc,d\n')
+    assert tuple(csv.read_csv(spark, q).first())[:2] == ("a", "b")
+
+
+def test_json_lines_with_names_that_differ_in_case(spark, tmp_path):
+    p = put(tmp_path, "case.json", '{"Id":1}\n{"id":2,"Id":3}\nbroken\n')
+    assert [r["id"] for r in json_files.read_lines(spark, p, ["id"], {"Id": "id"}).collect()] == ["1", "2", None]
+
+
+def test_paging_and_largest_array():
+    m = html.MappingFile([html.Mapping("href", "a", "attr", "href"), html.Mapping("count", "i")], ".r")
+    page = '<div class="r"><a href="/c/">x</a><i>(51)</i></div><div class="r"><a href="d"></a><i>(0)</i></div>'
+    assert html.paging(page, "http://h.example/l", m) == ["http://h.example/c/", "http://h.example/c/2", "http://h.example/c/3"]
+    assert html.paging("<i>(26)</i>", "http://h.example/l/", html.MappingFile([html.Mapping("count", "i")])) == ["http://h.example/l", "http://h.example/l/2"]
+    assert [r["x"] for r in json_files.records('{"a":[{"x":"1"}],"b":[{"x":"2"},{"x":"3"}]}', largest=True)] == ["2", "3"]
+
+
+def test_live_crawl_follows_links_once():
+    site = {"http://h.example/": '<a href="/a">a</a><a href="/b">b</a>', "http://h.example/a": '<a href="/">up</a><a href="/c">c</a>'}
+
+    class Client:
+        def get(self, url):
+            return (200, site[url].encode(), 1) if url in site else (404, b"", 1)
+
+    got = list(html.crawl_live(["http://h.example/"], 2, Client()))
+    assert got == [("http://h.example/", 0, 200), ("http://h.example/a", 1, 200), ("http://h.example/b", 1, 404), ("http://h.example/c", 2, 404)]
