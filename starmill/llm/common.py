@@ -6,7 +6,6 @@ folder that driver and executors share; nothing relies on machine-local files.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,19 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.plans.stores import shared_dir
+
 # --------------------------------------------------------------------------
 # scratch tables
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.gettempdir()}/checkpoints/starmill"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found if "://" in found else f"file://{found}" if found.startswith("/") else found
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/starmill-{name}-{uuid.uuid4().hex}"
 
@@ -53,6 +45,20 @@ def drop_scratch(*frames: DataFrame) -> None:
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def drop_path(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of the shared folder."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def open_folder(folder: str):
+    """(file system, path) of a folder's URI, for tasks that write files of their own."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner drop shuffle files of finished jobs."""
     import gc
@@ -69,6 +75,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --------------------------------------------------------------------------
+# groups of sorted rows, in a task
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], names: list[str], most: int) -> Iterator[tuple[dict[str, np.ndarray], bool]]:
+    """Columns of batches sorted by the first of ``names``, cut so that no group is split (True); a group that is met in several batches and has over ``most`` rows comes in slices of about that size (False)."""
+    held, rows, big, current = [], 0, False, None
+    join = lambda parts: {n: np.concatenate([p[n] for p in parts]) for n in names} if len(parts) > 1 else parts[0]
+    for batch in batches:
+        got = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
+        key, at = got[names[0]], 0
+        while at < len(key):
+            if current is not None and key[at] != current:
+                if held:
+                    yield join(held), not big
+                held, rows, big, current = [], 0, False, None
+            if current is None:
+                last = int(np.searchsorted(key, key[-1], "left"))
+                if last > at:
+                    yield {n: x[at:last] for n, x in got.items()}, True
+                    at = last
+                current = key[-1]
+            end = int(np.searchsorted(key, current, "right"))
+            held.append({n: x[at:end] for n, x in got.items()})
+            rows, at = rows + end - at, end
+            if rows > most:
+                yield join(held), False
+                held, rows, big = [], 0, True
+    if held:
+        yield join(held), not big
+
+
 # --------------------------------------------------------------------------
 # order keys and ranks
 
