@@ -9,17 +9,19 @@ windows backward at once, locates their occurrences by sampled places, and merge
 the hit words of each document to spans.
 
 The benchmark goes to the executors in blocks of at most ``BLOCK_BYTES`` of text
-(and one item at least), one pass over the shards for each block; a pass passes
-its spans on to the next, so that a large benchmark costs passes, not memory.
+(and one item at least), a job over the shards for each block, which writes the rows
+that it hits; the next block is read when that is done. So a large benchmark costs
+passes, not memory. A benchmark of one block needs no second pass and no shuffle.
 
 Defined results: null and empty texts have no words and are clean; an item without
-words has no window; a null item_id is written "null"; rows of one item_id count
-as one item; repeated documents are judged one by one; extra columns are ignored.
+words has no window; a null item_id is written "null"; rows of one item_id count as one item; repeated documents are judged one by one; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import ALNUM, BYTE_LOWER, chunks, ordered_documents, prefix_hash, span_hash, table, words
+from starmill.llm.common import ALNUM, BYTE_LOWER, chunks, drop_scratch, ordered_documents, prefix_hash, span_hash, spill, table, words
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -113,8 +115,8 @@ def merge_spans(s: np.ndarray, e: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _scan(bench: Benchmark, batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-    """One pass: each batch's documents gain this block's spans and items."""
+def _scan(bench: Benchmark, batches: Iterator[pa.RecordBatch], told) -> Iterator[pa.RecordBatch]:
+    """One pass: ``told`` makes the rows of each batch from (batch, words of each row, spans and items by row)."""
     held: list[tuple[pa.RecordBatch, np.ndarray]] = []
     ids, docs, places, base, size = [], [], [], 0, 0
     total = 0
@@ -122,18 +124,18 @@ def _scan(bench: Benchmark, batches: Iterator[pa.RecordBatch], last: bool) -> It
     def flush() -> Iterator[pa.RecordBatch]:
         nonlocal held, ids, docs, places, base, size
         d, s, e, pairs = (np.zeros(0, np.int64),) * 3 + ([],) if not size else _hits(bench, np.concatenate(ids), np.concatenate(docs), np.concatenate(places))
-        found: dict[int, list] = {}
+        found: dict[int, tuple[list, list]] = {}
         if len(d):
             order = np.argsort(d, kind="stable")
             d, s, e = d[order], s[order], e[order]
             heads = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
             for a, b in zip(heads, [*heads[1:], len(d)], strict=True):
-                found[int(d[a])] = [merge_spans(s[a:b], e[a:b]), []]
+                found[int(d[a])] = (merge_spans(s[a:b], e[a:b]), [])
             for i, name in pairs:
                 found[i][1].append(name)
         first = 0
         for batch, n_words in held:
-            yield _told(batch, n_words, found, first, last)
+            yield told(batch, n_words, {i - first: x for i, x in found.items() if first <= i < first + len(batch)})
             first += len(batch)
         held, ids, docs, places, base, size = [], [], [], [], 0, 0
 
@@ -163,29 +165,40 @@ def _scan(bench: Benchmark, batches: Iterator[pa.RecordBatch], last: bool) -> It
         yield from flush()
 
 
-def _told(batch: pa.RecordBatch, n_words: np.ndarray, found: dict[int, list], first: int, last: bool) -> pa.RecordBatch:
-    had_s, had_i = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-    for i in range(len(batch)):
-        if first + i in found:
-            spans, items = found[first + i]
-            old = had_s[i] or []
-            had_s[i] = [{"s": a, "e": b} for a, b in merge_spans(np.array([x["s"] for x in old] + [a for a, _ in spans]), np.array([x["e"] for x in old] + [b for _, b in spans]))]
-            had_i[i] = sorted({*(had_i[i] or []), *items})
-    if not last:
-        at = batch.schema.names.index
-        return batch.set_column(at("spans"), batch.schema.field("spans"), pa.array(had_s, batch.schema.field("spans").type)).set_column(at("items"), batch.schema.field("items"), pa.array(had_i, batch.schema.field("items").type))
-    hit = np.array([sum(x["e"] - x["s"] for x in s or []) for s in had_s], np.int64)
-    out = {
-        "doc_id": batch.column("doc_id"),
-        "n_words": pa.array(n_words),
-        "n_hit": pa.array(hit),
-        "n_items": pa.array([len(x or []) for x in had_i], pa.int64()),
-        "items_sha256": pa.array([hashlib.sha256(",".join(x or []).encode()).hexdigest() for x in had_i], pa.string()),
-        "contaminated": pa.array((hit > 0) & (20 * hit >= n_words)),
-        "spans": pa.array([s or [] for s in had_s], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
-        "items": pa.array([x or [] for x in had_i], pa.list_(pa.string())),
-    }
-    return pa.RecordBatch.from_pydict(out)
+def _hit_rows(batch: pa.RecordBatch, n_words: np.ndarray, found: dict[int, tuple[list, list]]) -> pa.RecordBatch:
+    """The rows with hits alone: _ord, spans and items."""
+    rows = sorted(found)
+    spans = [[{"s": a, "e": b} for a, b in found[i][0]] for i in rows]
+    return pa.RecordBatch.from_arrays([batch.column("_ord").take(pa.array(rows, pa.int64())), pa.array(spans, SPANS), pa.array([sorted(found[i][1]) for i in rows], pa.list_(pa.string()))], names=["_ord", "spans", "items"])
+
+
+SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+NOTHING = hashlib.sha256(b"").hexdigest()
+
+
+def _judged(batch: pa.RecordBatch, n_words: np.ndarray, found: dict[int, tuple[list, list]]) -> pa.RecordBatch:
+    """The result's rows; those without hits share their empty values."""
+    n = len(batch)
+    hit, count, sha, spans, items = np.zeros(n, np.int64), np.zeros(n, np.int64), [NOTHING] * n, [[]] * n, [[]] * n
+    for i, (runs, names) in found.items():
+        names = sorted(names)
+        hit[i], count[i], sha[i] = sum(b - a for a, b in runs), len(names), hashlib.sha256(",".join(names).encode()).hexdigest()
+        spans[i], items[i] = [{"s": a, "e": b} for a, b in runs], names
+    bad = (hit > 0) & (20 * hit >= n_words)
+    return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_words": pa.array(n_words), "n_hit": pa.array(hit), "n_items": pa.array(count), "items_sha256": pa.array(sha, pa.string()), "contaminated": pa.array(bad), "spans": pa.array(spans, SPANS), "items": pa.array(items, pa.list_(pa.string()))})
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with what all passes found in them (lists of their spans, unmerged, and items)."""
+    for batch in batches:
+        counts = np.zeros(len(batch), np.int64)
+        for lo, hi, data, offs in chunks(batch.column("text")):
+            counts[lo:hi] = np.bincount(words(data, offs, ALNUM)[2], minlength=hi - lo)
+        found = {}
+        for i in np.flatnonzero(batch.column("spans").is_valid().to_numpy(zero_copy_only=False)).tolist():
+            own = batch.column("spans")[i].as_py()
+            found[i] = (merge_spans(np.array([x["s"] for x in own]), np.array([x["e"] for x in own])), list(set(batch.column("items")[i].as_py())))
+        yield _judged(batch, counts, found)
 
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
@@ -205,26 +218,28 @@ def find(docs: DataFrame, benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Dat
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans (of word numbers) and items, a row per row of ``docs``."""
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text", F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    parts = list(_with_last(blocks(benchmark, limit)))
-    for items, last in parts:
+    schema = f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, {STATE}"
+    rest = blocks(benchmark, limit)
+    first = next(rest)
+    second = next(rest, None)
+    if second is None:
+        return docs.select("doc_id", "text").mapInArrow(_task(spark.sparkContext.broadcast(first), _judged), schema)
+    slim, _ = ordered_documents(docs)
+    found = []
+    # a job for each block: at any time one block is on the driver's and the tasks' hands
+    for items in itertools.chain([first, second], rest):
         block = spark.sparkContext.broadcast(items)
-        schema = f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, {STATE}" if last else f"doc_id {id_type}, text string, {STATE}"
-        out = out.mapInArrow(_task(block, last), schema)
-    return out
-
-
-def _task(block, last: bool):
-    return lambda batches: _scan(Benchmark(block.value), batches, last)
+        found.append(spill(slim.select("_ord", "text").mapInArrow(_task(block, _hit_rows), f"_ord long, {STATE}"), "hits"))
+        block.destroy()
+    rows = functools.reduce(DataFrame.union, found)
+    # as many spans as the row's words at most, for each block
+    rows = spill(rows.groupBy(F.col("_ord").alias("_hit")).agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")), "hits")
+    drop_scratch(*found)
+    return slim.join(rows, F.col("_ord") == F.col("_hit"), "left").select("doc_id", "text", "spans", "items").mapInArrow(_totals, schema)
 
 
-def _with_last(it):
-    it = iter(it)
-    held = next(it)
-    for x in it:
-        yield held, False
-        held = x
-    yield held, True
+def _task(block, told):
+    return lambda batches: _scan(Benchmark(block.value), batches, told)
 
 
 def filter_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
