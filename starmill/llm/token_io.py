@@ -9,14 +9,15 @@ that a task that runs again after a lost executor replaces its file whole.
 Index: keys are dealt by hash into buckets of about ``BUCKET`` keys; each bucket
 is one row with a minimal perfect hash of its keys (levels of bits, a key takes
 the first level where it is alone; its number is the count of ones before it) and,
-by that number, a 32-bit fingerprint, file, first id and number of ids. A lookup
-costs a constant number of reads; a key that isn't there is told by its
-fingerprint, but for one in 2**32.
+by that number, a 32-bit fingerprint, file, first id and number of ids. A key that isn't
+there is told by its fingerprint, but for one in 2**32. ``lookup`` joins many keys with
+the rows; ``Reader`` reads single keys from the same index in files, a constant number
+of short reads each, without Spark.
 
 Defined results: null and empty texts have the end id alone; keys are doc_ids, or,
 where those repeat or are null, the rows' places in the order (doc_id, null last;
-text), so that each row keeps its own entry; an empty table gives no files and no
-rows; extra columns are ignored.
+text), so that each row keeps its own entry; very long texts are encoded whole; an empty table
+gives no files and no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import mix, ordered_documents, partitions, scratch, spill, table
-from starmill.llm.tokens import encoder, with_end
+from starmill.llm.common import mix, open_folder, ordered_documents, partitions, scratch, spill, table
+from starmill.llm.tokens import encoder, id_width, with_end
 
 MAGIC = b"STARMIDS"
 HEAD = 16
@@ -44,10 +45,7 @@ GAMMA = 2.0
 # -- files
 
 
-def _open(folder: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder)
+_open = open_folder
 
 
 def _write(folder: str, path: str | None, width: int):
@@ -80,8 +78,12 @@ def _write(folder: str, path: str | None, width: int):
     return run
 
 
-def write_ids(docs: DataFrame, folder: str, path: str | None = None, width: int = 2, shards: int | None = None) -> DataFrame:
-    """Write the files; returns a written table (key, doc_id, shard, first, n)."""
+def write_ids(docs: DataFrame, folder: str, path: str | None = None, width: int | None = None, shards: int | None = None) -> DataFrame:
+    """Write the files; returns a written table (key, doc_id, shard, first, n). ``width``: bytes an id; None takes what the vocabulary needs."""
+    need = id_width(path)
+    if width is not None and width not in (need, 4):
+        raise ValueError(f"ids of this vocabulary need {need} bytes")
+    width = width or need
     slim, _ = ordered_documents(docs)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     ranged = slim.select("_ord", "doc_id", "text").repartitionByRange(shards or partitions(docs.sparkSession), "_ord").sortWithinPartitions("_ord")
@@ -106,19 +108,32 @@ def build_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(sizes, np.int64), np.packbits(np.concatenate(bits) if bits else np.zeros(0, bool), bitorder="little")
 
 
-def find_hash(sizes: np.ndarray, packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Each key's number from 0; -1 where no level has it."""
-    bits = np.unpackbits(packed, bitorder="little")
-    ones = np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
+def ranks(packed: np.ndarray) -> np.ndarray:
+    """The number of ones before each 64-bit word of ``packed``."""
+    ones = np.bitwise_count(packed.view("<u8")).astype(np.uint32)
+    return np.cumsum(ones, dtype=np.uint32) - ones
+
+
+def place_of(keys: np.ndarray, level: int, m: int) -> np.ndarray:
+    return (mix(keys.astype(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * (level + 1) & (1 << 64) - 1)) % np.uint64(m)).astype(np.int64)
+
+
+def find_hash(sizes: np.ndarray, packed: np.ndarray, keys: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+    """Each key's number from 0; -1 where no level has it. A key costs a word of bits a level, and one rank."""
+    if not len(packed):
+        return np.full(len(keys), -1, np.int64)
+    words = packed.view("<u8")
+    before = ranks(packed) if before is None else before
     out = np.full(len(keys), -1, np.int64)
     open_, base = np.arange(len(keys)), 0
     for level, m in enumerate(sizes):
         if not len(open_):
             break
-        k = keys[open_].astype(np.uint64)
-        at = base + (mix(k ^ np.uint64(0x9E3779B97F4A7C15 * (level + 1) & (1 << 64) - 1)) % np.uint64(m)).astype(np.int64)
-        hit = bits[at] == 1
-        out[open_[hit]] = ones[at[hit]]
+        at = base + place_of(keys[open_], level, int(m))
+        word, bit = words[at >> 6], (at & 63).astype(np.uint64)
+        hit = (word >> bit) & np.uint64(1) != 0
+        low = word & ((np.uint64(1) << bit) - np.uint64(1))
+        out[open_[hit]] = (before[at >> 6] + np.bitwise_count(low))[hit]
         open_, base = open_[~hit], base + int(m)
     return out
 
@@ -138,10 +153,10 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     order = np.empty(len(keys), np.int64)
     order[at] = np.arange(len(keys))
     pick = lambda x, t: x[order].astype(t).tobytes()
-    return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "sizes": [sizes.tobytes()], "bits": [bits.tobytes()], "prints": [pick(fingerprint(keys), "<u4")], "shards": [pick(pdf["shard"].to_numpy(), "<i4")], "firsts": [pick(pdf["first"].to_numpy(), "<i8")], "lengths": [pick(pdf["n"].to_numpy(), "<i8")]})
+    return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "sizes": [sizes.tobytes()], "bits": [bits.tobytes()], "ranks": [ranks(bits).tobytes()], "prints": [pick(fingerprint(keys), "<u4")], "shards": [pick(pdf["shard"].to_numpy(), "<i4")], "firsts": [pick(pdf["first"].to_numpy(), "<i8")], "lengths": [pick(pdf["n"].to_numpy(), "<i8")]})
 
 
-INDEX = "bucket int, sizes binary, bits binary, prints binary, shards binary, firsts binary, lengths binary"
+INDEX = "bucket int, sizes binary, bits binary, ranks binary, prints binary, shards binary, firsts binary, lengths binary"
 
 
 def build_index(entries: DataFrame) -> tuple[DataFrame, int]:
@@ -158,7 +173,7 @@ def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
         if not len(asked) or not len(held):
             return pd.DataFrame({"key": np.zeros(0, np.int64), "shard": np.zeros(0, np.int32), "first": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
         r, k = held.iloc[0], asked["key"].to_numpy(np.int64)
-        at = find_hash(np.frombuffer(r["sizes"], np.int64), np.frombuffer(r["bits"], np.uint8), k)
+        at = find_hash(np.frombuffer(r["sizes"], np.int64), np.frombuffer(r["bits"], np.uint8), k, np.frombuffer(r["ranks"], np.uint32))
         ok = at >= 0
         ok[ok] = np.frombuffer(r["prints"], "<u4")[at[ok]] == fingerprint(k[ok])
         at = at[ok]
@@ -168,6 +183,70 @@ def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     return asked.cogroup(index.groupBy("bucket")).applyInPandas(find, "key long, shard int, first long, n long")
 
 
+# -- the index as files, read by key
+
+
+def export_index(index: DataFrame, folder: str) -> None:
+    """A file for each bucket: the lengths of its parts, then the parts as they are in the row."""
+    parts = ("sizes", "bits", "ranks", "prints", "shards", "firsts", "lengths")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_folder(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for r in batch.to_pylist():
+                name = f"{root}/index-{r['bucket']:08d}.bin"
+                temp = f"{name}.{uuid.uuid4().hex}"
+                with store.open_output_stream(temp) as out:
+                    out.write(struct.pack("<7q", *(len(r[p]) for p in parts)) + b"".join(bytes(r[p]) for p in parts))
+                store.move(temp, name)
+            yield batch.select(["bucket"])
+
+    index.mapInArrow(run, "bucket int").agg(F.count("*")).collect()  # one row
+
+
+class Reader:
+    """Ids by key: a word of bits for each level of the hash, one rank, one fingerprint, one entry, and the ids themselves are read; the number of reads doesn't grow with the files."""
+
+    def __init__(self, index: str, payload: str, buckets: int):
+        self.store, self.root = open_folder(index)
+        self.payload, self.ids = open_folder(payload)
+        self.buckets = buckets
+
+    def bucket(self, key: int) -> int:
+        import xxhash
+
+        h = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)  # as Spark's xxhash64
+        return (h - (1 << 64) if h >> 63 else h) % self.buckets
+
+    def entry(self, key: int) -> tuple[int, int, int] | None:
+        """(shard, first id, number of ids) of a key; None if it isn't there."""
+        name = f"{self.root}/index-{self.bucket(key):08d}.bin"
+        if not self.store.get_file_info(name).is_file:
+            return None
+        with self.store.open_input_file(name) as f:
+            lengths = struct.unpack("<7q", f.read_at(56, 0))
+            start = np.concatenate([[56], 56 + np.cumsum(lengths)]).tolist()
+            one, base = np.array([key], np.int64), 0
+            for level, m in enumerate(np.frombuffer(f.read_at(lengths[0], start[0]), "<i8").tolist()):
+                at = base + int(place_of(one, level, m)[0])
+                word = int.from_bytes(f.read_at(8, start[1] + (at >> 6) * 8), "little")
+                if word >> (at & 63) & 1:
+                    rank = int.from_bytes(f.read_at(4, start[2] + (at >> 6) * 4), "little")
+                    i = rank + (word & ((1 << (at & 63)) - 1)).bit_count()
+                    if f.read_at(4, start[3] + 4 * i) != fingerprint(one).astype("<u4").tobytes():
+                        return None
+                    whole = lambda p, w: int.from_bytes(f.read_at(w, start[p] + w * i), "little")  # noqa: B023, E731
+                    return whole(4, 4), whole(5, 8), whole(6, 8)
+                base += m
+        return None
+
+    def get(self, key: int) -> np.ndarray | None:
+        """A document's ids, end id included."""
+        found = self.entry(key)
+        return None if found is None else read_ids(self.payload, self.ids, *found)
+
+
 def read_ids(store, root: str, shard: int, first: int, n: int) -> np.ndarray:
     """One document's ids, end id included."""
     with store.open_input_file(f"{root}/ids-{shard:05d}.bin") as f:

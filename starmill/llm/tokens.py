@@ -3,8 +3,9 @@
 The tokenizer is a file of the ``tokenizers`` library. That library encodes about
 1.3 MB/s on a core, too slow for the whole corpus; the same vocabulary, read from
 the same file, goes through ``tiktoken`` at about 7 MB/s with the same ids. The
-library stays the authority: every ``SPOT``-th text of a task is encoded by both,
-and a difference ends the job. ``engine="tokenizers"`` uses it alone.
+library stays the authority: a file that isn't plain byte-level BPE is refused, every
+``SPOT``-th text of a task is encoded whole by both, whatever its length, and a
+difference ends the job. ``engine="tokenizers"`` uses the library alone.
 """
 
 from __future__ import annotations
@@ -36,6 +37,36 @@ def _bytes_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def specification(path: str | None = None) -> dict:
+    """The tokenizer's file; refused if its ids don't follow from the vocabulary's ranks under ``PATTERN``."""
+    with open(path or vocabulary_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    vocabulary = model["vocab"]
+    merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model.get("merges", ())]
+    faults = [
+        name
+        for name, bad in (
+            ("model", model.get("type", "BPE") != "BPE"),
+            ("normalizer", spec.get("normalizer") is not None),
+            ("pre_tokenizer", before.get("type") != "ByteLevel" or before.get("add_prefix_space") or before.get("use_regex") is False),
+            ("order of merges", merged != sorted(merged)),
+            ("dropout or prefixes", bool(model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"))),
+        )
+        if bad
+    ]
+    if faults:
+        raise ValueError(f"not a plain byte-level BPE file: {', '.join(faults)}")
+    return spec
+
+
+def id_width(path: str | None = None) -> int:
+    """Bytes that hold every id of the vocabulary: 2 or 4."""
+    spec = specification(path)
+    most = max([END, *spec["model"]["vocab"].values(), *[t["id"] for t in spec.get("added_tokens", ())]])
+    return 2 if most < 1 << 16 else 4
+
+
 def encoder(path: str | None = None, engine: str = "tiktoken") -> Callable[[str], list[int]]:
     """text -> ids, without added tokens; made once in a worker. ``path``: the tokenizer file, at the same place on all machines; None: the public one."""
     path = path or vocabulary_path()
@@ -54,8 +85,7 @@ def encoder(path: str | None = None, engine: str = "tiktoken") -> Callable[[str]
         return slow
     import tiktoken
 
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+    spec = specification(path)
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
     back = _bytes_of()
     ranks = {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
@@ -65,7 +95,7 @@ def encoder(path: str | None = None, engine: str = "tiktoken") -> Callable[[str]
     def encode(text: str) -> list[int]:
         nonlocal count
         ids = fast.encode(text, allowed_special="all") if any(s in text for s in special) else fast.encode_ordinary(text)
-        if count % SPOT == 0 and len(text) < 1 << 16 and ids != slow(text):
+        if count % SPOT == 0 and ids != slow(text):
             raise ValueError("the two encoders disagree on a text")
         count += 1
         return ids

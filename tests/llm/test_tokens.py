@@ -112,3 +112,31 @@ def test_sequences_hold_the_ids(make, odd_rows):
     got = packing.fill(d, packed, 256).collect()
     assert sum(len(r["ids"]) for r in got) == sum(map(len, brute.ids_of([t for _, t in odd_rows])))
     assert max(len(r["ids"]) for r in got) <= 256
+
+
+def test_reader_finds_single_keys(spark, make, odd_rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_io, "BUCKET", 16)
+    payload, folder = f"file://{tmp_path}/ids", f"file://{tmp_path}/index"
+    index, buckets = token_io.build_index(token_io.write_ids(make(odd_rows), payload))
+    token_io.export_index(index, folder)
+    r = token_io.Reader(folder, payload, buckets)
+    asked = spark.range(200).select("id", token_io._bucket("id", buckets).alias("b")).collect()
+    assert all(r.bucket(x["id"]) == x["b"] for x in asked)
+    for (i, _), ids in zip(odd_rows, brute.ids_of([t for _, t in odd_rows]), strict=True):
+        assert r.get(i).tolist() == ids.tolist()
+    assert not any(r.get(k) is not None for k in range(10_000, 10_100))
+
+
+def test_vocabulary_is_checked(tmp_path, make):
+    import json
+
+    assert tokens.id_width() == 2
+    spec = tokens.specification()
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"model": spec["model"] | {"merges": spec["model"]["merges"][::-1]}}):
+        (tmp_path / "t.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError, match="plain byte-level"):
+            tokens.encoder(str(tmp_path / "t.json"), "tiktoken")
+    (tmp_path / "wide.json").write_text(json.dumps(spec | {"added_tokens": [{"id": 70_000, "content": "<x>", "special": True}]}))
+    assert tokens.id_width(str(tmp_path / "wide.json")) == 4
+    with pytest.raises(ValueError, match="4 bytes"):
+        token_io.write_ids(make([]), "file:///tmp/none", str(tmp_path / "wide.json"), 2)
