@@ -1,30 +1,34 @@
 """Personal data and secrets replaced by keyed, type-consistent surrogates.
 
-Kinds: EMAIL, PHONE, IPV4, CARD, SSN, IBAN, SECRET, PERSON (a name after a form of
-address). Entities are reduced to a canonical form (letter case, separators and
-country prefix aside), and the surrogate is a function of key, kind and canonical
-form; it is then written in the format of the mention. So mentions of one entity
-get one surrogate in every document and form, in any run with the key.
-
-Distinct entities stay distinct: numbers and addresses go through a keyed
-permutation of all values of their format (a Feistel network with cycle walking),
-which can't collide; a card keeps the state of its check digit, an address its
-class (private, loopback, multicast, public). Names come from the key by
-syllables, with the gender of the form of address, or of a known first name, and
-the script of the mention; a name's words are replaced one by one, so that "Mr.
-Smith" after "John Smith" agrees. After the pass, a job over all entities looks
-for two with one surrogate; names that collide take their next draw, in rounds,
-and the pass runs again with those few exceptions, or with longer names if they
-are more than ``EXCEPTIONS``. A collision of any other kind is an error.
-
-Defined results: null texts stay null, empty ones empty, each without entities;
-overlapping finds go to the earlier, then the longer; repeated rows get the same
-text; all other columns pass through unchanged, whatever their names.
+Kinds: EMAIL, PHONE, IPV4, IPV6, CARD, SSN, IBAN, SECRET, PERSON (a name after a form
+of address, or after a known first name). Entities are reduced to a canonical form
+(letter case, separators and trunk prefix aside), and the surrogate is a function of
+key, kind and canonical form; it is then written in the format of the mention. So
+mentions of one entity get one surrogate in every document and form, in any run with
+the key, whatever else is in the corpus.
+
+Distinct entities stay distinct, as every kind goes through a keyed permutation of all
+values of its format (a Feistel network with cycle walking), which can't collide: a
+card keeps the state of its check digit, an IBAN its country and the state of its check
+sum, a phone number its country code, an address its class (private, loopback,
+multicast, public) or its first group. Words of names are numbers, too: shorter
+words first, then by letters; their permutation is written in syllables of the
+mention's script, as many as hold the words of that length, with an ending that tells the
+gender of the form of address, or of a known first name. A name's words are replaced
+one by one, so that "Mr. Smith" after "John Smith" agrees. After the pass a job over
+all entities looks for two with one surrogate, which is an error. With ``syllables``
+given, names are short draws instead; those that collide draw again, in rounds.
+
+Defined results: null texts stay null, empty ones empty, each without entities; very
+long texts are searched whole; overlapping finds go to the earlier, then the longer;
+repeated rows get the same text; an empty table stays empty; all other columns pass
+through unchanged, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,12 +43,16 @@ from starmill.llm.common import drop_scratch, spill, table
 
 KEY = b"surrogate-key-1"
 EXCEPTIONS = 100_000
+ROUNDS = 20
+"""Rounds of short draws after which they get a syllable more."""
 
 #: forms of address and the gender they tell
 ADDRESS = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Mme": "f", "Mlle": "f", "Monsieur": "m", "Madame": "f", "Señor": "m", "Señora": "f", "Sra": "f", "Dr": "", "Prof": "", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
 #: first names that tell a gender where the form of address doesn't
 FIRST = {"f": "Alice Anna Barbara Carmen Claire Elena Emma Eva Julia Laura Linda Lucia Maria Marie Mary Patricia Sarah Sophie Susan Анна Елена Мария Ольга Ελένη Μαρία", "m": "Antonio Carlos David Hans Jean John José Karl Luis Michael Paul Peter Pierre Robert Thomas William Александр Иван Сергей Γιώργος Νίκος"}
 _GENDER = {n: g for g, names in FIRST.items() for n in names.split()}
+#: country codes of one and two digits; all others have three (fixed values)
+_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
 #: onsets, vowels and endings by script
 _SCRIPT = {
     "latin": ("b d f g h k l m n p r s t v".split(), "a e i o u".split(), {"f": ["a", "ia", "ine", "elle"], "m": ["o", "n", "rd", "us"], "": ["s", "r", "ck", "ley"]}),
@@ -55,16 +63,19 @@ _SCRIPT = {
 _NUMBERS = re.compile(
     r"""(?P<IBAN>\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
     |(?P<IPV4>(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?!\.?[0-9]))
+    |(?P<IPV6>(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}:(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?|::(?:[0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4})(?![0-9A-Za-z:]))
     |(?P<SSN>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))
-    |(?P<PHONE>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))
+    |(?P<PHONE>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\)[ ]?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|0[0-9]{2,4}[ /-][0-9]{5,8})(?![0-9]))
     |(?P<CARD>(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z]))
     |(?P<SECRET>\b(?:[0-9a-f]{32,}|[0-9A-F]{32,})\b|\bAKIA[0-9A-Z]{16}\b|\b(?:sk|pk|rk)[-_][A-Za-z0-9_-]{20,}|\bgh[pousr]_[A-Za-z0-9]{30,})""",
     re.X,
 )
+_CALLED = re.compile(r"(?i:\b(?:phone|tel|call|mobile|cell|fax|telefon|mobil)\b\.?:? *)([0-9]{9,12})(?![0-9A-Za-z])")
 _EMAIL = re.compile(r"[\w.%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NAMED = re.compile(r"(?i:\b(?:token|secret|passwd|password|api[_-]?key|access[_-]?key)\b[\"']?\s*[:=]\s*[\"']?)([^\s\"'<>]{6,})")
 _PERSON = re.compile(r"\b(" + "|".join(ADDRESS) + r")\b\.? ((?:[^\W\d_a-zа-яα-ω][\w'’-]+)(?: [^\W\d_a-zа-яα-ω][\w'’-]+){0,2})")
-_MAYBE = r"[0-9@]|(?i:token|secret|passw|api[_-]?key|access[_-]?key)|[a-f]{32}|[A-F]{32}|AKIA|[spr]k[-_]|gh[pousr]_|" + "|".join(ADDRESS)
+_FIRST = re.compile(r"\b(" + "|".join(n for names in FIRST.values() for n in names.split()) + r") ((?:[^\W\d_a-zа-яα-ω][\w'’-]+)(?: [^\W\d_a-zа-яα-ω][\w'’-]+)?)")
+_MAYBE = r"[0-9@]|::|(?i:token|secret|passw|api[_-]?key|access[_-]?key)|[a-f]{32}|[A-F]{32}|AKIA|[spr]k[-_]|gh[pousr]_|" + "|".join([*ADDRESS, *_GENDER])
 """True of every text in which ``detect`` finds anything: without \\b, which is ASCII only in Arrow's expressions."""
 
 
@@ -180,10 +191,81 @@ def name_word(ident: int, attempt: int, gender: str, script: str, syllables: int
     return ("".join(out) + ends[gender][x % len(ends[gender])]).capitalize()
 
 
+#: consonants that may close a syllable, by script; none first
+_CODA = {"latin": ["", "n", "r", "s", "l", "m"], "cyrillic": ["", "н", "р", "с", "л", "м"], "greek": ["", "ν", "ρ", "σ", "λ", "μ"]}
+#: plain letters by script; a word of others is a number in a wider base, and has another ending
+_PLAIN = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρσςτυφχψω"}
+#: endings of words of plain letters and of others, by script and gender; no ending is another's end
+_END = {
+    "latin": {"f": ("ia", "elle"), "m": ("us", "ard"), "": ("er", "ack")},
+    "cyrillic": {"f": ("ия", "ова"), "m": ("ил", "ев"), "": ("ко", "ич")},
+    "greek": {"f": ("ια", "ω"), "m": ("ος", "ης"), "": ("ου", "ακη")},
+}
+
+
+@lru_cache(1 << 16)
+def permuted_word(key: bytes, word: str, gender: str, script: str) -> str:
+    """A word's surrogate: one to one over all words of the script (lower case), by gender."""
+    onsets, vowels, _ = _SCRIPT[script]
+    size = len(onsets) * len(vowels) * len(_CODA[script])
+    letters = _PLAIN[script]
+    plain = all(c in letters for c in word)
+    # shorter words first, then by letters: each word is one number
+    x, base = 0, len(letters) if plain else 0x110000
+    for c in word:
+        x = x * base + 1 + (letters.index(c) if plain else ord(c))
+    k = 2
+    while x >= size**k:  # as many syllables as hold it; the words before those are numbered by fewer
+        x -= size**k
+        k += 1
+    y, out = permute_wide(key, f"name\x1f{script}\x1f{gender}\x1f{plain}\x1f{k}", x, size**k), []
+    for _ in range(k):
+        y, d = divmod(y, size)
+        d, o = divmod(d, len(onsets))
+        c, v = divmod(d, len(vowels))
+        out.append(onsets[o] + vowels[v] + _CODA[script][c])
+    return "".join(out) + _END[script][gender][not plain]
+
+
+def _iban_state(iban: str) -> int:
+    """The rest by 97 that a valid IBAN leaves as 1."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def _iban(key: bytes, canon: str) -> str:
+    """A valid number becomes a valid one of its country, any other another that isn't valid."""
+    country, valid = canon[:2], _iban_state(canon) == 1
+    if valid:
+        body = _mixed(key, "iban" + country, canon[4:].lower()).upper()
+        return f"{country}{98 - _iban_state(country + '00' + body):02d}{body}"
+    rest = canon[2:]
+    while True:  # ends, as the walk comes back to the number itself
+        rest = _mixed(key, "iban-" + country, rest.lower()).upper()
+        if _iban_state(country + rest) != 1:
+            return country + rest
+
+
+def _ipv6(key: bytes, canon: str) -> str:
+    """All groups but the first, which tells the address's class, are permuted."""
+    x = int(ipaddress.IPv6Address(canon))
+    low = permute_wide(key, f"ip6{x >> 112}", x & ((1 << 112) - 1), 1 << 112)
+    return ipaddress.IPv6Address(x >> 112 << 112 | low).exploded
+
+
+def _phone(key: bytes, canon: str) -> str:
+    """National digits, by country; a first digit that is no 0 stays so."""
+    country, _, digits = canon.rpartition(":")
+    out = digits
+    while True:  # ends, as the walk comes back to the number itself
+        out = _digits(key, f"PHONE{country}", out)
+        if (out[:1] == "0") == (digits[:1] == "0"):
+            return out
+
+
 class Surrogates:
-    """Surrogates of one key; ``attempts``: the draws of the names that collided."""
+    """Surrogates of one key. ``syllables``: names are draws of so many; ``attempts``: the draws of those that collided."""
 
-    def __init__(self, key: bytes = KEY, attempts: dict[int, int] | None = None, syllables: int = 4):
+    def __init__(self, key: bytes = KEY, attempts: dict[int, int] | None = None, syllables: int | None = None):
         self.key, self.attempts, self.syllables = key, attempts or {}, syllables
         self.value = lru_cache(1 << 16)(self._value)
 
@@ -195,10 +277,14 @@ class Surrogates:
             body = _digits(key, f"card{_luhn(canon) % 10}", canon[:-1])
             want = _luhn(canon) % 10
             return body + str((want - _luhn(body + "0")) % 10)
-        if kind in ("PHONE", "SSN"):
+        if kind == "SSN":
             return _digits(key, kind, canon)
+        if kind == "PHONE":
+            return _phone(key, canon)
+        if kind == "IPV6":
+            return _ipv6(key, canon)
         if kind == "IBAN":
-            return canon[:2].upper() + _mixed(key, "iban" + canon[:2], canon[2:].lower()).upper()
+            return _iban(key, canon)
         if kind == "EMAIL":
             local, _, host = canon.rpartition("@")
             # the host's last label stays: it tells the type of address
@@ -210,7 +296,10 @@ class Surrogates:
         """(identity, canonical form of the replacement, replacement) of one word of a name."""
         script = _script(word)
         ident = _draw(self.key, "PERSON", gender, script, word.lower()) >> 1
-        out = name_word(ident, self.attempts.get(ident, 0), gender, script, self.syllables)
+        if self.syllables is None:
+            out = permuted_word(self.key, word.lower(), gender, script).capitalize()
+        else:
+            out = name_word(ident, self.attempts.get(ident, 0), gender, script, self.syllables)
         return ident, out.lower(), out.upper() if word.isupper() and len(word) > 1 else out
 
 
@@ -219,7 +308,12 @@ def canonical(kind: str, found: str) -> str:
         return re.sub("[^0-9]", "", found)
     if kind == "PHONE":
         d = re.sub("[^0-9]", "", found)
-        return d[-10:] if len(d) in (10, 11) else d
+        if found.startswith("+"):
+            code = next((d[:n] for n in (1, 2) if d[:n] in _CODES), d[:3])
+            return d[1:] if code == "1" and len(d) == 11 else f"{code}:{d[len(code):]}"
+        return d[1:] if len(d) == 11 and d[0] == "1" else d
+    if kind == "IPV6":
+        return ipaddress.IPv6Address(found).exploded
     if kind == "IPV4":
         return ".".join(str(int(p)) for p in found.split("."))
     if kind == "IBAN":
@@ -235,17 +329,30 @@ def render(kind: str, found: str, value: str) -> str:
         for i, c in zip(reversed(signs), reversed(value), strict=False):
             out[i] = c
         return "".join(out)
+    if kind == "IPV6":
+        value = str(ipaddress.IPv6Address(value)) if "::" in found or len(found) < 39 else value
+        return value.upper() if found.isupper() else value
     if kind == "EMAIL" and found.isupper():
         return value.upper()
     return value
 
 
+def _address(found: str) -> bool:
+    try:
+        return bool(ipaddress.IPv6Address(found)) and any(c.isdigit() for c in found)
+    except ValueError:
+        return False
+
+
 def detect(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, without overlaps."""
     found = [(m.start(), m.end(), "EMAIL") for m in _EMAIL.finditer(text)] if "@" in text else []
-    found += [(m.start(), m.end(), m.lastgroup if m.lastgroup != "gap" else "CARD") for m in _NUMBERS.finditer(text)]
+    numbers = [(m.start(), m.end(), m.lastgroup if m.lastgroup != "gap" else "CARD") for m in _NUMBERS.finditer(text)]
+    found += [x for x in numbers if x[2] != "IPV6" or _address(text[x[0] : x[1]])]
+    found += [(m.start(1), m.end(1), "PHONE") for m in _CALLED.finditer(text)]
     found += [(m.start(1), m.end(1), "SECRET") for m in _NAMED.finditer(text)]
     found += [(m.start(2), m.end(2), "PERSON:" + ADDRESS[m[1]]) for m in _PERSON.finditer(text)]
+    found += [(m.start(), m.end(), "PERSON:" + _GENDER[m[1]]) for m in _FIRST.finditer(text)]
     out: list[tuple[int, int, str]] = []
     for s, e, kind in sorted(found, key=lambda x: (x[0], -x[1])):
         if not out or s >= out[-1][1]:
@@ -296,7 +403,7 @@ def rewrite(text: str, by: Surrogates) -> tuple[str, list[tuple[str, int, str, i
 ENTITY = "array<struct<kind:string,ident:bigint,canon:string,start:int,end:int,surrogate:string>>"
 
 
-def _task(key: bytes, attempts, syllables: int, name: str):
+def _task(key: bytes, attempts, syllables: int | None, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = Surrogates(key, attempts.value if attempts else None, syllables)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("ident", pa.int64()), ("canon", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("surrogate", pa.string())]))
@@ -318,26 +425,26 @@ def _task(key: bytes, attempts, syllables: int, name: str):
     return run
 
 
-def surrogate(docs: DataFrame, key: bytes = KEY, syllables: int = 4) -> tuple[DataFrame, str]:
+def surrogate(docs: DataFrame, key: bytes = KEY, syllables: int | None = None) -> tuple[DataFrame, str]:
     """``docs`` with surrogates in text, written, and the name of the added column of entities."""
     name = "entities"
     while name in docs.columns:
         name += "_"
     entity = T._parse_datatype_string(ENTITY)
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in docs.schema], T.StructField(name, entity, True)])
-    attempts = None
+    attempts, rounds = None, 0
     while True:
         out = spill(docs.mapInArrow(_task(key, attempts, syllables, name), schema), "surrogates")
         seen = out.select(F.explode(name).alias("x")).select("x.kind", "x.ident", "x.canon").distinct()
         shared = seen.groupBy("kind", "canon").agg(F.count("*").alias("n")).where("n > 1").groupBy("kind").count().collect()  # a row per kind
         if not shared:
             return out, name
-        if any(r["kind"] != "PERSON" for r in shared):
+        if syllables is None or any(r["kind"] != "PERSON" for r in shared):
             raise ValueError(f"surrogates collide: {shared}")
-        again = _collided(seen, attempts.value if attempts else {})
+        again, rounds = _collided(seen, attempts.value if attempts else {}), rounds + 1
         few = again.limit(EXCEPTIONS + 1).collect()  # of a checked number
         drop_scratch(out)
-        if len(few) > EXCEPTIONS:
+        if len(few) > EXCEPTIONS or rounds % ROUNDS == 0:
             syllables, attempts = syllables + 1, None
         else:
             attempts = docs.sparkSession.sparkContext.broadcast({**(attempts.value if attempts else {}), **{r["ident"]: r["attempt"] for r in few}})
@@ -347,8 +454,8 @@ def _collided(seen: DataFrame, had: dict[int, int]) -> DataFrame:
     """(ident, attempt) of the names that must draw again: all but the least identity of each surrogate."""
     rank = F.row_number().over(Window.partitionBy("canon").orderBy("ident"))
     lost = seen.where("kind = 'PERSON'").withColumn("r", rank).where("r > 1")
-    old = F.create_map(*[F.lit(x) for kv in had.items() for x in kv]) if had else F.create_map().cast("map<bigint,int>")
-    return lost.select("ident", (F.coalesce(F.element_at(old, F.col("ident")), F.lit(0)) + F.col("r") - 1).cast("int").alias("attempt"))
+    old = seen.sparkSession.createDataFrame(list(had.items()), "had long, tried int")
+    return lost.join(old, F.col("ident") == F.col("had"), "left").select("ident", (F.coalesce("tried", F.lit(0)) + F.col("r") - 1).cast("int").alias("attempt"))
 
 
 def clean_documents(docs: DataFrame, key: bytes = KEY) -> DataFrame:

@@ -66,3 +66,64 @@ def test_prefilter_passes_all_that_is_found(make):
     assert all(pc.match_substring_regex(pa.array(texts), pii._MAYBE).to_pylist())
     out = {r["doc_id"]: r["text"] for r in pii.clean_documents(make(list(enumerate(texts)))).collect()}
     assert all(out[i] != t for i, t in enumerate(texts))
+
+
+def test_surrogates_keep_type_and_format():
+    text = "IBAN DE89370400440532013000 and GB33 BUKB 2020 1555 5555 55, +44 20 7946 0958, +49 (171) 1234567, 0171 1234567, tel 5551234567, 2001:db8::8a2e:370:7334 and FE80:0000:0000:0000:0202:B3FF:FE1E:8329."
+    new, found = pii.rewrite(text, pii.Surrogates())
+    by = {}
+    for kind, _, _, s, e, surrogate in found:
+        by.setdefault(kind, []).append((text[s:e], surrogate))
+    for was, now in by["IBAN"]:
+        assert now[:2] == was[:2] and pii._iban_state(now.replace(" ", "")) == 1 and [c == " " for c in now] == [c == " " for c in was]
+    phones = dict(by["PHONE"])
+    assert phones["+44 20 7946 0958"].startswith("+44 ") and phones["+49 (171) 1234567"].startswith("+49 (") and phones["0171 1234567"][0] == "0" and len(phones["5551234567"]) == 10
+    assert [x[1].split(":")[0] for x in by["IPV6"]] == ["2001", "FE80"] and all(a != b for a, b in by["IPV6"])
+    assert pii.rewrite("time 12:30:45 and a::b, std::vector<int>", pii.Surrogates())[1] == []
+    bad = "DE89370400440532013001"
+    assert pii._iban_state(pii.Surrogates().value("IBAN", bad)) != 1
+
+
+def test_words_of_names_are_permuted():
+    by = pii.Surrogates()
+    words = ["Smith", "Smyth", "O'Neil", "Müller", "Mueller", "Li", "Papadopoulos", "X" * 40, *(f"{a}{b}{c}" for a in "ABCDEFGHIJ" for b in "aeiou" for c in "bcdfghjklmnp")]
+    out = [by.person(w, "", )[1] for w in words]
+    assert len(set(out)) == len(words) and by.person("SMITH", "")[2].isupper() and by.person("smith", "")[1] == out[0]
+    assert {by.person(w, "f")[1][-2:] for w in ("Anna", "Eva")} == {"ia"} and by.person("Иван", "m")[1].endswith("ил")
+    # whole spaces: every word of up to two plain letters
+    small = [a for a in pii._PLAIN["latin"]] + [a + b for a in pii._PLAIN["latin"] for b in pii._PLAIN["latin"]]
+    assert len({pii.permuted_word(b"k", w, "", "latin") for w in small}) == len(small)
+
+
+def test_names_don_t_depend_on_the_corpus(make):
+    rows = [(i, f"Mr. {chr(65 + i % 26)}{'aeiou'[i % 5]}xt{chr(97 + i // 26)} was here, and so was Maria Lopez") for i in range(200)]
+    whole = {r["doc_id"]: r["text"] for r in pii.surrogate(make(rows))[0].collect()}
+    part = {r["doc_id"]: r["text"] for r in pii.surrogate(make(rows[:7]))[0].collect()}
+    assert part == {i: whole[i] for i, _ in rows[:7]} and len(set(whole.values())) == len({t for _, t in rows})
+    assert not any("Maria" in t or "Lopez" in t for t in whole.values())
+
+
+def test_recall_on_planted_entities(make):
+    """Planted entities of every kind in prose, against what is found."""
+    import random
+
+    rng = random.Random(3)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    plants = {
+        "EMAIL": lambda: f"u{d(3)}.x@h{d(2)}.example.org", "IPV4": lambda: f"10.{rng.randrange(256)}.{rng.randrange(256)}.7", "SSN": lambda: f"{d(3)}-{d(2)}-{d(4)}", "PHONE": lambda: f"+{rng.choice(['1', '44', '49', '420'])} {rng.randrange(200, 999)} {d(3)} {d(4)}",
+        "CARD": lambda: f"4{d(3)} {d(4)} {d(4)} {d(4)}", "SECRET": lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40)), "PERSON": lambda: f"Mr. {rng.choice(['Adam', 'Omar'])} {rng.choice(['Stone', 'Rivers', 'Hill'])}", "IPV6": lambda: f"2001:db8::{d(3)}:{d(2)}",
+    }
+    rows, want = [], 0
+    for i in range(400):
+        kind = rng.choice(sorted(plants))
+        rows.append((i, f"some words before {plants[kind]()} and after"))
+        want += 1
+    got = pii.surrogate(make(rows))[0].select("doc_id", "text").collect()
+    changed = sum(r["text"] != dict(rows)[r["doc_id"]] for r in got)
+    assert changed / want >= 0.98
+
+
+def test_very_long_texts(make):
+    text = "word " * 200_000 + "bob@mail.example.com " + "end " * 100_000
+    r = pii.surrogate(make([(1, text)]))[0].first()
+    assert len(r["text"]) == len(text) and "bob@mail" not in r["text"] and r["entities_"][0]["start"] == 1_000_000
