@@ -18,9 +18,10 @@ holds is told. Status of a result: ``ok``, ``orphan`` (no such call) or ``repeat
 
 Defined results: null or empty texts are messages with the text ""; texts that
 aren't such JSON are plain messages; a null role is "unknown"; a null conv_id is a
-conversation of its own; null turns come last; messages of one turn are ordered by
-role and text; repeated rows all stay; extra columns are ignored. No step collects
-a conversation: places are counted by blocks of it.
+conversation of its own; null turns come last, by a digest of their texts; messages of
+one turn are ordered by role and text; repeated rows all stay; very long texts are read and written whole; an
+empty table gives no rows; extra columns are ignored. No step collects a conversation:
+places are counted by blocks of it, rows without a turn by blocks of their texts.
 """
 
 from __future__ import annotations
@@ -97,10 +98,11 @@ def _statuses(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
 
 def _depths(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """(conv, id, at, wait): the turn at which each first call of its identifier can stand; wait is "cycle" or "dangling" if its needs can't be met.
+    """(conv, id, at, level, wait): the turn at which each first call of its identifier can stand, and the longest chain before it; wait is "cycle" or "dangling" if its needs can't be met.
 
-    Rounds over the open calls; those still open when a round closes none are in a
-    cycle or behind one. Each round is written; there are as many as the longest chain has calls.
+    By doubling: round k has the calls that stand exactly 2**k needs before each call,
+    so that a chain of n calls takes about log2(n) rounds, each written. A call that has
+    any when 2**k is over the number of its conversation's calls waits for a cycle.
     """
     told = results.where("copy = 1").select("conv", "id", F.col("turn").alias("told"))
     first = calls.where("copy = 1").select("conv", "id", "turn", "needs").join(told, ["conv", "id"], "left")
@@ -108,23 +110,29 @@ def _depths(calls: DataFrame, results: DataFrame) -> DataFrame:
     if not wants.limit(1).count():
         return first.select("conv", "id", F.col("turn").alias("at"), F.lit(0).alias("level"), F.lit(None).cast("string").alias("wait"))
     known = first.select(F.col("conv").alias("kc"), F.col("id").alias("kid"))
-    need = wants.select("conv", "id", F.explode("needs").alias("need"))
-    need = need.join(known, (F.col("conv") == F.col("kc")) & (F.col("need") == F.col("kid")), "left")
-    dangling = need.where("kid IS NULL").select("conv", "id").distinct()
-    need = spill(need.where("kid IS NOT NULL").select("conv", "id", "need"), "needs")
-    state = spill(first.join(dangling.withColumn("d", F.lit(True)), ["conv", "id"], "left").select("conv", "id", "turn", "told", F.when(F.col("d") | (F.size("needs") == 0), F.col("turn")).alias("at"), F.when(F.col("d") | (F.size("needs") == 0), 0).alias("level"), F.when(F.col("d"), "dangling").alias("wait")), "depths")
-    still = state.where("at IS NULL").count()
-    before = still + 1
-    while 0 < still < before:
-        got = need.join(state.select(F.col("conv").alias("sc"), F.col("id").alias("sid"), F.greatest("told", F.col("at")).alias("nat"), F.col("at").isNull().alias("waits"), F.col("level").alias("nlevel")), (F.col("conv") == F.col("sc")) & (F.col("need") == F.col("sid")))
-        ready = got.groupBy("conv", "id").agg(F.max("nat").alias("m"), F.max("nlevel").alias("l"), F.count_if("waits").alias("open")).where("open = 0")
-        new = state.join(ready.select("conv", "id", "m", "l"), ["conv", "id"], "left")
-        new = new.select("conv", "id", "turn", "told", F.coalesce("at", F.when(F.col("m").isNotNull(), F.greatest("turn", "m"))).alias("at"), F.coalesce("level", F.col("l") + 1).alias("level"), "wait")
-        new = spill(new, "depths")
-        drop_scratch(state)
-        state = new
-        before, still = still, state.where("at IS NULL").count()
-    return state.select("conv", "id", F.coalesce("at", "turn").alias("at"), F.coalesce("level", F.lit(0)).alias("level"), F.when(F.col("at").isNull(), "cycle").otherwise(F.col("wait")).alias("wait"))
+    need = wants.select("conv", F.col("id").alias("x"), F.explode("needs").alias("y"))
+    need = spill(need.join(known, (F.col("conv") == F.col("kc")) & (F.col("y") == F.col("kid")), "left"), "needs")
+    dangling = need.where("kid IS NULL").select("conv", "x").distinct()
+    # a dangling call waits for nothing
+    far = spill(need.where("kid IS NOT NULL").select("conv", "x", "y").join(dangling, ["conv", "x"], "left_anti"), "needs")
+    most = first.groupBy("conv").count().agg(F.max("count")).first()[0]
+    own = first.join(dangling.select("conv", F.col("x").alias("id"), F.lit(True).alias("d")), ["conv", "id"], "left")
+    state = spill(own.select("conv", "id", "turn", F.greatest("told", "turn").alias("ready"), F.lit(None).cast("long").alias("up"), F.lit(0).cast("long").alias("level"), "d"), "depths")
+    drop_scratch(need)
+    hops = 1
+    while hops <= most and far.limit(1).count():
+        before = state.select(F.col("conv").alias("sc"), F.col("id").alias("sid"), F.greatest("ready", "up").alias("nat"), F.col("level").alias("nlevel"))
+        met = far.join(before, (F.col("conv") == F.col("sc")) & (F.col("y") == F.col("sid")))
+        met = met.groupBy("conv", F.col("x").alias("id")).agg(F.max("nat").alias("m"), (F.max("nlevel") + hops).alias("l"))
+        new = spill(state.join(met, ["conv", "id"], "left").select("conv", "id", "turn", "ready", F.greatest("up", "m").alias("up"), F.greatest("level", "l").alias("level"), "d"), "depths")
+        step = far.select(F.col("conv").alias("nc"), F.col("x").alias("via"), F.col("y").alias("z"))
+        later = spill(far.join(step, (F.col("conv") == F.col("nc")) & (F.col("y") == F.col("via"))).select("conv", "x", F.col("z").alias("y")).distinct(), "needs")
+        drop_scratch(state, far)
+        state, far, hops = new, later, hops * 2
+    stuck = far.select("conv", F.col("x").alias("id"), F.lit(True).alias("s")).distinct()
+    out = state.join(stuck, ["conv", "id"], "left")
+    wait = F.when(F.col("s"), "cycle").when(F.col("d"), "dangling")
+    return out.select("conv", "id", F.when(F.col("s"), F.col("turn")).otherwise(F.greatest("turn", "up")).alias("at"), F.when(F.col("s"), 0).otherwise(F.col("level")).cast("int").alias("level"), wait.alias("wait"))
 
 
 def _json(pairs: dict) -> F.Column:
@@ -179,12 +187,14 @@ def _value(name: F.Column) -> F.Column:
 
 
 def _placed(lines: DataFrame) -> DataFrame:
-    """Add place: blocks of 256 turns are counted, so that no task needs a whole conversation."""
-    cut = lines.withColumn("_block", F.floor(F.col("turn") / 256))
-    before = Window.partitionBy("conv").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    first = cut.groupBy("conv", "_block").count().withColumn("_first", F.coalesce(F.sum("count").over(before), F.lit(0)))
-    inside = Window.partitionBy("conv", "_block").orderBy("turn", "level", "step", "nth", "role", "text")
-    out = cut.withColumn("_in", F.row_number().over(inside) - 1).join(first.drop("count"), ["conv", "_block"])
+    """Add place: blocks of 256 turns are counted, and of rows without a turn 256 by their level, step and text, so that no task needs a whole conversation."""
+    cut = lines.withColumn("_block", F.floor(F.col("turn") / 256)).withColumn("_late", F.when(F.col("turn") == LAST, F.conv(F.substring(F.md5("text"), 1, 2), 16, 10).cast("int")).otherwise(-1))
+    key = ["turn", "level", "step", "nth", "role", "text"]
+    # rows without a turn stand in the order of their text's digest
+    before = Window.partitionBy("conv").orderBy("_block", "_late").rowsBetween(Window.unboundedPreceding, -1)
+    first = cut.groupBy("conv", "_block", "_late").count().withColumn("_first", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    inside = Window.partitionBy("conv", "_block", "_late").orderBy(*key)
+    out = cut.withColumn("_in", F.row_number().over(inside) - 1).join(first.drop("count"), ["conv", "_block", "_late"])
     return out.select("conv_id", (F.col("_first") + F.col("_in")).cast("long").alias("place"), F.nullif("turn", F.lit(LAST)).alias("turn"), "kind", "call_id", "status", "linked", "line")
 
 
@@ -192,5 +202,20 @@ def tool_schemas(spark) -> DataFrame:
     return spark.createDataFrame(TOOLS, SCHEMA_TYPE)
 
 
+def with_tools(messages: DataFrame) -> DataFrame:
+    """``messages`` and, after every message of an assistant, a call that asks about its whole text and, but for every tenth turn, its result; every fourth call needs the one two turns before."""
+    m = messages.select("conv_id", "turn", "role", "text")
+    said = m.where("role = 'assistant' AND turn IS NOT NULL")
+    ref = F.when(F.col("turn") % 4 == 3, F.concat(F.lit("$ref:c"), (F.col("turn") - 2).cast("string"), F.lit(" "))).otherwise("")
+    ident = F.concat(F.lit("c"), F.col("turn").cast("string"))
+    arguments = F.struct(F.concat(ref, F.coalesce("text", F.lit(""))).alias("query"), F.length(F.coalesce("text", F.lit(""))).alias("limit"))
+    body = F.to_json(F.struct(F.array(F.struct(ident.alias("id"), F.lit("search").alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
+    calls = said.select("conv_id", "turn", "role", body.alias("text"))
+    answer = F.to_json(F.struct(ident.alias("tool_call_id"), F.sha1(F.coalesce("text", F.lit(""))).alias("content")))
+    results = said.where("turn % 10 <> 9").select("conv_id", "turn", F.lit("tool").alias("role"), answer.alias("text"))
+    return m.unionByName(calls).unionByName(results)
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
-    return format_chats(table(spark, sf_dir, "conversations"), tool_schemas(spark))
+    """All conversations, with calls and results derived from them, as the table itself has none."""
+    return format_chats(with_tools(table(spark, sf_dir, "conversations")), tool_schemas(spark))

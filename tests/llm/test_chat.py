@@ -76,3 +76,109 @@ def test_arguments_keep_their_types(spark):
     assert {i: r["status"] for i, r in got.items()} == {"g": "ok", "o": "type:days", "n": "type:place", "x": "unknown_tool"}
     for r in got.values():
         assert r["line"] == json.dumps(json.loads(r["line"]), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def plain_version(rows, schemas=chat.TOOLS):
+    """Statuses, links and order of calls and results, by hand: (conv, kind, id) -> (status, linked)."""
+    import re
+
+    wanted = {}
+    for tool, argument, kind, required in schemas:
+        wanted.setdefault(tool, []).append((argument, kind, required))
+    parts = []
+    for conv, turn, role, text in rows:
+        try:
+            body = json.loads(text) if text and text.startswith("{") else None
+        except ValueError:
+            body = None
+        if role == "assistant" and isinstance(body, dict) and body.get("tool_calls"):
+            parts += [(conv, turn, role, text, i, "call", c) for i, c in enumerate(body["tool_calls"])]
+        elif role == "tool" and isinstance(body, dict) and "tool_call_id" in body:
+            parts.append((conv, turn, role, text, 0, "result", body))
+    parts.sort(key=lambda p: (p[0], p[1], p[2], p[3], p[4]))
+    first, answers, out = {}, {}, []
+    for p in parts:
+        if p[5] == "call":
+            first.setdefault((p[0], p[6]["id"]), p)
+        else:
+            answers.setdefault((p[0], p[6]["tool_call_id"]), p)
+
+    def needs(p):
+        return list(dict.fromkeys(x for v in p[6]["arguments"].values() if isinstance(v, str) for x in re.findall(r"\$ref:([A-Za-z0-9_.-]+)", v)))
+
+    def wait(key, path=()):
+        if key in path:
+            return "cycle"
+        own = [(key[0], n) for n in needs(first[key])]
+        if any(n not in first for n in own):
+            return "dangling" if not path else None
+        return "cycle" if any(wait(n, (*path, key)) == "cycle" for n in own) else None
+
+    kinds = {"string": str, "integer": int}
+    for p in parts:
+        conv, body = p[0], p[6]
+        if p[5] == "result":
+            key = (conv, body["tool_call_id"])
+            out.append((conv, "result", key[1], "orphan" if key not in first else "ok" if answers[key] is p else "repeated"))
+            continue
+        key, args = (conv, body["id"]), body["arguments"]
+        spec = wanted.get(body["name"])
+        status = "ok"
+        if first[key] is not p:
+            status = "duplicate_id"
+        elif wait(key):
+            status = wait(key)
+        elif spec is None:
+            status = "unknown_tool"
+        else:
+            spec = sorted(spec)
+            missing = [a for a, _, r in spec if r and a not in args]
+            bad = [a for a, k, _ in spec if a in args and (not isinstance(args[a], kinds[k]) or isinstance(args[a], bool))]
+            extra = sorted(set(args) - {a for a, _, _ in spec})
+            status = f"missing:{missing[0]}" if missing else f"type:{bad[0]}" if bad else f"extra:{extra[0]}" if extra else "ok"
+        out.append((conv, "call", key[1], status))
+    return sorted(out)
+
+
+def test_equals_a_plain_version(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for conv in range(25):
+        for turn in range(12):
+            if rng.random() < 0.6:
+                calls = []
+                for _ in range(rng.randint(1, 3)):
+                    ref = f"$ref:k{rng.randint(0, 9)}" if rng.random() < 0.4 else "x"
+                    args = rng.choice([{"query": ref}, {"query": ref, "limit": rng.choice([3, "3", True])}, {}, {"query": 5}, {"url": ref, "z": 1}, {"place": ref, "days": 2}])
+                    calls.append((f"k{rng.randint(0, 7)}", rng.choice(["search", "fetch", "weather", "none"]), args))
+                rows.append((conv, turn, "assistant", call(*calls)))
+            rows.append((conv, turn, "tool", result(f"k{rng.randint(0, 9)}", str(turn))))
+    got = run(spark, rows)
+    assert sorted((r["conv_id"], r["kind"], r["call_id"], r["status"]) for r in got) == plain_version(rows)
+    for conv in range(25):
+        own = [r for r in got if r["conv_id"] == conv]
+        assert [r["place"] for r in own] == list(range(len(own)))
+        at = {}
+        for r in own:
+            if r["kind"] == "call" and r["status"] not in ("duplicate_id", "cycle"):
+                at[r["call_id"]] = r["place"]
+            if r["kind"] == "result" and r["status"] == "ok" and r["call_id"] in at:
+                assert r["place"] > at[r["call_id"]]
+
+
+def test_query_links_derived_calls(spark, tmp_path):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {c} {t}") for c in range(3) for t in range(12)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = chat.op8(spark, str(tmp_path)).orderBy("conv_id", "place").collect()
+    assert len(got) == 3 * (12 + 6 + 5) and {r["status"] for r in got} == {"ok"}
+    assert sorted({r["call_id"] for r in got if r["linked"] is False}) == ["c9"]
+    lines = [json.loads(r["line"]) for r in got if r["kind"] == "call" and r["conv_id"] == 1]
+    assert [x["arguments"]["query"].split(" ")[0] for x in lines] == ["text", "$ref:c1", "text", "$ref:c5", "text", "$ref:c9"]
+
+
+def test_very_long_texts(spark):
+    text = "word " * 400_000
+    got = run(spark, [(1, 0, "user", text), (1, 1, "assistant", call(("a", "search", {"query": text})))])
+    assert json.loads(got[0]["line"])["content"] == text and json.loads(got[1]["line"])["arguments"]["query"] == text
