@@ -176,11 +176,11 @@ def in_bits(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 # connected components
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of ``edges`` (a, b): the least node reachable. Label passing with pointer jumps; every round is written."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``edges`` (a, b): the least node reachable. Label passing with pointer jumps; every round is written, and a round that moves no label, which only ever fall, is the last."""
     both = spill(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
     labels = spill(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("n")).agg(F.min("component").alias("m"))
         step = labels.join(near, F.col("node") == F.col("n"), "left").select("node", "component", F.least("component", "m").alias("c"))
         up = labels.select(F.col("node").alias("u"), F.col("component").alias("top"))
@@ -190,8 +190,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         labels = new
         if not labels.where("moved").limit(1).count():
             break
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     drop_scratch(both)
     out = labels.select("node", "component")
     out._scratch = labels._scratch

@@ -1,31 +1,36 @@
-"""N-gram Jaccard join by a prefix tree over globally ordered shingle sets.
+"""N-gram Jaccard join by the levels of a prefix tree over globally ordered shingle sets.
 
 A document's set has its distinct 5-word shingles; equal sets are one class. The
 global order of shingles puts rare ones first: by a count sketch over all
-documents (a table of 2**SKETCH_BITS counts, of fixed size), then by hash. Sets in
-that order form a trie; two sets of Jaccard similarity 0.8 must meet in a node of
-the first n - ceil(0.8 n) + 1 levels of one of their paths. The trie is never
-built in one place: its upper nodes are dealt by shingle, so that a task has, for
-each shingle, the sets whose upper path holds it, ordered by length. Subtrees are
-pruned by the bound on remaining length: a set can only match sets of at most 1.25
-times its size, and at least as many levels must remain as the overlap needs.
+documents (a table of 2**SKETCH_BITS counts, of fixed size), then by hash. A set in
+that order is a path; two sets of Jaccard similarity 0.8 have their first common
+shingle in the first n - ceil(0.8 n) + 1 levels of both. The tree isn't linked in
+memory: its upper levels are dealt by shingle, a row for each set and level, and
+those that two different sets reach are kept. Where a pair's first common shingle is
+at levels p and q, its overlap is at most 1 + min(n - p - 1, m - q - 1): what remains
+of the shorter path. Pairs below the overlap that they need are pruned before
+any set is looked at, and so are pairs whose sizes differ too much: the node of a shingle
+is parted by size, a set being in its own part and in the next.
 
 Sets that meet are compared in two rounds, each exact on whole sets:
-1. every set with the ``LEADERS`` of its node (those least by a hash of their
-   names): stars, not all pairs; links give components;
-2. sets of one node that lead neither and are still in different components. A
-   pair that shares a component needs no comparing, so a group of thousands of
-   copies costs a few stars.
+1. every set with the ``LEADERS`` of its part of the node (those least by a hash of
+   their names), which are found by partial ranks and joined in salted pieces, so that
+   no task holds a node; links give components;
+2. sets of one part that are still in different components. The largest component of
+   a part and the rest are cut into blocks of about ``TILE`` sets; a task compares the
+   sets of two blocks, never two of the largest component. A pair that shares a
+   component needs no comparing, so a group of thousands of copies costs a few stars.
 Nothing is capped: what the first round leaves apart, the second compares. Before
 whole sets are sent, bit digests (a quarter byte a shingle; four bytes in the second
-round, inside the node) bound a pair's overlap from above, and pairs that can't
+round, inside the block) bound a pair's overlap from above, and pairs that can't
 reach the threshold go.
 
 Defined results: null, empty and wordless texts have no shingles, link with
 nothing and are components of their own; texts of under five words are one
-shingle; rows of one text are linked; a null doc_id is never a component's id
-unless the component has no other; repeated doc_ids are separate documents; extra
-columns are ignored. Shingles and sets are told by 64-bit hashes.
+shingle; rows of one text are linked; very long texts are read whole; a similarity of
+just the threshold links; a null doc_id is never a component's id unless the component
+has no other; repeated doc_ids are separate documents; extra columns are ignored; an
+empty table gives no rows. Shingles and sets are told by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -36,16 +41,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import BYTE_LOWER, SPACE, chunks, components, drop_scratch, free_shuffles, hash_bits, in_bits, mix, ordered_documents, partitions, prefix_hash, span_hash, spill, table, words
+from starmill.llm.common import BYTE_LOWER, SPACE, chunks, components, drop_scratch, free_shuffles, hash_bits, in_bits, mix, ordered_documents, partitions, prefix_hash, sorted_groups, span_hash, spill, table, words
 
 N = 5
 PERCENT = 80
 SKETCH_BITS = 24
 BLOCK_BITS = 14
 LEADERS = 6
+SMALLEST = 4
+"""Sets of fewer shingles can reach the threshold with an equal set alone."""
+SALTS = 16
+"""Pieces in which a node's sets are joined with its leaders."""
+TILE = 1024
+"""Sets in a block that are compared with those of another."""
 WIDE = 32
 """Bits of a digest for each shingle, where sets that stayed apart are compared."""
 _U = np.uint64
@@ -162,7 +173,7 @@ def _upper_nodes(levels):
                 sid = set_ids(cuts, sh)
                 size = np.diff(cuts)
                 fresh = np.zeros(len(sid), bool)
-                for i in np.flatnonzero(size):
+                for i in np.flatnonzero(size >= SMALLEST):
                     if sid[i] not in seen:
                         seen.add(sid[i])
                         fresh[i] = True
@@ -173,67 +184,73 @@ def _upper_nodes(levels):
                 order = np.lexsort((tok, rank, row))
                 row, tok = row[order], tok[order]
                 first = np.searchsorted(row, np.arange(len(size)))
-                upper = np.arange(len(row)) - first[row] < prefix_length(size)[row]
-                row, tok = row[upper], tok[upper]
-                yield pa.RecordBatch.from_arrays([pa.array(tok.view(np.int64)), pa.array(sid[row]), pa.array(size[row].astype(np.int32))], names=["tok", "sid", "n"])
+                at = np.arange(len(row)) - first[row]
+                upper = at < prefix_length(size)[row]
+                row, tok, at = row[upper], tok[upper], at[upper]
+                yield pa.RecordBatch.from_arrays([pa.array(tok.view(np.int64)), pa.array(sid[row]), pa.array(size[row].astype(np.int32)), pa.array(at.astype(np.int32))], names=["tok", "sid", "n", "level"])
 
     return run
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    """Columns of batches sorted by their first column, cut so that no value of it is split."""
-    held = None
-    for batch in batches:
-        got = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
-        if held is not None:
-            got = {n: np.concatenate([held[n], got[n]]) for n in names}
-        key = got[names[0]]
-        if not len(key):
-            continue
-        cut = int(np.searchsorted(key, key[-1], "left")) if key[0] != key[-1] else 0
-        held = {n: got[n][cut:] for n in names}
-        if cut:
-            yield {n: got[n][:cut] for n in names}
-    if held is not None and len(held[names[0]]):
-        yield held
-
-
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Only nodes where two different sets meet; each set once in a node."""
-    for g in _whole_groups(batches, ["tok", "n", "sid"]):
+    for g, whole in sorted_groups(batches, ["tok", "sid", "n", "level"], SLICE):
         new = np.ones(len(g["tok"]), bool)
         new[1:] = (g["tok"][1:] != g["tok"][:-1]) | (g["sid"][1:] != g["sid"][:-1])
-        tok, n, sid = (g[c][new] for c in ("tok", "n", "sid"))
-        start = np.ones(len(tok), bool)
-        start[1:] = tok[1:] != tok[:-1]
-        run = np.cumsum(start) - 1
-        many = np.bincount(run)[run] > 1
-        yield pa.RecordBatch.from_arrays([pa.array(tok[many]), pa.array(sid[many]), pa.array(n[many])], names=["tok", "sid", "n"])
-
-
-def _ranked(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(order, rank) of the sets in their nodes, by a hash of their names."""
-    order = np.lexsort((mix(g["sid"].view(np.uint64)), g["tok"]))
-    tok = g["tok"][order]
-    start = np.ones(len(tok), bool)
-    start[1:] = tok[1:] != tok[:-1]
-    return order, np.arange(len(tok)) - np.flatnonzero(start)[np.cumsum(start) - 1]
-
-
-def _fit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a * PERCENT <= b * 100) & (b * PERCENT <= a * 100)
-
-
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each set with the leaders of its node whose size allows a match."""
-    for g in _whole_groups(batches, ["tok", "n", "sid"]):
-        order, rank = _ranked(g)
-        n, sid = g["n"][order].astype(np.int64), g["sid"][order]
-        for r in range(LEADERS):
-            members = np.flatnonzero(rank > r)
-            leader = members - rank[members] + r
-            ok = _fit(n[members], n[leader])
-            yield _edges(sid[leader[ok]], sid[members[ok]])
+        g = {c: x[new] for c, x in g.items()}
+        if whole:
+            start = np.ones(len(g["tok"]), bool)
+            start[1:] = g["tok"][1:] != g["tok"][:-1]
+            run = np.cumsum(start) - 1
+            many = np.bincount(run)[run] > 1
+            g = {c: x[many] for c, x in g.items()}
+        yield pa.RecordBatch.from_arrays([pa.array(g[c]) for c in ("tok", "sid", "n", "level")], names=["tok", "sid", "n", "level"])
+
+
+SLICE = 1 << 17
+"""Rows of one node that are held at a time."""
+
+
+def _parted(met: DataFrame) -> DataFrame:
+    """A node's sets by size: each in its own part (``own``), and in that of sets up to 1.25 times as large."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
+    parts = F.array(F.struct(band.alias("band"), F.lit(True).alias("own")), F.struct((band + 1).alias("band"), F.lit(False).alias("own")))
+    return met.select("*", F.explode(parts).alias("x")).select("tok", "x.band", "x.own", "sid", "n", "level")
+
+
+def _may_pair(x: str, y: str) -> F.Column:
+    """Sizes and levels of two sets of a part allow a match whose first common shingle is the node's."""
+    c = lambda t, n: F.col(f"{t}.{n}").cast("long")
+    sizes = (c(x, "n") * PERCENT <= c(y, "n") * 100) & (c(y, "n") * PERCENT <= c(x, "n") * 100)
+    rest = 1 + F.least(c(x, "n") - c(x, "level") - 1, c(y, "n") - c(y, "level") - 1)
+    return sizes & ((100 + PERCENT) * rest >= PERCENT * (c(x, "n") + c(y, "n"))) & (F.col(f"{x}.own") | F.col(f"{y}.own"))
+
+
+def _stars(parted: DataFrame) -> DataFrame:
+    """Each set with the leaders of its part of the node, where a match is possible: (a, b), once each."""
+    rank = F.row_number().over(Window.partitionBy("tok", "band").orderBy(F.xxhash64("sid"), "sid"))
+    lead = parted.withColumn("r", rank).where(F.col("r") <= LEADERS).drop("r")
+    lead = lead.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    each = parted.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int"))
+    met = each.alias("x").join(lead.alias("y"), ["tok", "band", "salt"]).where((F.col("x.sid") != F.col("y.sid")) & _may_pair("x", "y"))
+    return met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
+
+
+def _tiles(labelled: DataFrame) -> DataFrame:
+    """The sets of parts that several components share, a row for each pair of blocks that a set belongs to: (tile, mine, sid, n, level, own, comp)."""
+    one = labelled.groupBy("tok", "band", "comp").agg(F.count("*").alias("c"))
+    node = one.groupBy("tok", "band").agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
+    node = node.where((F.col("comps") > 1) & (F.col("all") > LEADERS)).select("tok", "band", F.col("top.comp").alias("top"), F.ceil(F.col("top.c") / TILE).cast("int").alias("large"), F.ceil((F.col("all") - F.col("top.c")) / TILE).cast("int").alias("small"))
+    node = node.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    d = labelled.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int")).join(node, ["tok", "band", "salt"])
+    block = F.pmod(F.xxhash64("sid", F.lit(1)), F.when(F.col("comp") == F.col("top"), F.col("large")).otherwise(F.col("small"))).cast("int")
+    d = d.withColumn("mine", F.when(F.col("comp") == F.col("top"), -1 - block).otherwise(block))
+    to_small = F.sequence(F.lit(0), F.col("small") - 1)
+    to_large = F.transform(F.sequence(F.lit(1), F.col("large")), lambda k: -k)
+    other = F.when(F.col("mine") < 0, to_small).otherwise(F.concat(to_large, to_small))
+    d = d.withColumn("other", F.explode(other))
+    tile = F.xxhash64("tok", "band", F.least("mine", "other"), F.greatest("mine", "other"))
+    return d.select(tile.alias("tile"), "mine", "sid", "n", "level", "own", "comp")
 
 
 def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -250,17 +267,14 @@ def _folded(digest: np.ndarray, words: int) -> np.ndarray:
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a node whose sets lead neither, are in different components, and may match by size and digest."""
-    for g in _whole_groups(batches, ["tok", "comp", "n", "sid", "digest"]):
-        order, rank = _ranked(g)
-        rest = order[rank >= LEADERS]
-        if not len(rest):
-            continue
-        rest = rest[np.lexsort((g["n"][rest], g["tok"][rest]))]
-        tok, comp, n, sid, digest = (g[c][rest] for c in ("tok", "comp", "n", "sid", "digest"))
-        n = n.astype(np.int64)
-        heads = np.append(np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])), len(tok))
+    """Pairs of two blocks (of one, if a tile has no other) whose sets are in different components, and may match by size, level and digest."""
+    for g, _ in sorted_groups(batches, ["tile", "mine", "comp", "n", "level", "own", "sid", "digest"], 1 << 62):
+        order = np.lexsort((g["n"], g["tile"]))
+        tile, mine, comp, n, level, own, sid, digest = (g[c][order] for c in ("tile", "mine", "comp", "n", "level", "own", "sid", "digest"))
+        n, level = n.astype(np.int64), level.astype(np.int64)
+        heads = np.append(np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])), len(tile))
         mixed = np.minimum.reduceat(comp, heads[:-1]) != np.maximum.reduceat(comp, heads[:-1])
+        alone = np.minimum.reduceat(mine, heads[:-1]) == np.maximum.reduceat(mine, heads[:-1])
         for k in np.flatnonzero(mixed):
             x, y = heads[k], heads[k + 1]
             # by size: a set's possible partners are the next ones, up to 1.25 times as large
@@ -271,13 +285,16 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 who, bits = rows[int(width[i - x])]
                 lo, hi = np.searchsorted(who, i + 1), np.searchsorted(who, upto[i - x])
                 who, bits = who[lo:hi], bits[lo:hi]
-                other = comp[who] != comp[i]
+                rest = 1 + np.minimum(n[i] - level[i] - 1, n[who] - level[who] - 1)
+                other = (comp[who] != comp[i]) & (own[who] | own[i]) & ((100 + PERCENT) * rest >= PERCENT * (n[i] + n[who]))
+                if not alone[k]:
+                    other &= mine[who] != mine[i]
                 if not other.any():
                     continue
                 who, bits = who[other], bits[other]
-                own = np.frombuffer(digest[i], np.uint64)
-                a = n[i] - np.bitwise_count(own & ~bits).sum(axis=1, dtype=np.int64)
-                b = n[who] - np.bitwise_count(bits & ~own).sum(axis=1, dtype=np.int64)
+                bit = np.frombuffer(digest[i], np.uint64)
+                a = n[i] - np.bitwise_count(bit & ~bits).sum(axis=1, dtype=np.int64)
+                b = n[who] - np.bitwise_count(bits & ~bit).sum(axis=1, dtype=np.int64)
                 near = (100 + PERCENT) * np.minimum(a, b) >= PERCENT * (n[i] + n[who])
                 if near.any():
                     yield _edges(np.full(int(near.sum()), sid[i]), sid[who[near]])
@@ -351,23 +368,20 @@ def classes(slim: DataFrame) -> DataFrame:
     profile = spill(slim.select("_ord", "doc_id", "text").mapInArrow(_profile, f"at long, doc_id {id_type}, n long, sid long, digest binary, block int, counts binary"), "profile")
     marks = profile.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("digest").alias("digest"))
     levels = spark.sparkContext.broadcast(sketch(profile))
-    upper = texts.mapInArrow(_upper_nodes(levels), "tok long, sid long, n int")
-    dealt = upper.repartition(partitions(spark), "tok").sortWithinPartitions("tok", "n", "sid")
-    met = spill(dealt.mapInArrow(_met, "tok long, sid long, n int"), "met")
+    upper = texts.mapInArrow(_upper_nodes(levels), "tok long, sid long, n int, level int")
+    dealt = upper.repartition(partitions(spark), "tok").sortWithinPartitions("tok", "sid")
+    met = spill(dealt.mapInArrow(_met, "tok long, sid long, n int, level int"), "met")
     free_shuffles(spark)
-    again = met.repartition(partitions(spark), "tok")
-    stars = spill(again.sortWithinPartitions("tok", "n", "sid").mapInArrow(_stars, "a long, b long").distinct(), "stars")
+    stars = spill(_stars(_parted(met)), "stars")
     links = _verified(texts, marks, stars)
     comp = components(links)
     free_shuffles(spark)
-    labelled = spill(met.join(comp.select(F.col("node"), F.col("component")), F.col("sid") == F.col("node"), "left").select("tok", F.coalesce("component", "sid").alias("comp"), "n", "sid"), "labelled")
-    # nodes with more than leaders, not all in one component
-    open_ = labelled.groupBy("tok").agg(F.count("*").alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y")).where((F.col("c") > LEADERS) & (F.col("x") < F.col("y")))
-    left = spill(labelled.join(open_.select("tok"), "tok", "left_semi"), "open")
+    labelled = _parted(met).join(comp.select("node", "component"), F.col("sid") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "sid"))
+    left = spill(_tiles(labelled.select("tok", "band", "own", "sid", "n", "level", "comp")), "open")
     count, more = left.count(), links.limit(0)
     if count:
         wide = _fetched(texts, left.select("sid"), count, WIDE).withColumnRenamed("members", "digest")
-        dealt = left.join(wide, "sid").select("tok", "comp", "n", "sid", "digest").repartition(partitions(spark), "tok").sortWithinPartitions("tok")
+        dealt = left.join(wide, "sid").select("tile", "mine", "comp", "n", "level", "own", "sid", "digest").repartition(partitions(spark), "tile").sortWithinPartitions("tile")
         rest = spill(dealt.mapInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "apart")
         more = _verified(texts, marks, rest)
         drop_scratch(rest)
@@ -375,7 +389,7 @@ def classes(slim: DataFrame) -> DataFrame:
         comp = components(links.union(more))
     out = profile.where("block IS NULL").join(comp, F.col("sid") == F.col("node"), "left")
     out = spill(out.select(F.col("at").alias("_ord"), "doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("comp")), "classes")
-    drop_scratch(profile, met, stars, labelled, left, links, more)
+    drop_scratch(profile, met, stars, left, links, more)
     free_shuffles(spark)
     return out
 
