@@ -6,6 +6,7 @@ folder that driver and executors share; nothing relies on machine-local files.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -59,6 +60,18 @@ def open_folder(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, most: int) -> Iterator[None]:
+    """Actions inside send tasks' Python at most so many rows at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner drop shuffle files of finished jobs."""
     import gc

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import BYTE_LOWER, SPACE, chunks, components, drop_scratch, free_shuffles, hash_bits, in_bits, mix, ordered_documents, partitions, prefix_hash, sorted_groups, span_hash, spill, table, words
+from starmill.llm.common import BYTE_LOWER, SPACE, chunks, components, drop_scratch, free_shuffles, hash_bits, in_bits, mix, ordered_documents, partitions, prefix_hash, rows_per_batch, sorted_groups, span_hash, spill, table, words
 
 N = 5
 PERCENT = 80
@@ -193,29 +193,34 @@ def _upper_nodes(levels):
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Only nodes where two different sets meet; each set once in a node."""
+    """Parts of nodes where two different sets meet, each set once in a part: in that of its own size (``own``), and in that of sets up to 1.25 times as large. ``node`` tells the part; ``hot``, that it has over ``TILE`` sets."""
     for g, whole in sorted_groups(batches, ["tok", "sid", "n", "level"], SLICE):
         new = np.ones(len(g["tok"]), bool)
         new[1:] = (g["tok"][1:] != g["tok"][:-1]) | (g["sid"][1:] != g["sid"][:-1])
-        g = {c: x[new] for c, x in g.items()}
-        if whole:
-            start = np.ones(len(g["tok"]), bool)
-            start[1:] = g["tok"][1:] != g["tok"][:-1]
-            run = np.cumsum(start) - 1
-            many = np.bincount(run)[run] > 1
-            g = {c: x[many] for c, x in g.items()}
-        yield pa.RecordBatch.from_arrays([pa.array(g[c]) for c in ("tok", "sid", "n", "level")], names=["tok", "sid", "n", "level"])
+        tok, sid, n, level = (g[c][new] for c in ("tok", "sid", "n", "level"))
+        band = np.floor(np.log(n) / np.log(100 / PERCENT) + 1e-9).astype(np.uint64)
+        node = mix(np.concatenate([tok, tok]).view(np.uint64) + mix(np.concatenate([band, band + _U(1)]) + _U(7)))
+        own = np.repeat([True, False], len(tok))
+        order = np.argsort(node, kind="stable")
+        start = np.ones(len(order), bool)
+        start[1:] = node[order][1:] != node[order][:-1]
+        run = np.empty(len(order), np.int64)
+        run[order] = np.cumsum(start) - 1
+        size = np.bincount(run)
+        # of a node that comes in slices, nothing is known but that it is large
+        keep = (size > 1)[run] & (np.bincount(run, own) > 0)[run] if whole else np.ones(len(run), bool)
+        hot = (size > TILE)[run] | (not whole)
+        two = lambda x: np.concatenate([x, x])[keep]  # noqa: B023, E731
+        yield pa.RecordBatch.from_arrays([pa.array(node[keep].view(np.int64)), pa.array(own[keep]), pa.array(two(sid)), pa.array(two(n)), pa.array(two(level)), pa.array(hot[keep])], names=["node", "own", "sid", "n", "level", "hot"])
 
 
 SLICE = 1 << 17
 """Rows of one node that are held at a time."""
+PARTED = "node long, own boolean, sid long, n int, level int, hot boolean"
 
 
-def _parted(met: DataFrame) -> DataFrame:
-    """A node's sets by size: each in its own part (``own``), and in that of sets up to 1.25 times as large."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
-    parts = F.array(F.struct(band.alias("band"), F.lit(True).alias("own")), F.struct((band + 1).alias("band"), F.lit(False).alias("own")))
-    return met.select("*", F.explode(parts).alias("x")).select("tok", "x.band", "x.own", "sid", "n", "level")
+def _salts(column: str = "hot") -> F.Column:
+    return F.when(F.col(column), SALTS).otherwise(1)
 
 
 def _may_pair(x: str, y: str) -> F.Column:
@@ -228,28 +233,27 @@ def _may_pair(x: str, y: str) -> F.Column:
 
 def _stars(parted: DataFrame) -> DataFrame:
     """Each set with the leaders of its part of the node, where a match is possible: (a, b), once each."""
-    rank = F.row_number().over(Window.partitionBy("tok", "band").orderBy(F.xxhash64("sid"), "sid"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("sid"), "sid"))
     lead = parted.withColumn("r", rank).where(F.col("r") <= LEADERS).drop("r")
-    lead = lead.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    each = parted.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int"))
-    met = each.alias("x").join(lead.alias("y"), ["tok", "band", "salt"]).where((F.col("x.sid") != F.col("y.sid")) & _may_pair("x", "y"))
+    lead = lead.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts() - 1)))
+    each = parted.withColumn("salt", F.pmod(F.xxhash64("sid"), _salts()).cast("int"))
+    met = each.alias("x").join(lead.alias("y"), ["node", "salt"]).where((F.col("x.sid") != F.col("y.sid")) & _may_pair("x", "y"))
     return met.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
 
 
 def _tiles(labelled: DataFrame) -> DataFrame:
     """The sets of parts that several components share, a row for each pair of blocks that a set belongs to: (tile, mine, sid, n, level, own, comp)."""
-    one = labelled.groupBy("tok", "band", "comp").agg(F.count("*").alias("c"))
-    node = one.groupBy("tok", "band").agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
-    node = node.where((F.col("comps") > 1) & (F.col("all") > LEADERS)).select("tok", "band", F.col("top.comp").alias("top"), F.ceil(F.col("top.c") / TILE).cast("int").alias("large"), F.ceil((F.col("all") - F.col("top.c")) / TILE).cast("int").alias("small"))
-    node = node.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    d = labelled.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int")).join(node, ["tok", "band", "salt"])
+    one = labelled.groupBy("node", "hot", "comp").agg(F.count("*").alias("c"), F.max("own").alias("own"))
+    node = one.groupBy("node", "hot").agg(F.sum("c").alias("all"), F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"), F.max("own").alias("own"))
+    # a part that no set has as its own is covered by the part before it
+    node = node.where((F.col("comps") > 1) & (F.col("all") > LEADERS) & F.col("own")).select("node", F.explode(F.sequence(F.lit(0), _salts() - 1)).alias("salt"), F.col("top.comp").alias("top"), F.ceil(F.col("top.c") / TILE).cast("int").alias("large"), F.ceil((F.col("all") - F.col("top.c")) / TILE).cast("int").alias("small"))
+    d = labelled.withColumn("salt", F.pmod(F.xxhash64("sid"), _salts()).cast("int")).join(node, ["node", "salt"])
     block = F.pmod(F.xxhash64("sid", F.lit(1)), F.when(F.col("comp") == F.col("top"), F.col("large")).otherwise(F.col("small"))).cast("int")
     d = d.withColumn("mine", F.when(F.col("comp") == F.col("top"), -1 - block).otherwise(block))
     to_small = F.sequence(F.lit(0), F.col("small") - 1)
     to_large = F.transform(F.sequence(F.lit(1), F.col("large")), lambda k: -k)
-    other = F.when(F.col("mine") < 0, to_small).otherwise(F.concat(to_large, to_small))
-    d = d.withColumn("other", F.explode(other))
-    tile = F.xxhash64("tok", "band", F.least("mine", "other"), F.greatest("mine", "other"))
+    d = d.withColumn("other", F.explode(F.when(F.col("mine") < 0, to_small).otherwise(F.concat(to_large, to_small))))
+    tile = F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))
     return d.select(tile.alias("tile"), "mine", "sid", "n", "level", "own", "comp")
 
 
@@ -370,26 +374,29 @@ def classes(slim: DataFrame) -> DataFrame:
     levels = spark.sparkContext.broadcast(sketch(profile))
     upper = texts.mapInArrow(_upper_nodes(levels), "tok long, sid long, n int, level int")
     dealt = upper.repartition(partitions(spark), "tok").sortWithinPartitions("tok", "sid")
-    met = spill(dealt.mapInArrow(_met, "tok long, sid long, n int, level int"), "met")
+    parted = spill(dealt.mapInArrow(_met, PARTED), "parted")
+    free_shuffles(spark)
+    stars = spill(_stars(parted), "stars")
     free_shuffles(spark)
-    stars = spill(_stars(_parted(met)), "stars")
     links = _verified(texts, marks, stars)
     comp = components(links)
     free_shuffles(spark)
-    labelled = _parted(met).join(comp.select("node", "component"), F.col("sid") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "sid"))
-    left = spill(_tiles(labelled.select("tok", "band", "own", "sid", "n", "level", "comp")), "open")
+    named = comp.select(F.col("node").alias("named"), "component")
+    labelled = parted.join(named, F.col("sid") == F.col("named"), "left").select("node", "hot", "own", "sid", "n", "level", F.coalesce("component", "sid").alias("comp"))
+    left = spill(_tiles(labelled), "open")
     count, more = left.count(), links.limit(0)
     if count:
         wide = _fetched(texts, left.select("sid"), count, WIDE).withColumnRenamed("members", "digest")
         dealt = left.join(wide, "sid").select("tile", "mine", "comp", "n", "level", "own", "sid", "digest").repartition(partitions(spark), "tile").sortWithinPartitions("tile")
-        rest = spill(dealt.mapInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "apart")
+        with rows_per_batch(spark, 1000):  # a digest has four bytes a word of its text
+            rest = spill(dealt.mapInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "apart")
         more = _verified(texts, marks, rest)
         drop_scratch(rest)
     if more.limit(1).count():
         comp = components(links.union(more))
     out = profile.where("block IS NULL").join(comp, F.col("sid") == F.col("node"), "left")
     out = spill(out.select(F.col("at").alias("_ord"), "doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("comp")), "classes")
-    drop_scratch(profile, met, stars, left, links, more)
+    drop_scratch(profile, parted, stars, left, links, more)
     free_shuffles(spark)
     return out
 
