@@ -203,12 +203,12 @@ def tool_schemas(spark) -> DataFrame:
 
 
 def with_tools(messages: DataFrame) -> DataFrame:
-    """``messages`` and, after every message of an assistant, a call that asks about its whole text and, but for every tenth turn, its result; every fourth call needs the one two turns before."""
+    """``messages`` and, after every message of an assistant, a call that asks for the digest of its whole text and, but for every tenth turn, its result; every fourth call needs the one two turns before."""
     m = messages.select("conv_id", "turn", "role", "text")
     said = m.where("role = 'assistant' AND turn IS NOT NULL")
     ref = F.when(F.col("turn") % 4 == 3, F.concat(F.lit("$ref:c"), (F.col("turn") - 2).cast("string"), F.lit(" "))).otherwise("")
     ident = F.concat(F.lit("c"), F.col("turn").cast("string"))
-    arguments = F.struct(F.concat(ref, F.coalesce("text", F.lit(""))).alias("query"), F.length(F.coalesce("text", F.lit(""))).alias("limit"))
+    arguments = F.struct(F.concat(ref, F.sha1(F.coalesce("text", F.lit("")))).alias("query"), F.length(F.coalesce("text", F.lit(""))).alias("limit"))
     body = F.to_json(F.struct(F.array(F.struct(ident.alias("id"), F.lit("search").alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
     calls = said.select("conv_id", "turn", "role", body.alias("text"))
     answer = F.to_json(F.struct(ident.alias("tool_call_id"), F.sha1(F.coalesce("text", F.lit(""))).alias("content")))

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from starmill.llm import chat
@@ -175,7 +176,8 @@ def test_query_links_derived_calls(spark, tmp_path):
     assert len(got) == 3 * (12 + 6 + 5) and {r["status"] for r in got} == {"ok"}
     assert sorted({r["call_id"] for r in got if r["linked"] is False}) == ["c9"]
     lines = [json.loads(r["line"]) for r in got if r["kind"] == "call" and r["conv_id"] == 1]
-    assert [x["arguments"]["query"].split(" ")[0] for x in lines] == ["text", "$ref:c1", "text", "$ref:c5", "text", "$ref:c9"]
+    sha = lambda t: hashlib.sha1(f"text 1 {t}".encode()).hexdigest()
+    assert [x["arguments"]["query"] for x in lines] == [("" if t % 4 == 1 else f"$ref:c{t - 2} ") + sha(t) for t in range(1, 12, 2)]
 
 
 def test_very_long_texts(spark):
