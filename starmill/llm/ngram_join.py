@@ -21,7 +21,7 @@ Sets that meet are compared in two rounds, each exact on whole sets:
    sets of two blocks, never two of the largest component. A pair that shares a
    component needs no comparing, so a group of thousands of copies costs a few stars.
 Nothing is capped: what the first round leaves apart, the second compares. Before
-whole sets are sent, bit digests (a quarter byte a shingle; four bytes in the second
+whole sets are sent, bit digests (a quarter byte a shingle; one in the second
 round, inside the block) bound a pair's overlap from above, and pairs that can't
 reach the threshold go.
 
@@ -57,7 +57,7 @@ SALTS = 16
 """Pieces in which a node's sets are joined with its leaders."""
 TILE = 1024
 """Sets in a block that are compared with those of another."""
-WIDE = 32
+WIDE = 8
 """Bits of a digest for each shingle, where sets that stayed apart are compared."""
 _U = np.uint64
 
@@ -388,7 +388,7 @@ def classes(slim: DataFrame) -> DataFrame:
     if count:
         wide = _fetched(texts, left.select("sid"), count, WIDE).withColumnRenamed("members", "digest")
         dealt = left.join(wide, "sid").select("tile", "mine", "comp", "n", "level", "own", "sid", "digest").repartition(partitions(spark), "tile").sortWithinPartitions("tile")
-        with rows_per_batch(spark, 1000):  # a digest has four bytes a word of its text
+        with rows_per_batch(spark, 1000):  # a digest has one or two bytes a word of its text
             rest = spill(dealt.mapInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "apart")
         more = _verified(texts, marks, rest)
         drop_scratch(rest)
