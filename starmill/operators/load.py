@@ -84,9 +84,9 @@ def project_fact(rows: DataFrame, columns: dict[str, str | None]) -> DataFrame:
 def new_facts(rows: DataFrame, keys: list[str], existing: DataFrame | None = None, order: str = ORDER) -> DataFrame:
     """Rows to append: the first of each conflict key that the table lacks. A null in a key conflicts with nothing."""
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    loose = F.when(~whole, F.col(order))  # each such row is a group of its own
+    loose = F.when(~whole, F.col(order))  # spreads such rows; all of them stay, even those of one order
     rank = F.row_number().over(Window.partitionBy(*keys, loose).orderBy(order))
-    first = rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    first = rows.withColumn("_rank", rank).where((F.col("_rank") == 1) | ~whole).drop("_rank")
     return first if existing is None else first.join(existing.select(*keys), keys, "left_anti").select(*rows.columns)
 
 

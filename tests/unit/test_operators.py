@@ -140,3 +140,8 @@ def test_set_operators(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "i long, s string")
     assert rows(L.minus(a, a.where("i = 2"))) == [(1, None), (1, None)]
     assert rows(L.members(a, spark.range(2, 3), "i", "id"), "i") == [(2,)]
+
+
+def test_new_facts_keep_every_null_key_of_one_order(spark):
+    d = spark.createDataFrame([(5, "p", None, "a"), (5, "p", None, "b"), (5, "p", 1, "c"), (6, "p", 1, "d")], "_ord long, k string, s long, v string")
+    assert [r[0] for r in rows(L.new_facts(d, ["k", "s"]), "v")] == ["a", "b", "c"]
