@@ -36,7 +36,9 @@ def resolve_header(cells: list[str], header_map: dict[str, str] | None = None) -
 
 
 def _first_cells(spark: SparkSession, path: str, sep: str, multiline: bool) -> list[str]:
-    row = spark.read.option("sep", sep).option("escape", '"').option("multiLine", multiline).csv(path).limit(1).collect()
+    df = spark.read.option("sep", sep).option("escape", '"').option("multiLine", multiline).csv(path)
+    # behind the cells are the columns that folders' names tell (k=v)
+    row = df.select([c for i, c in enumerate(df.columns) if c == f"_c{i}"]).limit(1).collect()
     return [c or "" for c in row[0]] if row else []
 
 

@@ -226,3 +226,12 @@ def test_live_crawl_follows_links_once():
 
     got = list(html.crawl_live(["http://h.example/"], 2, Client()))
     assert got == [("http://h.example/", 0, 200), ("http://h.example/a", 1, 200), ("http://h.example/b", 1, 404), ("http://h.example/c", 2, 404)]
+
+
+def test_csv_header_in_folders_with_numbers(spark, tmp_path):
+    for k in (1, 2):
+        (tmp_path / f"part={k}").mkdir()
+        put(tmp_path / f"part={k}", "a.csv", f'id,note\n{k},"a\nb"\n')
+    d = csv.read_csv(spark, f"file://{tmp_path}")
+    assert d.columns == ["id", "note", csv.CORRUPT]
+    assert sorted(tuple(r) for r in d.collect()) == [("1", "a\nb", None), ("2", "a\nb", None)]
