@@ -235,3 +235,12 @@ def test_csv_header_in_folders_with_numbers(spark, tmp_path):
     d = csv.read_csv(spark, f"file://{tmp_path}")
     assert d.columns == ["id", "note", csv.CORRUPT]
     assert sorted(tuple(r) for r in d.collect()) == [("1", "a\nb", None), ("2", "a\nb", None)]
+
+
+def test_page_lists_of_any_length(spark):
+    listings = spark.createDataFrame([("http://a.example/x", '<div class="r"><a href="/1/">n</a><i>60</i></div><div class="r"><a href="/2">n</a><i>2000000000</i></div>')], "url string, html string")
+    m = html.MappingFile([html.Mapping("href", "a", "attr", "href"), html.Mapping("count", "i")], ".r")
+    d = html.page_lists(listings, "url", "html", m)
+    # a list of all 80,000,003 URLs fits no batch
+    assert [tuple(r)[1:] for r in d.limit(5).collect()] == [(0, "http://a.example/1/"), (1, "http://a.example/1/2"), (2, "http://a.example/1/3"), (3, "http://a.example/2"), (4, "http://a.example/2/2")]
+    assert tuple(d.where("at = 5000").first())[1:] == (5000, "http://a.example/2/4998")
