@@ -701,10 +701,17 @@ def _event_stream(spark, sf_dir) -> DataFrame:
 
 
 def _drained(stream: DataFrame, spark, mode: str) -> DataFrame:
-    """What a stream has told when its input is at its end."""
-    name = f"s{uuid.uuid4().hex}"
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", folder(spark, "memory")).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    """What a stream has told when its input is at its end: every batch is written by the executors, in complete mode over the one before."""
+    path, batches = folder(spark, "drained"), set()
+
+    def put(rows: DataFrame, number: int) -> None:
+        at = f"{path}/{number if mode == 'append' else 'all'}"
+        rows.write.mode("overwrite").parquet(at)
+        batches.add(at)
+
+    with loader.states_on_disk(spark):
+        stream.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", folder(spark, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(*sorted(batches)) if batches else spark.createDataFrame([], stream.schema)
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS at, event_type, count(*) AS n FROM events GROUP BY 1, 2")

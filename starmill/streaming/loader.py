@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,24 @@ from starmill.plans import engine
 from starmill.plans.stores import TableStore
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextlib.contextmanager
+def states_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB instead of the executors' heap; a provider that is set stays."""
+    had = spark.conf.get(_PROVIDER, None)
+    if had is None or had.endswith(".HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if had is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, had)
+
+
 def load_stream(stream: DataFrame, p: cfg.Pipeline, store: TableStore, checkpoint: str, told: Callable[[int, engine.RunStats], None] | None = None) -> StreamingQuery:
     """Run the pipeline on each micro-batch of raw text rows, until what is there has been read. A batch that runs again changes nothing: each fact takes it once, by its name, and dimensions append only new keys."""
     # a batch's number means something together with its checkpoint alone

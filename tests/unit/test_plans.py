@@ -295,3 +295,8 @@ def test_links_of_pages_that_share_a_url(spark, tmp_path):
 def test_records_keep_what_the_sql_does_not_decode(spark, tmp_path):
     page = "<html><head><title>a &quot;b&quot; &lt;c&gt; &amp;lt; &amp;&amp</title></head><nav><a href=\"/x\">x</a></nav><article><h1>d &#64; &middot; &am</h1></article></html>"
     _pages_equal_sql(spark, tmp_path, "html_records", [(1, "http://a.example/x", page)])
+
+
+def test_what_a_stream_tells_is_not_held_by_the_driver(spark):
+    got = catalog.QUERIES["stream_session_counts"](spark, SF)
+    assert got.inputFiles() and got.count()
