@@ -414,7 +414,10 @@ def store_sqlite_round_trip(spark, sf_dir):
 @query(_ORDERS)
 def store_jdbc_round_trip(spark, sf_dir):
     """A database's table over JDBC: created from the document, appended in batches, replaced, read back."""
-    s = stores.open_store(spark, "derby", f"jdbc:derby:memory:s{uuid.uuid4().hex};create=true")
+    import os
+    import tempfile
+
+    s = stores.open_store(spark, "derby", f"jdbc:derby:{os.path.join(tempfile.mkdtemp(), 'orders')};create=true")
     tab, rows = _table("orders", **_ORDER_TABLE), _order_rows(spark, sf_dir)
     s.append(tab, rows.where("id % 3 = 0"))
     s.replace(tab, s.read(tab).where("even").unionByName(rows.where("NOT even AND id % 3 = 0")))

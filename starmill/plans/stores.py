@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import json
+import re
+import shutil
 import sqlite3
 import tempfile
 import time
@@ -199,14 +201,17 @@ class JdbcStore:
 
     A merge is two writes, closed versions first: a database's own transaction can't
     span Spark's writers. A batch's name is in a table of its own, so that a whole
-    batch that runs again is left out.
+    batch that runs again is left out. A database that lives inside a process is the
+    driver's alone: its rows pass through the driver, by files or ``AT_ONCE`` at a time.
     """
 
     BATCHES = "loaded_batches"
+    AT_ONCE = 50_000
 
     def __init__(self, spark: SparkSession, dsn: str, dialect: str = "postgres", batch: int = 2000, **properties: str):
         url, own = jdbc_url(dsn)
         self.spark, self.url, self.dialect, self.properties = spark, url, dialect, {"batchsize": str(batch), **own, **properties}
+        self.embedded = bool(re.match(r"jdbc:derby:(?!//)", url))
 
     @contextlib.contextmanager
     def _connection(self):
@@ -249,10 +254,66 @@ class JdbcStore:
             self.execute(ddl.create(table, self.dialect, history))
 
     def _read(self, name: str) -> DataFrame | None:
-        return self.spark.read.jdbc(self.url, quote(name, self.dialect), properties=self.properties) if self.exists(name) else None
+        if not self.exists(name):
+            return None
+        df = self.spark.read.jdbc(self.url, quote(name, self.dialect), properties=self.properties)
+        return self._through_driver(name, df) if self.embedded else df
 
     def _write(self, name: str, df: DataFrame) -> None:
-        df.write.jdbc(self.url, quote(name, self.dialect), "append", self.properties)
+        if self.embedded:
+            self._insert(name, df)
+        else:
+            df.write.jdbc(self.url, quote(name, self.dialect), "append", self.properties)
+
+    def _through_driver(self, name: str, df: DataFrame) -> DataFrame:
+        """The rows of a table, of the schema of ``df``, written to the shared folder by way of the driver."""
+        jvm = self.spark._jvm
+        dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url)
+        names = ", ".join(quote(c, self.dialect) for c in df.columns)
+        schema = df._jdf.schema()
+
+        def put(rows) -> DataFrame:
+            return DataFrame(self.spark._jsparkSession.createDataFrame(rows, schema), self.spark)
+
+        path = f"{shared_dir(self.spark)}/written-{uuid.uuid4().hex}"
+        if (held := _open.get()) is not None:
+            held.append(path)
+        put(jvm.java.util.ArrayList()).write.parquet(path)
+        with self._connection() as c:
+            s = c.createStatement()
+            found = s.executeQuery(f"SELECT {names} FROM {quote(name, self.dialect)}")
+            parts = jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.resultSetToRows(found, schema, dialect).grouped(self.AT_ONCE)
+            while parts.hasNext():
+                put(jvm.scala.jdk.javaapi.CollectionConverters.asJava(parts.next())).write.mode("append").parquet(path)
+            s.close()
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _insert(self, name: str, df: DataFrame) -> None:
+        """Executors write the rows as CSV to the shared folder; the driver fetches a file at a time, and Derby imports it."""
+
+        def cell(n: str, kind: str) -> F.Column:
+            c = F.hex(n) if kind == "binary" else F.col(n).cast("string")
+            # a text has quotes; a null is nothing at all
+            return F.coalesce(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) if kind == "string" else c, F.lit(""))
+
+        path = f"{shared_dir(self.spark)}/import-{uuid.uuid4().hex}"
+        df.select(F.concat_ws(",", *[cell(n, k) for n, k in df.dtypes]).alias("value")).write.text(path)
+        fs, p = file_system(self.spark, path)
+        local = tempfile.mkdtemp()
+        try:
+            with self._connection() as c:
+                call = c.prepareCall("CALL SYSCS_UTIL.SYSCS_IMPORT_DATA(NULL, ?, ?, NULL, ?, ',', '\"', 'UTF-8', 0)")
+                for f in fs.listStatus(p):
+                    if f.getLen() and f.getPath().getName().startswith("part-"):
+                        _, to = file_system(self.spark, f"file://{local}/rows")
+                        fs.copyToLocalFile(False, f.getPath(), to, True)
+                        for k, v in enumerate((name, ",".join(df.columns), f"{local}/rows"), 1):
+                            call.setString(k, v)
+                        call.execute()
+                call.close()
+        finally:
+            fs.delete(p, True)
+            shutil.rmtree(local, ignore_errors=True)
 
     def read(self, table: Table) -> DataFrame | None:
         return self._read(table.name)

@@ -300,3 +300,13 @@ def test_records_keep_what_the_sql_does_not_decode(spark, tmp_path):
 def test_what_a_stream_tells_is_not_held_by_the_driver(spark):
     got = catalog.QUERIES["stream_session_counts"](spark, SF)
     assert got.inputFiles() and got.count()
+
+
+def test_an_embedded_database_is_the_drivers_alone(spark):
+    s = stores.open_store(spark, "derby", "jdbc:derby:memory:odd;create=true")
+    t = config.Table("Odd", "fact", {"id": {"type": "bigint"}, "v": {"type": "text"}, "b": {"type": "bool"}})
+    rows = [(1, 'a "b", c\nd', True), (2, "", None), (3, None, False), (4, " x ", True), (None, "é", None)]
+    s.append(t, spark.createDataFrame(rows, "id long, v string, b boolean"))
+    got = s.read(t)
+    assert got.inputFiles(), "executors would read what only the driver has"
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(rows, key=str)
