@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -68,15 +69,59 @@ def split_records(text: str, tag: str) -> Iterator[str]:
             depth += 1
 
 
+def _closed(text: str, tag: str) -> bool:
+    """Whether no element ``tag`` is open at the end of a text, and none was closed before it was opened."""
+    depth = 0
+    for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*?(/?)>", text, re.S):
+        depth += -1 if m[1] else not m[2]
+        if depth < 0:
+            return False
+    return depth == 0
+
+
 def read_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
-    """The records of each file, as XML texts (column ``xml``)."""
+    """The records of each file, as XML texts (column ``xml``).
+
+    Files are cut behind the end tags and read in splits, a record at a time. A pass
+    looks for files where that doesn't do: those in which an end tag leaves an element
+    ``tag`` open (they nest, or end in another way) are read whole, a task a file.
+    """
+    end = f"</{tag}>"
+
+    @F.pandas_udf("boolean")
+    def odd(piece: pd.Series) -> pd.Series:
+        return piece.map(lambda x: not _closed(bytes(x).decode("utf-8", "replace") + end, tag))
 
-    def parse(frames):
+    def cut(frames):
         for frame in frames:
-            for raw in frame["content"]:
-                yield pd.DataFrame({"xml": list(split_records(bytes(raw).decode("utf-8", "replace"), tag))}, dtype=object)
+            yield pd.DataFrame({"xml": [r for x in frame["piece"] for r in split_records(bytes(x).decode("utf-8", "replace") + end, tag)]}, dtype=object)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, "xml string")
+    def whole(frames):
+        for frame in frames:
+            for raw in frame["content"]:
+                found = split_records(bytes(raw).decode("utf-8", "replace"), tag)
+                while some := list(islice(found, 1000)):
+                    yield pd.DataFrame({"xml": some}, dtype=object)
+
+    own = ("file_path", "file_block_start", "file_size")
+    pieces = spark.read.option("lineSep", end).text(path).select(*[F.col(f"_metadata.{c}").alias(c) for c in own], F.col("value").cast("binary").alias("piece"))
+    told = pieces.withColumn("at", F.monotonically_increasing_id()).withColumn("odd", odd("piece"))
+    files = told.groupBy("file_path").agg(F.count_if("odd").alias("n"), F.max_by(F.struct("odd", "piece"), F.struct("file_block_start", "at")).alias("last"), (F.sum(F.octet_length("piece") + len(end)) > F.max("file_size")).alias("rest"))
+    # behind a file's last end tag: what isn't a record, or the beginning of one
+    loose = F.col("rest") & F.col("last.odd")
+    strange = files.where((F.col("n") > loose.cast("int")) | (F.col("rest") & ~loose)).select("file_path", (F.col("n") > loose.cast("int")).alias("nests"), "last.piece").collect()
+    begun = [r for r in strange if not r["nests"]]
+    nests = [r["file_path"] for r in strange if r["nests"]]
+    for r in begun:
+        same = (F.col("file_path") == r["file_path"]) & (F.col("piece") == F.lit(r["piece"]))
+        if pieces.where(same).limit(2).count() == 1:
+            pieces = pieces.where(~same)
+        else:  # it equals a whole record but for its end tag
+            nests.append(r["file_path"])
+    if not nests:
+        return pieces.select("piece").mapInPandas(cut, "xml string")
+    files = spark.read.format("binaryFile").load(path).where(F.col("_metadata.file_path").isin(nests))
+    return pieces.where(~F.col("file_path").isin(nests)).select("piece").mapInPandas(cut, "xml string").union(files.select("content").mapInPandas(whole, "xml string"))
 
 
 def read_xml(spark: SparkSession, path: str, config: XmlConfig) -> DataFrame:

@@ -244,3 +244,30 @@ def test_page_lists_of_any_length(spark):
     # a list of all 80,000,003 URLs fits no batch
     assert [tuple(r)[1:] for r in d.limit(5).collect()] == [(0, "http://a.example/1/"), (1, "http://a.example/1/2"), (2, "http://a.example/1/3"), (3, "http://a.example/2"), (4, "http://a.example/2/2")]
     assert tuple(d.where("at = 5000").first())[1:] == (5000, "http://a.example/2/4998")
+
+
+def test_xml_records_in_splits(spark, tmp_path):
+    bodies = [
+        "<R><X><A>1</A></X> <X/>\n<X a='b'><A>2</A></X></R>",
+        "<R><X>whole</X><X>cut",
+        "<X>1</X><X>last</X>",
+        "<X>same</X><X>same",
+        "<X>a<X>in</X>b</X><X >c</X >",
+        "﻿<X>é</X>\n" * 3,
+        "none",
+        "</X><X>d</X>",
+    ]
+    for i, body in enumerate(bodies):
+        put(tmp_path, f"{i}.xml", body)
+    want = sorted(r for b in bodies for r in xml_files.split_records(b, "X"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        got = xml_files.read_records(spark, f"file://{tmp_path}", "X")
+        assert sorted(r[0] for r in got.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    put(tmp_path, "4.xml", bodies[0])
+    put(tmp_path, "3.xml", bodies[0])
+    put(tmp_path, "7.xml", bodies[0])
+    plan = xml_files.read_records(spark, f"file://{tmp_path}", "X")._jdf.queryExecution().toString()
+    assert "binaryFile" not in plan, "files of plain records come in splits"
