@@ -72,6 +72,20 @@ def rows_per_batch(spark: SparkSession, most: int) -> Iterator[None]:
         spark.conf.set(key, was)
 
 
+def tidy(run):
+    """``run`` over a task's batches; at its end, free memory goes back to the system: the worker stays for the next stage."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return tidied
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner drop shuffle files of finished jobs."""
     import gc

@@ -20,6 +20,9 @@ Sets that meet are compared in two rounds, each exact on whole sets:
    a part and the rest are cut into blocks of about ``TILE`` sets; a task compares the
    sets of two blocks, never two of the largest component. A pair that shares a
    component needs no comparing, so a group of thousands of copies costs a few stars.
+   Two sweeps: of each two blocks, first only pairs that join components without a
+   circle (fewer than there are sets) are checked on whole sets; then all that are
+   still apart.
 Nothing is capped: what the first round leaves apart, the second compares. Before
 whole sets are sent, bit digests (a quarter byte a shingle; one in the second
 round, inside the block) bound a pair's overlap from above, and pairs that can't
@@ -44,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import BYTE_LOWER, SPACE, chunks, components, drop_scratch, free_shuffles, hash_bits, in_bits, mix, ordered_documents, partitions, prefix_hash, rows_per_batch, sorted_groups, span_hash, spill, table, words
+from starmill.llm.common import BYTE_LOWER, SPACE, chunks, components, drop_scratch, free_shuffles, hash_bits, in_bits, mix, ordered_documents, partitions, prefix_hash, rows_per_batch, sorted_groups, span_hash, spill, table, tidy, words
 
 N = 5
 PERCENT = 80
@@ -64,7 +67,7 @@ _U = np.uint64
 
 def shingle_sets(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, cuts, hashes): row r's set is hashes[cuts[r - first] : cuts[r - first + 1]], ascending."""
-    for lo, hi, data, offs in chunks(col):
+    for lo, hi, data, offs in chunks(col, 1 << 20):
         s, e, t = words(data, offs, SPACE)
         h = span_hash(prefix_hash(data, BYTE_LOWER), s, e)
         n = len(h)
@@ -270,8 +273,15 @@ def _folded(digest: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks (of one, if a tile has no other) whose sets are in different components, and may match by size, level and digest."""
+def _top(up: dict[int, int], x: int) -> int:
+    while (y := up.get(x, x)) != x:
+        up[x] = up.get(y, y)
+        x = y
+    return x
+
+
+def _apart(batches: Iterator[pa.RecordBatch], forest: bool = False) -> Iterator[pa.RecordBatch]:
+    """Pairs of two blocks (of one, if a tile has no other) whose sets are in different components, and may match by size, level and digest. ``forest``: only pairs, the closest first, that join a tile's components without a circle."""
     for g, _ in sorted_groups(batches, ["tile", "mine", "comp", "n", "level", "own", "sid", "digest"], 1 << 62):
         order = np.lexsort((g["n"], g["tile"]))
         tile, mine, comp, n, level, own, sid, digest = (g[c][order] for c in ("tile", "mine", "comp", "n", "level", "own", "sid", "digest"))
@@ -284,6 +294,7 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # by size: a set's possible partners are the next ones, up to 1.25 times as large
             width = np.array([len(d) // 8 for d in digest[x:y]])
             upto = x + np.searchsorted(n[x:y], n[x:y] * 100 // PERCENT, "right")
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             rows = {w: (np.flatnonzero((width == w) | (width == 2 * w)) + x, _folded(digest[x:y][(width == w) | (width == 2 * w)], w)) for w in np.unique(width).tolist()}
             for i in range(x, y - 1):
                 who, bits = rows[int(width[i - x])]
@@ -299,9 +310,28 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bit = np.frombuffer(digest[i], np.uint64)
                 a = n[i] - np.bitwise_count(bit & ~bits).sum(axis=1, dtype=np.int64)
                 b = n[who] - np.bitwise_count(bits & ~bit).sum(axis=1, dtype=np.int64)
-                near = (100 + PERCENT) * np.minimum(a, b) >= PERCENT * (n[i] + n[who])
+                both = np.minimum(a, b)
+                near = (100 + PERCENT) * both >= PERCENT * (n[i] + n[who])
+                if forest:
+                    found.append((np.full(int(near.sum()), i), who[near], (both[near] / (n[i] + n[who[near]])).astype(np.float32)))
+                    continue
                 if near.any():
                     yield _edges(np.full(int(near.sum()), sid[i]), sid[who[near]])
+            if found:
+                a, b, close = (np.concatenate(c) for c in zip(*found, strict=True))
+                kept, up, left = [], {}, len(np.unique(comp[x:y])) - 1
+                for k2 in np.argsort(-close, kind="stable"):
+                    p, q = _top(up, int(comp[a[k2]])), _top(up, int(comp[b[k2]]))
+                    if p != q:
+                        up[p], left = q, left - 1
+                        kept.append(k2)
+                        if not left:
+                            break
+                yield _edges(sid[a[kept]], sid[b[kept]])
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _apart(batches, True)
 
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +342,7 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(bits, per: int = 0):
-    """The whole sets whose names are among ``bits``; their digests instead, if ``per`` is given."""
+    """The whole sets whose names are among ``bits``; with their digests, if ``per`` is given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = bits.value, set()
@@ -321,8 +351,10 @@ def _sets(bits, per: int = 0):
                 sid = set_ids(cuts, sh)
                 rows = [i for i in np.flatnonzero((np.diff(cuts) > 0) & in_bits(wanted, sid)) if sid[i] not in seen]
                 seen.update(sid[i] for i in rows)
-                told = [digests(cuts[i : i + 2], sh, per)[0] if per else sh[cuts[i] : cuts[i + 1]].tobytes() for i in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(sid[rows]), pa.array(told, pa.binary())], names=["sid", "members"])
+                told = [pa.array(sid[rows]), pa.array([sh[cuts[i] : cuts[i + 1]].tobytes() for i in rows], pa.binary())]
+                if per:
+                    told.append(pa.array([digests(cuts[i : i + 2], sh, per)[0] for i in rows], pa.binary()))
+                yield pa.RecordBatch.from_arrays(told, names=["sid", "members", "digest"][: len(told)])
 
     return run
 
@@ -338,15 +370,23 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fetched(texts: DataFrame, ends: DataFrame, count: int, per: int = 0) -> DataFrame:
-    """(sid, members) of the sets named in ``ends`` (``count`` rows), and of few others that the hash bits let through."""
+    """(sid, members) of the sets named in ``ends`` (``count`` rows), and of few others that the hash bits let through; with ``per``, their digests too."""
     bits = texts.sparkSession.sparkContext.broadcast(hash_bits(ends, "sid", min(29, max(20, (16 * count + 1).bit_length()))))
+    schema = "sid long, members binary" + (", digest binary" if per else "")
     # copies of a set come once from each task
-    return texts.mapInArrow(_sets(bits, per), "sid long, members binary").groupBy("sid").agg(F.first("members").alias("members"))
+    return texts.mapInArrow(tidy(_sets(bits, per)), schema).groupBy("sid").agg(*[F.first(c).alias(c) for c in ("members", "digest")[: 2 if per else 1]])
+
+
+def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of ``pairs`` whose whole sets, among ``sets``, are similar enough."""
+    x = sets.select(F.col("sid").alias("xs"), F.col("members").alias("x"))
+    y = sets.select(F.col("sid").alias("ys"), F.col("members").alias("y"))
+    both = pairs.join(y, F.col("b") == F.col("ys")).join(x, F.col("a") == F.col("xs"))
+    return spill(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"), "links")
 
 
 def _verified(texts: DataFrame, marks: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs of ``pairs`` whose whole sets are similar enough; ``marks`` has each set's size and digest."""
-    spark = texts.sparkSession
     x = marks.select(F.col("sid").alias("a"), F.col("n").alias("nx"), F.col("digest").alias("dx"))
     y = marks.select(F.col("sid").alias("b"), F.col("n").alias("ny"), F.col("digest").alias("dy"))
     near = pairs.join(y, "b").join(x, "a").select("a", "b", "nx", "ny", "dx", "dy")
@@ -356,47 +396,62 @@ def _verified(texts: DataFrame, marks: DataFrame, pairs: DataFrame) -> DataFrame
     if not count:
         return edges
     sets = spill(_fetched(texts, ends, count), "sets")
-    x = sets.select(F.col("sid").alias("xs"), F.col("members").alias("x"))
-    y = sets.select(F.col("sid").alias("ys"), F.col("members").alias("y"))
-    pairs = edges.join(y, F.col("b") == F.col("ys")).join(x, F.col("a") == F.col("xs"))
-    out = spill(pairs.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"), "links")
+    out = _checked(edges, sets)
     drop_scratch(sets, edges)
     return out
 
 
+def _named(rows: DataFrame, comp: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``rows``, and the component of each set."""
+    named = comp.select(F.col("node").alias("named"), "component")
+    return rows.join(named, F.col("sid") == F.col("named"), "left").select(*columns, F.coalesce("component", "sid").alias("comp"))
+
+
 def classes(slim: DataFrame) -> DataFrame:
     """_ord, doc_id, n_shingles, sid and comp (the name of a set in the same component) of every row of ``slim`` (numbered by ``ordered_documents``), written."""
     spark = slim.sparkSession
     texts = slim.select("text")
     id_type = slim.schema["doc_id"].dataType.simpleString()
-    profile = spill(slim.select("_ord", "doc_id", "text").mapInArrow(_profile, f"at long, doc_id {id_type}, n long, sid long, digest binary, block int, counts binary"), "profile")
+    profile = spill(slim.select("_ord", "doc_id", "text").mapInArrow(tidy(_profile), f"at long, doc_id {id_type}, n long, sid long, digest binary, block int, counts binary"), "profile")
     marks = profile.where("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("digest").alias("digest"))
     levels = spark.sparkContext.broadcast(sketch(profile))
-    upper = texts.mapInArrow(_upper_nodes(levels), "tok long, sid long, n int, level int")
+    upper = texts.mapInArrow(tidy(_upper_nodes(levels)), "tok long, sid long, n int, level int")
     dealt = upper.repartition(partitions(spark), "tok").sortWithinPartitions("tok", "sid")
-    parted = spill(dealt.mapInArrow(_met, PARTED), "parted")
+    parted = spill(dealt.mapInArrow(tidy(_met), PARTED), "parted")
     free_shuffles(spark)
     stars = spill(_stars(parted), "stars")
     free_shuffles(spark)
     links = _verified(texts, marks, stars)
     comp = components(links)
     free_shuffles(spark)
-    named = comp.select(F.col("node").alias("named"), "component")
-    labelled = parted.join(named, F.col("sid") == F.col("named"), "left").select("node", "hot", "own", "sid", "n", "level", F.coalesce("component", "sid").alias("comp"))
+    labelled = _named(parted, comp, "node", "hot", "own", "sid", "n", "level")
     left = spill(_tiles(labelled), "open")
-    count, more = left.count(), links.limit(0)
+    count = left.count()
     if count:
-        wide = _fetched(texts, left.select("sid"), count, WIDE).withColumnRenamed("members", "digest")
-        dealt = left.join(wide, "sid").select("tile", "mine", "comp", "n", "level", "own", "sid", "digest").repartition(partitions(spark), "tile").sortWithinPartitions("tile")
-        with rows_per_batch(spark, 1000):  # a digest has one or two bytes a word of its text
-            rest = spill(dealt.mapInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "apart")
-        more = _verified(texts, marks, rest)
-        drop_scratch(rest)
-    if more.limit(1).count():
-        comp = components(links.union(more))
+        wide = spill(_fetched(texts, left.select("sid"), count, WIDE), "wide")
+        free_shuffles(spark)
+
+        def candidates(rows: DataFrame, find, name: str) -> DataFrame:
+            dealt = rows.join(wide.select("sid", "digest"), "sid").select("tile", "mine", "comp", "n", "level", "own", "sid", "digest").repartition(partitions(spark), "tile").sortWithinPartitions("tile")
+            with rows_per_batch(spark, 1000):  # a digest has one or two bytes a word of its text
+                return spill(dealt.mapInArrow(find, "a long, b long").distinct(), name)
+
+        # first a few pairs, that join most of what belongs together; where there is none, there are no others
+        few = candidates(left, _forest, "forest")
+        if few.limit(1).count():
+            more = _checked(few.join(stars, ["a", "b"], "left_anti"), wide)
+            if more.limit(1).count():
+                comp = components(links.union(more))
+            again = _named(left, comp, "tile", "mine", "sid", "n", "level", "own")
+            rest = candidates(again, _apart, "apart")
+            last = _checked(rest.join(stars.union(few), ["a", "b"], "left_anti"), wide)
+            if last.limit(1).count():
+                comp = components(links.union(more).union(last))
+            drop_scratch(rest, more, last)
+        drop_scratch(wide, few)
     out = profile.where("block IS NULL").join(comp, F.col("sid") == F.col("node"), "left")
     out = spill(out.select(F.col("at").alias("_ord"), "doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component", "sid").alias("comp")), "classes")
-    drop_scratch(profile, parted, stars, left, links, more)
+    drop_scratch(profile, parted, stars, left, links)
     free_shuffles(spark)
     return out
 

@@ -59,3 +59,19 @@ def test_filter_with_null_and_repeated_ids_over_many_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", was)
     assert sorted(kept, key=str) == sorted(((r["doc_id"], r["text"]) for r in d.select("doc_id", "text").collect()), key=str)
+
+
+def test_fragments_of_a_group_are_joined_by_a_tree():
+    import numpy as np
+    import pyarrow as pa
+
+    from starmill.llm import ngram_join
+
+    k, sh = 40, np.sort(np.random.default_rng(1).integers(0, 1 << 63, 100).astype(np.uint64))
+    digest = ngram_join.digests(np.array([0, 100]), sh, ngram_join.WIDE)[0]
+    whole = lambda v, kind: pa.array([v] * k, kind)
+    ids = pa.array(range(k), pa.int64())
+    batch = pa.RecordBatch.from_arrays([whole(1, pa.int64()), whole(0, pa.int32()), ids, whole(100, pa.int32()), whole(0, pa.int32()), whole(True, pa.bool_()), ids, whole(digest, pa.binary())], names=["tile", "mine", "comp", "n", "level", "own", "sid", "digest"])
+    assert sum(len(b) for b in ngram_join._apart(iter([batch]))) == k * (k - 1) // 2
+    pairs = [tuple(r.values()) for b in ngram_join._forest(iter([batch])) for r in b.to_pylist()]
+    assert len(pairs) == k - 1 and len({x for p in pairs for x in p}) == k
