@@ -26,7 +26,10 @@ anchor's part, so that copies of a text bring a row for each task, not for each
 No anchor is held in memory whole: above ``MOST`` entries, its windows are dealt by
 their own hash.
 
-The shared folder must be one that both Spark and pyarrow can open. A level's files
+The shared folder must be one that both Spark and pyarrow can open. Levels and
+intermediate tables are written by the tasks' Python: no row goes back to the
+executor's JVM for it, which would buffer it and, in a local folder, start two
+processes a file (``chmod``) that count with the JVM's memory until they run. Files
 are written under a name of their own and renamed, so that a task that runs again
 after a lost executor replaces its file whole.
 
@@ -48,14 +51,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from starmill.llm.common import BYTE, chunks, drop_path, drop_scratch, free_shuffles, hash_bits, in_bits, mix, open_folder, ordered_documents, partitions, powers, prefix_hash, scratch, sorted_groups, spill, table
+from starmill.llm.common import BYTE, chunks, drop_path, drop_scratch, free_shuffles, hash_bits, in_bits, mix, open_folder, ordered_documents, partitions, powers, prefix_hash, scratch, sorted_groups, table, tidy
 
 LENGTH = 100
 GRAM = 40
 MOST = 20_000
 BATCHES = 4
 """Batches that ``repeated`` cuts a table into, whatever its size."""
+CHUNK = 1 << 19
+"""Bytes of text that a task hashes at once; it needs about 60 times that, rows sent included."""
 SENT = 1 << 22
 """Entries that a task remembers to have sent; the rest go to their parts as well."""
 _U = np.uint64
@@ -145,7 +152,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sent = _Sent()
     for batch in batches:
         docs = batch.column("_ord").to_numpy()
-        for lo, _, data, offs in chunks(batch.column("text")):
+        for lo, _, data, offs in chunks(batch.column("text"), CHUNK):
             t, s, n, p, v, u = entries(data, offs)
             d, at = docs[lo + t], s - offs[t]
             key = mix(u + v * _U(3))
@@ -190,25 +197,27 @@ def _level(folder: str, part: int) -> Iterator[dict[str, np.ndarray]]:
 
 
 class _Writer:
-    """Writes a part of a level; the file has its name only when it is whole."""
+    """Writes a task's file of a folder; the file has its name only when it is whole."""
 
-    def __init__(self, folder: str, part: int):
+    def __init__(self, folder: str, part: int, schema: pa.Schema = LEVEL, dictionary: bool = False):
         self.store, root = open_folder(folder)
-        self.root, self.name, self.out = root, _file(root, part), None
+        self.root, self.name, self.schema, self.dictionary, self.out = root, _file(root, part), schema, dictionary, None
 
     def add(self, g: dict[str, np.ndarray], pick: np.ndarray) -> None:
+        k = int(pick.sum())
+        if k:
+            v = pa.Array.from_buffers(pa.binary(GRAM), k, [None, pa.py_buffer(g["v"][pick].tobytes())])
+            self.write(pa.Table.from_arrays([v, *[pa.array(g[c][pick]) for c in ("u", "doc", "at")]], schema=LEVEL))
+
+    def write(self, rows: pa.Table) -> None:
         import pyarrow.parquet as pq
 
-        k = int(pick.sum())
-        if not k:
-            return
         if self.out is None:
             self.store.create_dir(self.root, recursive=True)
-            self.temp = f"{self.name}.{uuid.uuid4().hex}"
+            self.temp = f"{self.root}/_{uuid.uuid4().hex}"
             self.sink = self.store.open_output_stream(self.temp)
-            self.out = pq.ParquetWriter(self.sink, LEVEL, compression="zstd", use_dictionary=False)
-        v = pa.Array.from_buffers(pa.binary(GRAM), k, [None, pa.py_buffer(g["v"][pick].tobytes())])
-        self.out.write_batch(pa.RecordBatch.from_arrays([v, *[pa.array(g[c][pick]) for c in ("u", "doc", "at")]], schema=LEVEL))
+            self.out = pq.ParquetWriter(self.sink, self.schema, compression="zstd", use_dictionary=self.dictionary)
+        self.out.write_table(rows)
 
     def close(self) -> None:
         if self.out is not None:
@@ -217,6 +226,40 @@ class _Writer:
             self.store.move(self.temp, self.name)
 
 
+def _store(run, folder: str, schema: pa.Schema):
+    """``run`` over a task's batches, its rows written to the task's file of ``folder``; gives their number."""
+
+    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        out, held, rows, total = _Writer(folder, TaskContext.get().partitionId(), schema, True), [], 0, 0
+        for batch in run(batches):
+            if len(batch):
+                held.append(batch)
+                rows, total = rows + len(batch), total + len(batch)
+            if rows >= 1 << 16:
+                out.write(pa.Table.from_batches(held).cast(schema))
+                held, rows = [], 0
+        if held:
+            out.write(pa.Table.from_batches(held).cast(schema))
+        out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["n"])
+
+    return stored
+
+
+def _written(df: DataFrame, run, columns: str, name: str) -> DataFrame:
+    """``df.mapInArrow(run, columns)``, written to the shared folder by the tasks and read back."""
+    spark = df.sparkSession
+    folder, schema = scratch(spark, name), T.StructType.fromDDL(columns)
+    store, root = open_folder(folder)
+    store.create_dir(root, recursive=True)  # a table without rows has no file
+    df.mapInArrow(tidy(_store(run, folder, to_arrow_schema(schema))), "n long").write.format("noop").mode("overwrite").save()
+    out = spark.read.schema(schema).parquet(folder)
+    out._scratch = folder
+    return out
+
+
 def _merged(streams: list[Iterator[dict[str, np.ndarray]]]) -> Iterator[dict[str, np.ndarray]]:
     """Streams of entries in the order (v, u, doc, at) as one in that order; each is held a slice at a time."""
     live = [[s, next(s, None)] for s in streams]
@@ -335,21 +378,24 @@ def _merge_parts(a: str, b: str, into: str):
 # -- windows of the anchors that met
 
 def _contexts(bits):
-    """The bytes under the entries whose anchors met, each distinct one once from a task's batch."""
+    """The bytes under the entries whose anchors met; a task leaves out those that it has sent for an earlier document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = bits.value
+        wanted, sent = bits.value, _Sent()
         for batch in batches:
             docs = batch.column("_ord").to_numpy()
-            for lo, _, data, offs in chunks(batch.column("text")):
+            for lo, _, data, offs in chunks(batch.column("text"), CHUNK):
                 t, s, n, _, v, u = entries(data, offs)
                 k = np.flatnonzero(in_bits(wanted, v))
                 d = docs[lo + t[k]]
-                order = np.lexsort((s[k] - offs[t[k]], d, u[k], v[k]))
-                k, d = k[order], d[order]
+                key = mix(u[k] + v[k] * _U(3))
+                order = np.lexsort((s[k] - offs[t[k]], d, key))
+                k, d, key = k[order], d[order], key[order]
                 first = np.ones(len(k), bool)
-                first[1:] = (v[k[1:]] != v[k[:-1]]) | (u[k[1:]] != u[k[:-1]])
-                k, d = k[first], d[first]
+                first[1:] = key[1:] != key[:-1]
+                k, d, key = k[first], d[first], key[first]
+                new = ~sent.earlier(key, d)
+                k, d = k[new], d[new]
                 raw = data.tobytes()
                 cut = [raw[a : a + LENGTH - 1 + b] for a, b in zip(s[k].tolist(), n[k].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(v[k].view(np.int64)), pa.array(u[k].view(np.int64)), pa.array(d), pa.array((s[k] - offs[t[k]]).astype(np.int32)), pa.array(cut, pa.binary())], names=["v", "u", "doc", "at", "bytes"])
@@ -453,10 +499,10 @@ class SuffixIndex:
     def scan(self, batch: DataFrame, keep: bool = True) -> DataFrame:
         """The merge scan's rows, written; anchors that met wait for ``compare``."""
         spark = batch.sparkSession
-        new = batch.select("_ord", "text").mapInArrow(_entries, ENTRY)
+        new = batch.select("_ord", "text").mapInArrow(tidy(_entries), ENTRY)
         dealt = new.repartition(partitions(spark), "part").sortWithinPartitions("v", "u", "doc", "at")
         target = scratch(spark, "level") if keep else None
-        found = spill(dealt.mapInArrow(_scan([x for _, x in self.levels], target), SCAN), "scan")
+        found = _written(dealt, _scan([x for _, x in self.levels], target), SCAN, "scan")
         free_shuffles(spark)
         self.met.append(found.where("kind = 'meet'").select(F.col("h").alias("v")))
         self.documents = batch.select("_ord", "text") if self.documents is None else self.documents.union(batch.select("_ord", "text"))
@@ -474,9 +520,9 @@ class SuffixIndex:
         if not count:
             return None
         bits = spark.sparkContext.broadcast(hash_bits(met, "v", min(29, max(20, (16 * count + 1).bit_length()))))
-        near = self.documents.mapInArrow(_contexts(bits), "v long, u long, doc long, at int, bytes binary")
+        near = self.documents.mapInArrow(tidy(_contexts(bits)), "v long, u long, doc long, at int, bytes binary")
         near = near.repartition(partitions(spark), "v").sortWithinPartitions("v", "u", "doc", "at")
-        windows = spill(near.mapInArrow(_compare(self.most), WINDOWS), "windows")
+        windows = _written(near, _compare(self.most), WINDOWS, "windows")
         free_shuffles(spark)
         wide = windows.where("NOT done").repartition(partitions(spark), "w").sortWithinPartitions("w", "doc", "at")
         out = windows.where("done").select("doc", "at", "n").union(wide.mapInArrow(_later, "doc long, at int, n int"))
@@ -491,7 +537,7 @@ class SuffixIndex:
             merged = scratch(spark, "level")
             parts = max(_parts(other), _parts(level))
             if parts:
-                spark.range(0, parts, 1, parts).mapInArrow(_merge_parts(other, level, merged), "id long").agg(F.count("*")).collect()  # one row
+                spark.range(0, parts, 1, parts).mapInArrow(tidy(_merge_parts(other, level, merged)), "id long").agg(F.count("*")).collect()  # one row
             drop_path(spark, other, level)
             level, size = merged, size * 2
         self.levels.append((size, level))
@@ -571,12 +617,12 @@ def repeated(docs: DataFrame, batch_bytes: int | None = None, most: int = MOST)
     if more is not None:
         runs = runs.union(more)
     spans = runs.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("r"))
-    spans = spill(spans.select("doc", F.col("r.at").alias("ats"), F.col("r.n").alias("ns")), "spans")
+    spans = _written(spans.select("doc", F.col("r.at").alias("ats"), F.col("r.n").alias("ns")), iter, "doc long, ats array<int>, ns array<int>", "spans")
     drop_scratch(*found, *([more] if more is not None else []))
     free_shuffles(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     joined = slim.join(spans, F.col("_ord") == F.col("doc"), "left").select("doc_id", "text", "ats", "ns")
-    return joined.mapInArrow(_cut, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
+    return joined.mapInArrow(tidy(_cut), f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -1,7 +1,15 @@
+import random
+import tracemalloc
+from pathlib import Path
+from types import SimpleNamespace
+
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from starmill.llm import suffix_dedup
+from starmill.llm.common import drop_scratch
 
 
 def told(df):
@@ -35,3 +43,35 @@ def test_levels_merge_like_carries(spark, make, odd_rows):
         part = [(k, t) for k, t in odd_rows if k % 4 == i]
         index.add(make(part).selectExpr("doc_id + 1000 * %d AS _ord" % i, "text")).count()
         assert [n for n, _ in index.levels] == [[1], [2], [2, 1], [4]][i]
+
+
+def test_tasks_hash_a_bounded_part_of_their_texts():
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefgh ", k=4000)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], names=["_ord", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(len(b) for b in suffix_dedup._entries(iter([batch]))) > 100_000
+        assert tracemalloc.get_traced_memory()[1] < 64e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_tables_are_written_by_the_tasks(make, odd_rows):
+    index = suffix_dedup.SuffixIndex()
+    frames = [index.scan(make(odd_rows).selectExpr("doc_id AS _ord", "text"), keep=False), index.compare()]
+    for df in frames:
+        assert df.count()
+        # Hadoop's local file system would leave checksums, and start a process for each
+        folder = Path(df._scratch.removeprefix("file:"))
+        assert list(folder.glob("part-*.parquet")) and not list(folder.glob(".*.crc"))
+    drop_scratch(*frames)
+
+
+def test_contexts_are_sent_once_from_a_task():
+    rng = random.Random(4)
+    passage = "".join(rng.choices("abcdefgh", k=300))
+    batches = [pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([passage])], names=["_ord", "text"]) for i in range(5)]
+    bits = SimpleNamespace(value=np.full(1 << 17, 255, np.uint8))
+    got = [d for b in suffix_dedup._contexts(bits)(iter(batches)) for d in b.column("doc").to_pylist()]
+    assert got and set(got) == {0}
