@@ -622,7 +622,9 @@ def repeated(docs: DataFrame, batch_bytes: int | None = None, most: int = MOST)
     free_shuffles(spark)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     joined = slim.join(spans, F.col("_ord") == F.col("doc"), "left").select("doc_id", "text", "ats", "ns")
-    return joined.mapInArrow(tidy(_cut), f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
+    out = _written(joined, _cut, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>", "removed")
+    drop_scratch(spans, *([placed] if placed is not None else []))
+    return out
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
